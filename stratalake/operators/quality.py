@@ -67,14 +67,14 @@ def unique_failures(df: DataFrame, column: str) -> DataFrame:
 def orphan_values(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child values without a parent row, with the number of child rows that carry them.
 
-    Counting per value first means that the join moves each value once, however often it
-    occurs in the child.
+    Both sides are reduced to distinct values before they meet, so a value that fills a third
+    of the rows moves once per task. The join reuses the partitioning of these aggregates.
     """
     values = (
         child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("n_rows"))
     )
-    parents = parent.select(F.col(parent_column).alias("parent_value"))
+    parents = parent.select(F.col(parent_column).alias("parent_value")).distinct()
     return values.join(parents, F.col("value") == F.col("parent_value"), "left_anti")
 
 

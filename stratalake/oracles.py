@@ -222,6 +222,10 @@ ORACLES: dict[str, str] = {
       SELECT event_id, ts, value FROM events
       WHERE CAST(ts AS DATE) = (SELECT MAX(CAST(ts AS DATE)) FROM events)
     """,
+    "latest_key": """
+      SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem
+      WHERE l_orderkey = (SELECT MAX(l_orderkey) FROM lineitem)
+    """,
     "weather_explode": HUMIDITY_AS_DOUBLE.format(HOURLY),
     "weather_doc_validation": f"""
       SELECT document, has_hourly,

@@ -14,7 +14,7 @@ from stratalake.functions.numeric import to_number, to_strict_bigint
 from stratalake.operators import quality
 from stratalake.operators.clean import clean_sales, columns_report
 from stratalake.operators.dedup import keep_first, merge, stack_by_name
-from stratalake.operators.latest import newest
+from stratalake.operators.latest import newest, newest_day
 from stratalake.operators.weather import check_documents, hourly_rows, require_valid_documents
 from stratalake.plans import dims, facts, gold, pipeline, silver, staging
 from stratalake.session import scratch_path
@@ -181,7 +181,14 @@ def weather_merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = recast.table(spark, sf_dir, "events").select("event_id", "ts", "value")
-    return newest(events, F.to_date("ts"))
+    return newest_day(events, "ts")
+
+
+@query
+def latest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the largest order number."""
+    lines = recast.table(spark, sf_dir, "lineitem")
+    return newest(lines, "l_orderkey").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
 
 
 # --- weather documents ----------------------------------------------------------------------
@@ -309,12 +316,7 @@ def sales_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, check, silver, load, models, tests; the mart is read from its table."""
     lake = scratch_path(spark, "sales_pipeline")
     recast.write_raw_csv(_raw_sales(spark, sf_dir), f"{lake}/seed", "ventas_2024.csv", CSV_ORDER)
-    prefix = _unique_name(lake)
-    target = pipeline.run_sales(spark, f"{lake}/seed", lake)
-    pipeline.load(spark, target, f"{prefix}_orders", f"{lake}/orders")
-    models = pipeline.build_and_test(
-        {"orders": spark.table(f"{prefix}_orders")}, prefix=f"{prefix}_", folder=f"{lake}/models"
-    )
+    models = pipeline.sales_end_to_end(spark, f"{lake}/seed", lake, prefix=_unique_name(lake))
     return models["fct_sales_by_product"]
 
 
@@ -325,12 +327,7 @@ def weather_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefix = _unique_name(lake)
     for documents, moment in _drops(spark, sf_dir):
         bronze.land_weather(documents, f"{lake}/bronze/weather", moment)
-        pipeline.run_weather(
-            spark, lake, f"{prefix}_hourly", multi_line=False, location=f"{lake}/hourly"
-        )
-    models = pipeline.build_and_test(
-        {"weather_hourly": spark.table(f"{prefix}_hourly")}, prefix=f"{prefix}_", folder=f"{lake}/models"
-    )
+        models = pipeline.weather_end_to_end(spark, lake, prefix=prefix, multi_line=False)
     return models["dim_weather"]
 
 
@@ -361,7 +358,7 @@ def _drops(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, datetime]]
 
 
 def _unique_name(path: str) -> str:
-    """A table name prefix from a scratch path, which ends in a fresh id."""
+    """A table name or prefix from a scratch path, which ends in a fresh id."""
     return "t_" + path.rpartition("-")[2]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.constants import WEATHER_DOCUMENT, WEATHER_FILE, WEATHER_GLOB
-from stratalake.sources.listing import list_files, newest_name, split_place
+from stratalake.sources.listing import file_of, list_files, newest_name
 
 
 def newest_weather_file(spark: SparkSession, folder: str) -> str:
@@ -30,7 +30,11 @@ def read_documents(
 
 def with_file(documents: DataFrame) -> DataFrame:
     """Adds file and split, which order the documents."""
-    return documents.select("*", *split_place(WEATHER_FILE))
+    return documents.select(
+        "*",
+        file_of("_metadata.file_path", WEATHER_FILE).alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
 
 
 def with_row(documents: DataFrame) -> DataFrame:

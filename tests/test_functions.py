@@ -1,0 +1,101 @@
+import math
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stratalake.constants import NA_TOKENS
+from stratalake.functions import calendar, numeric, text
+
+
+def one(spark, value, kind, expression):
+    return spark.createDataFrame([(value,)], f"x {kind}").select(expression(F.col("x"))).first()[0]
+
+
+@pytest.mark.parametrize("raw, expected", [
+    ("1.5d", None), ("1.5f", None), ("1,000", None), (" 97.7 ", 97.7), ("inf", None), ("-Infinity", None),
+    ("NaN", None), ("1e3", 1000.0), ("", None), (None, None), (".5", 0.5), ("5.", 5.0), ("+2", 2.0),
+    ("0x10", None), ("1e400", None), ("-3.25", -3.25), ("--1", None), ("1 2", None),
+])
+def test_to_number(spark, raw, expected):
+    assert one(spark, raw, "string", numeric.to_number) == expected
+
+
+@pytest.mark.parametrize("raw, expected", [
+    ("7", 7), (" 7 ", 7), ("1.9", 1), ("-1.9", -1), ("1e2", 100), ("9007199254740993", 9007199254740993),
+    ("9223372036854775807", 2**63 - 1),
+])
+def test_strict_bigint(spark, raw, expected):
+    assert one(spark, raw, "string", lambda c: numeric.to_strict_bigint(c, "x")) == expected
+
+
+@pytest.mark.parametrize("raw", ["x", "", None, "inf", "NaN", "1,000", "9223372036854775808", "1e30"])
+def test_strict_bigint_fails(spark, raw):
+    with pytest.raises(PySparkException):
+        one(spark, raw, "string", lambda c: numeric.to_strict_bigint(c, "x"))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text("0123456789.eE+- \tdnaif", max_size=8), min_size=1, max_size=300))
+def test_to_number_agrees_with_python(spark, texts):
+    """Python reads the same plain numbers, apart from spelled-out nan and infinity."""
+    def expected(t):
+        try:
+            value = float(t.strip(" \t"))
+        except ValueError:
+            return None
+        return value if math.isfinite(value) else None
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r[0] for r in df.select(numeric.to_number(F.col("x"))).collect()] == [expected(t) for t in texts]
+
+
+def test_exact_mean_rounds_once(spark):
+    """1.004999998 is 1.00; an average kept at six decimals would give 1.01."""
+    df = spark.range(3_000_001).select(
+        F.when(F.col("id") < 1_500_000, F.lit(Decimal("1.01"))).otherwise(F.lit(Decimal("1.00")))
+        .cast("decimal(5,2)").alias("x")
+    )
+    mean = numeric.exact_mean(F.col("x"))
+    wrong = F.avg("x").cast("decimal(5,2)")
+    assert tuple(df.agg(mean.cast("decimal(5,2)"), wrong).first()) == (Decimal("1.00"), Decimal("1.01"))
+
+
+def test_exact_mean_skips_nulls_and_is_null_without_values(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (1, None), (2, None)], "k int, x int")
+    result = dict(df.groupBy("k").agg(numeric.exact_mean(F.col("x")).cast("decimal(12,2)")).collect())
+    assert result == {1: Decimal("1.50"), 2: None}
+
+
+@pytest.mark.parametrize("value, expected", [(0.5, 0), (1.5, 2), (2.5, 2), (-1.5, -2), (2.4, 2), (None, None)])
+def test_half_even_int(spark, value, expected):
+    assert one(spark, value, "double", numeric.half_even_int) == expected
+
+
+def test_calendar_around_a_weekend(spark):
+    days = spark.createDataFrame([(date(2025, 8, d),) for d in (1, 2, 3)] + [(None,)], "d date")
+    day = F.col("d")
+    result = days.select(
+        calendar.date_key(day), calendar.iso_weekday(day), calendar.weekday_name(day),
+        calendar.month_name(day), calendar.is_weekend(day),
+    ).collect()
+    assert [tuple(r) for r in result] == [
+        (20250801, 5, "Fri", "Aug", False), (20250802, 6, "Sat", "Aug", True),
+        (20250803, 7, "Sun", "Aug", True), (None, None, None, None, False),
+    ]
+
+
+def test_utc_stamp(spark):
+    assert one(spark, datetime(2025, 8, 1, 3, 4, 5), "timestamp_ntz", calendar.utc_stamp) == "20250801T030405Z"
+
+
+def test_na_tokens_and_key(spark):
+    df = spark.createDataFrame([(t,) for t in (*NA_TOKENS, "Nan", "x", None)], "x string")
+    assert [r[0] for r in df.select(text.na_to_null(F.col("x"))).collect()][-3:] == ["Nan", "x", None]
+    assert df.select(text.na_to_null(F.col("x")).alias("x")).filter("x is not null").count() == 2
+    assert one(spark, "Zapatos", "string", text.surrogate_key) == "38f5f287da11b9c7203ecf908fb8cfa3"
+    assert one(spark, None, "string", text.surrogate_key) is None

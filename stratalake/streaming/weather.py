@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.constants import WEATHER_DOCUMENT, WEATHER_GLOB
-from stratalake.plans.silver import weather_silver
-from stratalake.sinks.files import merge_hourly
+from stratalake.plans.silver import merge_weather
 from stratalake.sources.weather_files import with_file, with_row
 
 
@@ -29,7 +28,7 @@ def start_merge(
     documents = with_file(reader.json(f"{landing.rstrip('/')}/{WEATHER_GLOB}"))
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        merge_hourly(weather_silver(with_row(batch)), silver_path, keep=keep)
+        merge_weather(with_row(batch), silver_path, keep)
 
     return (
         documents.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -12,9 +12,9 @@ from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import merge
-from stratalake.operators.weather import check_documents, hourly_rows
+from stratalake.operators.weather import check_documents, hourly_rows, require_valid_documents
 from stratalake.plans import gold, pipeline
-from stratalake.plans.silver import weather_silver
+from stratalake.plans.silver import merge_weather
 from stratalake.sinks import files
 from stratalake.sinks.bronze import land_weather, weather_file_name
 from stratalake.sources.weather_files import newest_weather_file, read_documents
@@ -76,7 +76,7 @@ def test_malformed_document(spark, tmp_path, damage):
     verdicts = check_documents(documents, "_file").orderBy("_file").collect()
     assert [r["is_valid"] for r in verdicts] == [True, False]
     with pytest.raises(PySparkException, match="equally long"):
-        weather_silver(documents).collect()
+        merge_weather(documents, str(tmp_path / "out"))
 
 
 def test_bad_time_or_number_fails(spark, tmp_path):
@@ -84,7 +84,7 @@ def test_bad_time_or_number_fails(spark, tmp_path):
     drop(tmp_path / "b", "1", document(["2025-08-01T00:00"], ["warm"]))
     for folder in ("a", "b"):
         with pytest.raises((PySparkException, Py4JJavaError)):
-            weather_silver(read_documents(spark, str(tmp_path / folder))).collect()
+            merge_weather(read_documents(spark, str(tmp_path / folder)), str(tmp_path / "out"))
 
 
 def test_merge_first_and_last(spark):
@@ -115,6 +115,14 @@ def test_merge_into_store(spark, tmp_path, keep, expected):
     assert stored(spark, path) == expected
 
 
+@pytest.mark.parametrize("keep, expected", [("first", 2.0), ("last", 4.0)])
+def test_repeated_hour_inside_a_batch(spark, tmp_path, keep, expected):
+    doc = document(["2025-08-01T00:00"] * 3, [2.0, 3.0, 4.0])
+    drop(tmp_path / "in", "1", doc)
+    merge_weather(read_documents(spark, str(tmp_path / "in")), str(tmp_path / "silver"), keep)
+    assert stored(spark, tmp_path / "silver") == [("01 00", expected)]
+
+
 def test_untouched_days_keep_their_files(spark, tmp_path):
     path = tmp_path / "silver"
     files.replace_days(hours(spark, ((1, 1), 1.0), ((2, 1), 2.0), ((2, 0), 1.5)), str(path), "ts_utc")
@@ -180,7 +188,8 @@ def test_file_name_and_landing(spark, tmp_path):
         "temperature_2m: array<double>, relative_humidity_2m: array<double>>")
     name = land_weather(documents, str(tmp_path), moment)
     assert newest_weather_file(spark, str(tmp_path)) == name
-    assert weather_silver(read_documents(spark, str(tmp_path), name)).first()["temp_c"] == 1.5
+    got = hourly_rows(require_valid_documents(read_documents(spark, str(tmp_path), name)))
+    assert got.first()["temp_c"] == 1.5
 
 
 def stream(spark, tmp_path, **options):

@@ -183,6 +183,14 @@ DEDUPED_SALES = f"""
   ) WHERE place = 1
 """
 
+SYNTHETIC = f"""
+  SELECT o_orderkey AS order_id,
+         (['Zapatos', 'Camiseta', 'Pantalon', 'Gorra'])[{_draw(1)} % 4 + 1] AS product,
+         {_draw(9)} % 5 + 1 AS quantity,
+         round(10 + 90 * ({_draw(17)} / 4294967296.0::DOUBLE), 2) AS price
+  FROM (SELECT o_orderkey, md5('7:' || o_orderkey) AS digest FROM orders)
+"""
+
 ORACLES: dict[str, str] = {
     "stg_orders": STG_ORDERS,
     "stg_weather": STG_WEATHER,
@@ -218,6 +226,10 @@ ORACLES: dict[str, str] = {
     """,
     "weather_merge_first_wins": _merged(0),
     "weather_merge_last_wins": _merged(1),
+    "timestamp_formats": """
+      SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') AS stamp, date_trunc('minute', ts) AS minute
+      FROM events
+    """,
     "latest_partition": """
       SELECT event_id, ts, value FROM events
       WHERE CAST(ts AS DATE) = (SELECT MAX(CAST(ts AS DATE)) FROM events)
@@ -261,13 +273,8 @@ ORACLES: dict[str, str] = {
                ('incomplete', 'product, price', true)
       ) AS inputs(name, missing, has_total), (SELECT COUNT(*) AS n_rows FROM ({SALES}))
     """,
-    "synthetic_sales_rows": f"""
-      SELECT o_orderkey AS order_id,
-             (['Zapatos', 'Camiseta', 'Pantalon', 'Gorra'])[{_draw(1)} % 4 + 1] AS product,
-             {_draw(9)} % 5 + 1 AS quantity,
-             round(10 + 90 * ({_draw(17)} / 4294967296.0::DOUBLE), 2) AS price
-      FROM (SELECT o_orderkey, md5('7:' || o_orderkey) AS digest FROM orders)
-    """,
+    "synthetic_sales_rows": SYNTHETIC,
+    "roundtrip_seed_csv": f"SELECT *, price * quantity AS total FROM ({SYNTHETIC})",
     "workbook_sales": """
       SELECT o_orderkey AS order_id, o_orderpriority AS product, o_custkey AS quantity,
              o_totalprice AS price, o_totalprice * o_custkey AS total
@@ -283,12 +290,12 @@ ORACLES: dict[str, str] = {
         )
       ) WHERE place = 1
     """,
-    "sales_pipeline": _fct(f"""
+    "sales_end_to_end": _fct(f"""
       SELECT order_id, product, CAST(quantity AS INTEGER) AS quantity,
              CAST(price AS DECIMAL(10,2)) AS price, CAST(price * quantity AS DECIMAL(12,2)) AS total
       FROM ({DEDUPED_SALES})
     """),
-    "weather_pipeline": _dim_weather(f"""
+    "weather_end_to_end": _dim_weather(f"""
       SELECT ts_utc, CAST(temp_c AS DECIMAL(5,2)) AS temp_c, CAST(rh_pct AS INTEGER) AS rh_pct
       FROM ({_merged(0)})
     """),

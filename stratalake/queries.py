@@ -10,18 +10,19 @@ from pyspark.sql import functions as F
 
 from stratalake import recast
 from stratalake.constants import SALES_FILE, SALES_KEY
+from stratalake.functions.calendar import utc_stamp
 from stratalake.functions.numeric import to_number, to_strict_bigint
 from stratalake.operators import quality
 from stratalake.operators.clean import clean_sales, columns_report
 from stratalake.operators.dedup import keep_first, merge, stack_by_name
 from stratalake.operators.latest import newest, newest_day
 from stratalake.operators.weather import check_documents, hourly_rows, require_valid_documents
-from stratalake.plans import dims, facts, gold, pipeline, silver, staging
+from stratalake.plans import dims, facts, gold, jobs, silver, staging
 from stratalake.session import scratch_path
 from stratalake.sinks import bronze, files, tables
 from stratalake.sources import workbook
 from stratalake.sources.listing import PLACE
-from stratalake.sources.sales_files import records
+from stratalake.sources.sales_files import records, scan_sales
 from stratalake.sources.synthetic import synthetic_sales
 from stratalake.streaming.weather import start_merge
 
@@ -178,6 +179,15 @@ def weather_merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(*_merge_sides(spark, sf_dir), ["ts_utc"], keep="last")
 
 
+@query
+def timestamp_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times to the stamps of raw file names, and through ISO text back to times."""
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
+    return recast.table(spark, sf_dir, "events").select(
+        "event_id", utc_stamp(F.col("ts")).alias("stamp"), text.cast("timestamp_ntz").alias("minute")
+    )
+
+
 @query
 def latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = recast.table(spark, sf_dir, "events").select("event_id", "ts", "value")
@@ -277,6 +287,14 @@ def synthetic_sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return synthetic_sales(orders, seed=7, id_column="o_orderkey")
 
 
+@query
+def roundtrip_seed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic rows written as a raw file, then scanned and cleaned."""
+    folder = scratch_path(spark, "roundtrip_seed_csv")
+    files.write_csv(synthetic_sales_rows(spark, sf_dir), f"{folder}/ventas_2024.csv")
+    return clean_sales(scan_sales(spark, folder).frames[0], carry=PLACE).drop(*PLACE)
+
+
 @query
 def workbook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as workbooks by Spark tasks, then read back and cleaned."""
@@ -307,27 +325,30 @@ def sales_files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ventas_2023.csv", (*recast.SALES_ORDER, "ORDER_ID"),
     )
     target = f"{folder}/silver"
-    pipeline.files_to_silver(spark, folder, target)
+    jobs.files_to_silver(spark, folder, target)
     return spark.read.parquet(target)
 
 
 @query
-def sales_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, check, silver, load, models, tests; the mart is read from its table."""
-    lake = scratch_path(spark, "sales_pipeline")
+    lake = scratch_path(spark, "sales_end_to_end")
     recast.write_raw_csv(_raw_sales(spark, sf_dir), f"{lake}/seed", "ventas_2024.csv", CSV_ORDER)
-    models = pipeline.sales_end_to_end(spark, f"{lake}/seed", lake, prefix=_unique_name(lake))
+    prefix = _unique_name(lake)
+    models = jobs.sales_end_to_end(spark, f"{lake}/seed", lake, prefix=prefix)
+    _forget_tables(spark, prefix)
     return models["fct_sales_by_product"]
 
 
 @query
-def weather_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landed drops, each taken to silver, table and gold; the dimension is read from its table."""
-    lake = scratch_path(spark, "weather_pipeline")
+    lake = scratch_path(spark, "weather_end_to_end")
     prefix = _unique_name(lake)
     for documents, moment in _drops(spark, sf_dir):
         bronze.land_weather(documents, f"{lake}/bronze/weather", moment)
-        models = pipeline.weather_end_to_end(spark, lake, prefix=prefix, multi_line=False)
+        models = jobs.weather_end_to_end(spark, lake, prefix=prefix, multi_line=False)
+    _forget_tables(spark, prefix)
     return models["dim_weather"]
 
 
@@ -362,6 +383,13 @@ def _unique_name(path: str) -> str:
     return "t_" + path.rpartition("-")[2]
 
 
+def _forget_tables(spark: SparkSession, prefix: str) -> None:
+    """Drops the catalog entries of one run; the files, which the result reads, stay."""
+    for entry in spark.catalog.listTables(pattern=f"{prefix}*"):
+        kind = "VIEW" if entry.tableType in ("VIEW", "TEMPORARY") else "TABLE"
+        spark.sql(f"DROP {kind} IF EXISTS {entry.name}")
+
+
 @query
 def truncate_append_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table loaded twice under a view; the view shows the second load only."""
@@ -372,13 +400,15 @@ def truncate_append_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"{table}_view"
     tables.publish(spark.table(table), view)
     tables.replace_contents(orders.filter("quantity > 25"), table)
-    return spark.table(view).groupBy("product").agg(F.count("*").alias("n_rows"))
+    counts = spark.table(view).groupBy("product").agg(F.count("*").alias("n_rows"))
+    _forget_tables(spark, table)
+    return counts
 
 
 @query
 def roundtrip_csv_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "roundtrip_csv_gold")
-    files.write_csv(gold.weather_daily(recast.hourly(spark, sf_dir)), path, ["date"])
+    files.write_one_csv(gold.weather_daily(recast.hourly(spark, sf_dir)), path, ["date"])
     schema = "date DATE, avg_temp_c DOUBLE, min_temp_c DOUBLE, max_temp_c DOUBLE"
     return _six_places(spark.read.schema(schema).option("header", True).csv(path))
 

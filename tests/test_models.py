@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratalake import recast
 from stratalake.operators import quality
 from stratalake.operators.latest import newest_day
-from stratalake.plans import dims, facts, pipeline, staging
+from stratalake.plans import dims, facts, jobs, staging
 from stratalake.session import scratch_path
 from stratalake.sinks import tables
 from stratalake.sources.tables import read_silver, read_table
@@ -79,7 +79,7 @@ def test_failing_test_stops_the_run(spark):
 
 
 def test_declared_tests_refer_to_models():
-    assert set(quality.DECLARED_TESTS) == set(pipeline.MODELS)
+    assert set(quality.DECLARED_TESTS) == set(jobs.MODELS)
     assert sum(len(t.not_null) for t in quality.DECLARED_TESTS.values()) == 15
     assert sum(len(t.unique) for t in quality.DECLARED_TESTS.values()) == 4
 
@@ -111,7 +111,7 @@ def test_sales_end_to_end(spark, tmp_path):
     for year in (2023, 2024):
         (tmp_path / "seed" / f"ventas_{year}.csv").write_text(
             f"order_id,product,quantity,price\n1,A,2,10.5\n1,A,3,11\n2,B,1,{year}\n")
-        models = pipeline.sales_end_to_end(spark, str(tmp_path / "seed"), str(tmp_path / "lake"), prefix="sales_e2e")
+        models = jobs.sales_end_to_end(spark, str(tmp_path / "seed"), str(tmp_path / "lake"), prefix="sales_e2e")
     assert set(models) == {"stg_orders", "dim_product", "fact_sales", "fct_sales_by_product"}
     assert [(r["product"], r["n_orders"], r["qty"], float(r["revenue"])) for r in
             models["fct_sales_by_product"].orderBy("product").collect()] == [("A", 1, 2, 21.0), ("B", 1, 1, 2023.0)]

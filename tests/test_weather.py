@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import merge
 from stratalake.operators.weather import check_documents, hourly_rows, require_valid_documents
-from stratalake.plans import gold, pipeline
+from stratalake.plans import gold, jobs
 from stratalake.plans.silver import merge_weather
 from stratalake.sinks import files
 from stratalake.sinks.bronze import land_weather, weather_file_name
@@ -173,7 +173,7 @@ def test_merge_agrees_with_pandas(spark, tmp_path_factory, batches):
 def test_gold_file(spark, tmp_path):
     source = hours(spark, ((2, 0), 4.0), ((1, 5), 1.0), ((1, 6), 2.0), ((1, 7), None), ((3, 0), float("nan")), (None, 5.0))
     path = tmp_path / "gold.csv"
-    files.write_csv(gold.weather_daily(source), str(path), ["date"])
+    files.write_one_csv(gold.weather_daily(source), str(path), ["date"])
     parts = list(path.glob("part-*.csv"))
     assert len(parts) == 1 and parts[0].read_text() == (
         "date,avg_temp_c,min_temp_c,max_temp_c\n2025-08-01,1.5,1.0,2.0\n2025-08-02,4.0,4.0,4.0\n2025-08-03,,,\n")
@@ -231,7 +231,7 @@ def test_weather_end_to_end(spark, tmp_path):
     for day, temperature in ((1, 1.0), (3, 3.0)):
         drop(lake / "bronze" / "weather", f"2025080{day}T000000Z",
              document(["2025-08-01T00:00", f"2025-08-0{day}T01:00"], [temperature, 2.0], [40, 41]))
-        models = pipeline.weather_end_to_end(spark, str(lake), prefix="e2e")
+        models = jobs.weather_end_to_end(spark, str(lake), prefix="e2e")
     assert [(r["date_key"], float(r["avg_temp_c"])) for r in models["dim_weather"].orderBy("date").collect()] == [
         (20250801, 1.5), (20250803, 2.0)]
     assert models["dim_date"].count() == 3

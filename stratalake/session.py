@@ -27,6 +27,12 @@ def build_session(app: str = "stratalake", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Raise if failed casts and overflows would become NULL in this session."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("set spark.sql.ansi.enabled to true")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder that all executors share.
 

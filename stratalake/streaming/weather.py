@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.constants import WEATHER_DOCUMENT, WEATHER_GLOB
 from stratalake.plans.silver import merge_weather
+from stratalake.session import require_ansi
 from stratalake.sources.weather_files import with_file, with_row
 
 
@@ -19,6 +20,7 @@ def start_merge(
     What has been seen lives in the silver table, so late hours of any age are merged and no
     watermark is needed. A batch that is tried again after a failure changes nothing.
     """
+    require_ansi(spark)
     reader = (
         spark.readStream.schema(WEATHER_DOCUMENT).option("multiLine", multi_line)
         .option("mode", "FAILFAST")

@@ -118,6 +118,15 @@ def test_sales_end_to_end(spark, tmp_path):
     assert models["fact_sales"].join(models["dim_product"], "product_key").count() == 2
 
 
+def test_ansi_is_required(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="ansi"):
+            jobs.build_models({"orders": spark.createDataFrame([], ORDERS)})
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_missing_silver_fails_before_load(spark, tmp_path):
     with pytest.raises(PySparkException):
         read_silver(spark, str(tmp_path / "none"))

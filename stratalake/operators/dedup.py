@@ -40,7 +40,12 @@ def merge(
     return keep_first(rows, keys, [direction(c) for c in ("_side", *order)]).drop("_side")
 
 
-def not_yet_stored(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
-    """Rows of `new` whose key is absent from `old`; NULL matches NULL."""
-    seen = old.select(F.col(key).alias("_seen"))
-    return new.join(seen, new[key].eqNullSafe(seen["_seen"]), "left_anti")
+def not_yet_stored(new: DataFrame, old: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """First row per key of `new`, for keys that `old` lacks; NULL matches NULL.
+
+    Of `old` only the key is read. Both sides meet in one shuffle, which a join after
+    deduplication could not do, and repeated keys are cut down before it.
+    """
+    seen = old.select(key, F.lit(0).alias("_side"))
+    rows = stack_by_name([new.withColumn("_side", F.lit(1)), seen])
+    return keep_first(rows, [key], ["_side", *order]).filter("_side = 1").drop("_side")

@@ -241,9 +241,9 @@ ORACLES: dict[str, str] = {
     "weather_explode": HUMIDITY_AS_DOUBLE.format(HOURLY),
     "weather_doc_validation": f"""
       SELECT document, has_hourly,
-             CASE WHEN has_hourly THEN n END AS n_time,
-             CASE WHEN has_hourly THEN n_low END AS n_temperature_2m,
-             CASE WHEN has_hourly THEN n END AS n_relative_humidity_2m,
+             CASE WHEN has_hourly THEN n ELSE 0 END AS n_time,
+             CASE WHEN has_hourly THEN n_low ELSE 0 END AS n_temperature_2m,
+             CASE WHEN has_hourly THEN n ELSE 0 END AS n_relative_humidity_2m,
              has_hourly AND n = n_low AS is_valid
       FROM (
         SELECT event_id // {HOURS_PER_DOCUMENT} AS document, CAST(COUNT(*) AS INTEGER) AS n,

@@ -221,7 +221,7 @@ def weather_doc_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = recast.documents(recast.table(spark, sf_dir, "events")).withColumn(
         "hourly", F.when(F.get("hourly.relative_humidity_2m", F.lit(0)) >= 20, hourly)
     )
-    return check_documents(damaged, "document")
+    return check_documents(damaged, "document").fillna(0)
 
 
 # --- data tests -----------------------------------------------------------------------------

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+BYTES_PER_PARTITION = 256 * 1024**2
+MOST_PARTITIONS = 100_000
+
 SETTINGS = {
     # A failed cast must stop the job instead of turning into NULL.
     "spark.sql.ansi.enabled": "true",
@@ -33,6 +40,23 @@ def require_ansi(spark: SparkSession) -> None:
         raise RuntimeError("set spark.sql.ansi.enabled to true")
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
+    """Gives shuffles inside the block enough partitions for an input of that size.
+
+    Adaptive execution merges partitions that turn out small but never adds any, so the
+    session's number is only ever raised. Beyond the most partitions that a shuffle can
+    sensibly have, each of them grows and spills.
+    """
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    needed = min(math.ceil(input_bytes / BYTES_PER_PARTITION), MOST_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(max(needed, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder that all executors share.
 

@@ -9,8 +9,12 @@ from stratalake.constants import WEATHER_DOCUMENT, WEATHER_FILE, WEATHER_GLOB
 from stratalake.sources.listing import file_of, list_files, newest_name
 
 
+def weather_listing(spark: SparkSession, folder: str) -> DataFrame:
+    return list_files(spark, folder, WEATHER_GLOB, WEATHER_FILE)
+
+
 def newest_weather_file(spark: SparkSession, folder: str) -> str:
-    return newest_name(list_files(spark, folder, WEATHER_GLOB, WEATHER_FILE))
+    return newest_name(weather_listing(spark, folder))
 
 
 def read_documents(

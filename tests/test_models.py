@@ -11,7 +11,7 @@ from stratalake import recast
 from stratalake.operators import quality
 from stratalake.operators.latest import newest_day
 from stratalake.plans import dims, facts, jobs, staging
-from stratalake.session import scratch_path
+from stratalake.session import scratch_path, sized_shuffles
 from stratalake.sinks import tables
 from stratalake.sources.tables import read_silver, read_table
 
@@ -118,6 +118,17 @@ def test_sales_end_to_end(spark, tmp_path):
     assert models["fact_sales"].join(models["dim_product"], "product_key").count() == 2
 
 
+def test_shuffles_grow_with_the_input(spark):
+    key = "spark.sql.shuffle.partitions"
+
+    def partitions(n_bytes):
+        with sized_shuffles(spark, n_bytes):
+            return spark.conf.get(key)
+
+    assert [partitions(n) for n in (0, 10 * 2**30, 10**15)] == ["8", "40", "100000"]
+    assert spark.conf.get(key) == "8"
+
+
 def test_ansi_is_required(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:

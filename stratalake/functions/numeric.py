@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Sign, digits with an optional point, optional exponent. Java's own parser would also take
 # `1.5d`, `NaN` and `Infinity`, none of which is a price.
 PLAIN_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
 
 
 def to_number(text: Column) -> Column:
@@ -20,14 +19,14 @@ def to_number(text: Column) -> Column:
 def to_strict_bigint(text: Column, name: str) -> Column:
     """Text to bigint; a fraction is cut off, a missing or unreadable value fails the job.
 
-    Whole numbers take the direct cast, so ids above 2^53 keep every digit. The patterns come
+    Whole numbers take the direct cast, so ids above 2^53 keep every digit. The pattern comes
     first because a cast that fails costs an exception per row.
     """
+    fractional = F.contains(text, F.lit(".")) | F.contains(F.lower(text), F.lit("e"))
+    value = F.when(fractional, text.cast("double").cast("bigint")).otherwise(text.cast("bigint"))
     problem = F.concat(F.lit(f"column {name} needs a whole number, found: "),
                        F.coalesce(text, F.lit("nothing")))
-    return F.when(text.rlike(WHOLE_NUMBER), text.cast("bigint")).otherwise(
-        F.coalesce(to_number(text).cast("bigint"), F.raise_error(problem).cast("bigint"))
-    )
+    return F.when(text.rlike(PLAIN_NUMBER), value).otherwise(F.raise_error(problem).cast("bigint"))
 
 
 def exact_mean(value: Column) -> Column:

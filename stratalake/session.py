@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,7 +11,6 @@ from pyspark.sql import SparkSession
 
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 BYTES_PER_PARTITION = 256 * 1024**2
-MOST_PARTITIONS = 100_000
 
 SETTINGS = {
     # A failed cast must stop the job instead of turning into NULL.
@@ -45,11 +43,10 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Gives shuffles inside the block enough partitions for an input of that size.
 
     Adaptive execution merges partitions that turn out small but never adds any, so the
-    session's number is only ever raised. Beyond the most partitions that a shuffle can
-    sensibly have, each of them grows and spills.
+    session's number is only ever raised.
     """
     before = spark.conf.get(SHUFFLE_PARTITIONS)
-    needed = min(math.ceil(input_bytes / BYTES_PER_PARTITION), MOST_PARTITIONS)
+    needed = math.ceil(input_bytes / BYTES_PER_PARTITION)
     spark.conf.set(SHUFFLE_PARTITIONS, str(max(needed, int(before))))
     try:
         yield
@@ -58,14 +55,12 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder that all executors share.
+    """A fresh path under a folder that all executors share.
 
-    The cluster names that folder in `spark.checkpoint.dir`. Only a local session may fall
-    back to a temporary folder, since there the driver and the executors are one machine.
+    The cluster names that folder in `spark.checkpoint.dir`; without it, the path lies below
+    the warehouse, which every session has and every executor reaches too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="stratalake-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.session import scratch_path
 
@@ -27,6 +28,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remainder_of_id(divisor: int, doc_id: str = "doc_id") -> Column:
+    """crc32 of the id's decimal digits, modulo `divisor`: how ids are dealt into folds."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spreads each 64-bit integer over all its bits (a bijection)."""
     x = x ^ (x >> np.uint64(32))
@@ -105,8 +111,31 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
-def crc32_of_text(ids: pa.Array) -> np.ndarray:
-    """crc32 of each integer's decimal digits."""
-    import zlib
+def letters() -> np.ndarray:
+    """For every code point: is it a letter?"""
+    if not len(_LETTERS):
+        _LETTERS.append(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
+    return _LETTERS[0]
+
+
+_LETTERS: list[np.ndarray] = []
+
+
+def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the lower-cased texts, one after the other with a 0 behind each, and where each begins."""
+    low = [(t or "").lower() for t in texts]
+    codes = np.frombuffer("\0".join([*low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.cumsum([0, *(len(t) + 1 for t in low)])
+
 
-    return np.array([zlib.crc32(str(i).encode()) for i in ids.to_pylist()], dtype=np.int64)
+def text_runs(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES // 4) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Cuts a batch into runs of rows with about `most` characters, longer texts alone."""
+    texts = column(batch, text).to_pylist()
+    low = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t or "") > most:
+            yield batch.slice(low, i - low), texts[low:i]
+            low, size = i, 0
+        size += len(t or "")
+    if low < len(texts):
+        yield batch.slice(low), texts[low:]

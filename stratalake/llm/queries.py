@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm import orc_tokens, packing, url_filter
-from stratalake.llm.common import read_table
+from stratalake.llm import lang_id, orc_tokens, packing, toxicity, url_filter
+from stratalake.llm.common import read_table, remainder_of_id
 from stratalake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,21 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.token_digests(spark, path)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder_of_id(4) == 2, F.lit(True))
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.filter(~held_out).select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.judge(docs, model, ["doc_id", held_out.alias("held_out")])
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder_of_id(3) == 1, F.lit(True))
+    model = lang_id.train(docs.filter(~held_out))
+    return lang_id.identify(docs, model, ["doc_id", held_out.alias("held_out")])
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).drop("url")
@@ -36,6 +52,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op6_orc_tokens": op6_orc_tokens,
+    "op7_toxicity": op7_toxicity,
+    "op8_language_id": op8_language_id,
     "op10_url_filter": op10_url_filter,
 }
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import lang_id, orc_tokens, packing, toxicity, url_filter
-from stratalake.llm.common import read_table, remainder_of_id
+from stratalake.llm import lang_id, orc_tokens, packing, simhash, toxicity, url_filter
+from stratalake.llm.common import read_table, remainder_of_id, written
 from stratalake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(docs, model, ["doc_id", held_out.alias("held_out")])
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`n_within`: for ids divisible by 50, the rows whose fingerprint is within the radius, itself included."""
+    prints = written(simhash.fingerprint_documents(read_table(spark, sf_dir, "documents")), "documents_with_fingerprints")
+    asked = prints.filter(F.col("doc_id") % 50 == 0)
+    near = simhash.within_radius(prints, asked).groupBy("query").agg(F.sum("n").alias("n_within"))
+    searched = asked.join(near, F.col("fingerprint") == F.col("query"), "left").drop("query")
+    rest = prints.filter((F.col("doc_id") % 50 != 0) | F.col("doc_id").isNull()).withColumn("n_within", F.lit(None).cast("long"))
+    return searched.unionByName(rest)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).drop("url")
@@ -54,6 +64,7 @@ REGISTRY: dict[str, Query] = {
     "op6_orc_tokens": op6_orc_tokens,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
+    "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
 }
 

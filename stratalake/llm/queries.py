@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import lang_id, orc_tokens, packing, simhash, toxicity, url_filter
+from stratalake.llm import lang_id, orc_tokens, packing, sentencepieces, sharding, simhash, toxicity, url_filter
 from stratalake.llm.common import read_table, remainder_of_id, written
 from stratalake.session import scratch_path
 
@@ -18,11 +18,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read_table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "orc_tokens")
     orc_tokens.write_tokens(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -60,7 +68,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_orc_tokens": op6_orc_tokens,
     "op7_toxicity": op7_toxicity,
     "op8_language_id": op8_language_id,
@@ -69,6 +79,21 @@ REGISTRY: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_sharding": f"""
+        WITH sized AS (
+            SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hashed, coalesce(strlen(text), 0) AS n_bytes
+            FROM documents
+        ), levels AS (
+            SELECT depth, hashed >> (60 - depth) AS bucket, sum(n_bytes)::BIGINT AS shard_bytes, min(hashed) AS low, max(hashed) AS high
+            FROM sized, (SELECT unnest(range(0, 61))::INTEGER AS depth) GROUP BY ALL
+        ), leaves AS (
+            SELECT hashed, min(levels.depth) AS depth FROM (SELECT DISTINCT hashed FROM sized) JOIN levels ON hashed >> (60 - depth) = bucket
+            WHERE shard_bytes <= {sharding.SHARD_BYTES} OR low = high GROUP BY hashed
+        )
+        SELECT doc_id, n_bytes, leaves.depth AS depth, left(lpad(bin(hashed), 60, '0'), leaves.depth) AS shard, shard_bytes,
+            shard_bytes > {sharding.SHARD_BYTES} AS oversize
+        FROM sized JOIN leaves USING (hashed) JOIN levels ON levels.depth = leaves.depth AND bucket = hashed >> (60 - leaves.depth)
+    """,
     "op10_url_filter": r"""
         WITH parts AS (
             SELECT page_id,

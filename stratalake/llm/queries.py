@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import curves, lang_id, orc_tokens, packing, sentencepieces, sharding, simhash, toxicity, url_filter
+from stratalake.llm import curves, lang_id, orc_tokens, packing, partenum, sentencepieces, sharding, simhash, toxicity, url_filter
 from stratalake.llm.common import read_table, remainder_of_id, written
 from stratalake.session import scratch_path
 
@@ -18,6 +18,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op2_space_filling_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -72,6 +76,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_space_filling_curves": op2_space_filling_curves,
     "op3_sharding": op3_sharding,
     "op4_packing": op4_packing,

@@ -215,18 +215,22 @@ def neighbours(rows: DataFrame, is_query: Column, k: int, vector_id: str = "vec_
         own, pool = ids[asked], ids[~asked]
         found = []
         if len(own) and len(pool):
+            single = len(np.unique(pool)) == len(pool)
             rows, queries = vectors[~asked], vectors[asked]
             rough = queries @ rows.T
             slack = 1e-9 * longest * longest
             for i, q in enumerate(own):
                 others = pool != q
                 line = rough[i]
-                if others.sum() > k:
+                if single and others.sum() > k:
                     least = np.partition(line[others], -k)[-k] - slack
                     others &= line >= least
                 some = np.flatnonzero(others)
                 exact = (rows[some] * queries[i]).sum(axis=1)
-                best = np.lexsort((pool[some], -exact))[:k]
+                best = np.lexsort((pool[some], -exact))
+                if not single:
+                    best = best[np.sort(np.unique(pool[some][best], return_index=True)[1])]
+                best = best[:k]
                 found.append((np.full(len(best), q), pool[some][best], exact[best]))
         parts = zip(*found, strict=True) if found else ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, parts), strict=True)))

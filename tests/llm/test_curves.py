@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import curves
+from stratalake.llm.curves import hilbert_keys, neighbours
+
+SCHEMA = "vec_id long, embedding array<float>, rank string, score string"
+
+
+def exact(rows, k, every):
+    """Nearest by inner product among all rows, as {query: [(vec_id, score)]}."""
+    good = {}
+    for i, v in rows:
+        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            good.setdefault(i, []).append(np.array(v, np.float32).astype(float))
+    out = {}
+    for q in good:
+        if q % every == 0:
+            scores = {i: max(float(a @ b) for a in vs for b in good[q]) for i, vs in good.items() if i != q}
+            out[q] = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]
+    return out
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, "r", "s") for i, v in rows], SCHEMA).repartition(4)
+
+
+@pytest.mark.parametrize("dims,bits", [(1, 4), (2, 4), (3, 3), (4, 2), (16, 1)])
+def test_hilbert_curve_steps_to_a_neighbour(dims, bits):
+    cells = np.stack(np.meshgrid(*[np.arange(2**bits)] * dims, indexing="ij"), axis=-1).reshape(-1, dims)
+    keys = hilbert_keys(cells, bits)
+    assert sorted(keys.tolist()) == list(range(2 ** (bits * dims)))
+    path = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_small_tables_are_searched_whole(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.normal(size=8) * rng.uniform(0.1, 5)).astype(np.float32).tolist()) for i in range(200)]
+    got, want = found(neighbours(frame(spark, rows), F.col("vec_id") % 20 == 0, 20)), exact(rows, 20, 20)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=0, atol=1e-12)
+
+
+def test_recall_with_many_ranges_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(curves, "LEAST_ROWS", 32)
+    monkeypatch.setattr(curves, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(curves, "BLOCK_QUERIES", 5)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=24).astype(np.float32).tolist()) for i in range(3000)]
+    rows += [(3000 + i, rows[17][1]) for i in range(400)]  # one very common vector
+    got, want = found(neighbours(frame(spark, rows), F.col("vec_id") % 50 == 0, 20)), exact(rows, 20, 50)
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want]
+    assert sum(hits) >= 0.9 * 20 * len(want)
+    assert all(len(v) == 20 for v in got.values())
+    assert [i for i, _ in got[3000]] == [i for i, _ in want[3000]]  # ties go to smaller ids
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
+            (None, [9.0, 9.0]), (8, [1.0, 2.0, 3.0]), (9, [1.0, 1.0]), (9, [5.0, 0.0]), (20, [2.0, 0.5]), (20, [2.0, 0.5])]
+    got = found(neighbours(frame(spark, rows), F.col("vec_id") % 20 == 0, 3))
+    assert got == {0: [(9, 5.0), (20, 2.0), (1, 1.0)], 20: [(9, 10.0), (1, 2.5), (0, 2.0)]}
+
+
+def test_empty_tables(spark):
+    assert found(neighbours(frame(spark, []), F.col("vec_id") % 20 == 0, 3)) == {}
+    assert found(neighbours(frame(spark, [(1, None)]), F.col("vec_id") % 20 == 0, 3)) == {}
+    assert found(neighbours(frame(spark, [(20, [1.0])]), F.col("vec_id") % 20 == 0, 3)) == {}

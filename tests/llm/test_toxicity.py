@@ -1,0 +1,118 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+
+from stratalake.llm.toxicity import Term, automaton, chosen_terms, find_hits, judge, train
+
+SCHEMA = "doc_id long, text string, score string, predicted string"
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_automaton_accepts_words_within_the_distance():
+    rng = random.Random(1)
+    terms = [Term(t, False, 9, 0) for t in ("abc", "abcab", "bacca", "cabbacabb", "aaaabbbbcc")]
+    own = automaton(terms)
+    words = ["".join(rng.choices("abcx", k=rng.randrange(1, 13))) for _ in range(3000)]
+    for t in terms:
+        for _ in range(200):
+            w = list(t.text)
+            for _ in range(rng.randrange(3)):
+                i = rng.randrange(len(w))
+                w[i : i + 1] = rng.choice([[], [rng.choice("abcx")], [w[i], rng.choice("abcx")]])
+            words.append("".join(w) or "a")
+    hits = find_hits([" ".join(words)], own)
+    starts = np.cumsum([0, *(len(w) + 1 for w in words)])[:-1]
+    assert len(hits.words) == 1 and hits.words[0] == len(words) and len(starts) == len(words)
+    singles = find_hits(words, own)
+    found = dict(zip(singles.text.tolist(), zip(singles.term.tolist(), singles.distance.tolist()), strict=True))
+    for i, w in enumerate(words):
+        options = [(levenshtein(w, t.text), k) for k, t in enumerate(terms) if levenshtein(w, t.text) <= t.errors]
+        if options:
+            assert found[i][1] == min(options)[0] and (found[i][1], found[i][0]) in options, w
+        else:
+            assert i not in found, w
+
+
+def test_stems_match_beginnings_only():
+    own = automaton([Term("achl", True, 9, 0), Term("scum", False, 9, 0)])
+    hits = find_hits(["Achlimp xachl achl ACHLEN scums scum", None, "", "scum\n"], own)
+    assert list(zip(hits.text.tolist(), hits.term.tolist(), strict=True)) == [(0, 0), (0, 0), (0, 0), (0, 1), (3, 1)]
+    assert hits.words.tolist() == [6, 0, 0, 1]
+
+
+def test_context():
+    own = automaton([Term("scum", False, 9, 0)])
+    hits = find_hits(['He said "you scum" to me', "you scum", 'a "b" scum "c"', '"open scum\nscum', "scum x x x x x x x scum scum"], own)
+    assert hits.quoted.tolist() == [True, False, False, False, False, False, False, False]
+    assert hits.near.tolist()[-3:] == [0, 1, 1]
+
+
+def test_a_table_too_large_keeps_the_leading_terms():
+    own = automaton([Term("abcdefghij", False, 9, 0), Term("klmnopqrst", False, 5, 0)], most_states=400)
+    assert find_hits(["abcdefghij klmnopqrst"], own).term.tolist() == [0]
+
+
+def test_chosen_terms():
+    terms = [Term(*x) for x in (("idio", True, 50, 3), ("idiot", False, 50, 0), ("achl", True, 40, 1), ("achler", False, 12, 0), ("achlung", False, 11, 0))]
+    assert [(t.text, t.stem) for t in chosen_terms(terms)] == [("idiot", False), ("achl", True)]
+
+
+def tables(spark, n=600):
+    rng = random.Random(3)
+    rows, labels = [], []
+    for i in range(n):
+        words = ["".join(rng.choices("etaoin", k=rng.randrange(2, 8))) for _ in range(rng.randrange(5, 60))]
+        bad = i % 5 == 0
+        if bad:
+            for _ in range(rng.randrange(1, 4)):
+                words.insert(rng.randrange(len(words)), rng.choice(["wretch", "blockhead", "ugh" + "".join(rng.choices("xyz", k=3))]))
+        rows.append((i, " ".join(words), "s", "p"))
+        labels.append((i, int(bad)))
+    return spark.createDataFrame(rows, SCHEMA).repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_held_out_rows_and_misspellings(spark):
+    docs, labels = tables(spark)
+    model = train(docs, labels.filter("doc_id % 3 != 0"))
+    got = {r.doc_id: r.flag for r in judge(docs, model, ["doc_id"]).select("doc_id", F.col("predicted").alias("flag")).collect()}
+    held = [i for i in got if i % 3 == 0]
+    assert sum(got[i] == int(i % 5 == 0) for i in held) >= 0.95 * len(held)
+    odd = [(1, None), (2, ""), (3, "noise tone"), (4, "you wretsch"), (5, "blokhead and blockheat"), (6, "wretch " * 20000), (6, "wretch " * 20000),
+           (7, 'he wrote "wretch" there'), (8, "you wretch")]
+    frame = spark.createDataFrame([(d, t, "s", "p") for d, t in odd], SCHEMA)
+    scores = {r.doc_id: r.score for r in judge(frame, model, ["doc_id"]).collect()}
+    assert judge(frame, model, ["doc_id"]).count() == len(odd)
+    assert scores[1] == scores[2] == scores[3] < 0.3 <= scores[8]
+    assert scores[4] > scores[3] and scores[5] > scores[3] and scores[6] >= 0.3 and scores[7] < scores[8]
+
+
+def test_nothing_to_learn(spark):
+    docs, labels = tables(spark, 10)
+    none = labels.filter("toxic > 1")
+    assert {r.score for r in judge(docs, train(docs, none), ["doc_id"]).collect()} == {0.0}
+    assert {r.score for r in judge(docs, train(docs, labels.filter("toxic = 1")), ["doc_id"]).collect()} == {1.0}
+    assert judge(docs.limit(0), train(docs, none), ["doc_id"]).collect() == []
+    unlike = spark.createDataFrame([(i, f"same words {'' if i % 2 else ''}", "s", "p") for i in range(20)], SCHEMA)
+    even = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(1, None)], "doc_id long, toxic int")
+    assert {r.score for r in judge(unlike, train(unlike, even), ["doc_id"]).collect()} == {0.5}
+
+
+def test_held_out_accuracy_on_the_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = train(docs, labels.filter(~fold))
+    held = judge(docs, model, ["doc_id"]).join(labels.filter(fold), "doc_id").select("toxic", "predicted").toPandas()
+    both = ((held.toxic == 1) & (held.predicted == 1)).sum()
+    assert both / (held.predicted == 1).sum() >= 0.95
+    assert both / (held.toxic == 1).sum() >= 0.9

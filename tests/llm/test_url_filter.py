@@ -1,0 +1,60 @@
+import re
+
+import pytest
+
+from stratalake.llm import url_filter
+from stratalake.llm.url_filter import DigestArray, judge, pack_rules
+
+SCHEMA = "page_id long, url string, host string, verdict string"
+RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow", "bare.io": "block"}
+URLS = [
+    None, "", "no scheme", "http://", "://", "http://example.net", "http://Example.NET/en/x?q=/de/", "https://a.b.example.net/en/", "http://example.net/en",
+    "http://x.net/", "http://xnet/", "http://net/a#b", "ftp://example.com/de/1", "http://badexample.com/de/", "http://www.example.com/DE/", "http://o.org/fr/",
+    "http://o.org?x=/fr/", "http://bare.io", "http://sub.bare.io/any?x", "http://ÄB.net/ü", "http://a.net#/x", "http://example.net:80/en/", "http://u@a.net/",
+    "x://y://z.net/", "http://..net/", "http://example.com/de/" + "long/" * 5000, "http://a\nb.net/c\nd?e",
+]
+
+
+def expected(url, rules):
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = url.split("://", 1)[1]
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host) :])[0]
+        host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = []
+    for rule, verdict in rules.items():
+        own, slash, tail = rule.partition("/")
+        if (host == own or host.endswith("." + own)) and path.startswith(slash + tail):
+            fits.append((len(rule), rule, verdict))
+    return (host, path, *(max(fits)[1:] if fits else (None, "allow")))
+
+
+@pytest.mark.parametrize("rules", [RULES, {}])
+def test_longest_rule_wins(spark, rules):
+    rows = [(i, u, "h", "v") for i, u in enumerate(URLS + URLS[:4])]
+    got = judge(spark.createDataFrame(rows, SCHEMA).repartition(3), rules).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in got] == [expected(u, rules) for _, u, _, _ in rows]
+    assert [r.url for r in got] == [u for _, u, _, _ in rows]
+
+
+def test_empty_table(spark):
+    assert judge(spark.createDataFrame([], SCHEMA), RULES).collect() == []
+
+
+def test_digest_collisions_are_told_apart_by_text(tmp_path, monkeypatch):
+    monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda b: len(b) % 3)
+    path = tmp_path / "rules.bin"
+    path.write_bytes(pack_rules({f"h{i}.net/": "block" for i in range(50)}))
+    array = DigestArray(str(path))
+    keys = [f"h{i}.net/".encode() for i in range(60)]
+    found = array.find(keys)
+    assert [array.text(j) if j >= 0 else None for j in found] == keys[:50] + [None] * 10
+
+
+def test_refused_lists(spark, monkeypatch):
+    with pytest.raises(ValueError):
+        url_filter.ship_rules(spark, {"a.net/b": "block"})
+    monkeypatch.setattr(url_filter, "MOST_FILE_BYTES", 10)
+    with pytest.raises(ValueError):
+        url_filter.ship_rules(spark, RULES)

@@ -48,8 +48,7 @@ def op6_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held_out = F.coalesce(remainder_of_id(4) == 2, F.lit(True))
-    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(docs.filter(~held_out).select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels").filter(~held_out))
     return toxicity.judge(docs, model, ["doc_id", held_out.alias("held_out")])
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import code_points, column, letters, text_runs
+from stratalake.llm.common import code_points, column, letters, text_runs, written
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
 MOST_TERMS = 400
@@ -319,19 +319,26 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return beta
 
 
-def train(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> ToxicityModel:
-    """Fits lexicon and regression on rows of (doc_id, text, toxic); the caller has left out the rest."""
-    labelled = labelled.filter(F.col("toxic").isin(0, 1))
-    sizes = {int(r[0]): r[1] for r in labelled.groupBy("toxic").count().collect()}
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> ToxicityModel:
+    """Fits lexicon and regression on docs (doc_id, text) and labels (doc_id, toxic); the caller has left out the rest.
+
+    The labels' ids are sampled before they meet the texts, so only the sample's texts are moved.
+    """
+    labels = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1)).distinct()
+    sizes = {int(r[0]): r[1] for r in labels.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return ToxicityModel(base=1.0 if n_toxic else 0.0)
     share = {1: min(1.0, toxic_rows / n_toxic), 0: min(1.0, clean_rows / n_clean)}
     limit = F.when(F.col("toxic") == 1, share[1] * 1e6).otherwise(share[0] * 1e6)
-    sample = labelled.filter(F.expr("pmod(xxhash64(doc_id, 'toxicity'), 1000000)") < limit).select("text", F.col("toxic").cast("int").alias("toxic"))
+    chosen = labels.filter(F.expr("pmod(xxhash64(doc_id, 'toxicity'), 1000000)") < limit)
+    # About toxic_rows + clean_rows ids, 12 bytes each, whatever the size of the tables.
+    sample = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity_sample")
 
     used = {int(r[0]): r[1] for r in sample.groupBy("toxic").count().collect()}
     u_toxic, u_clean = used.get(1, 0), used.get(0, 0)
+    if not u_toxic or not u_clean:
+        return ToxicityModel(base=1.0 if u_toxic else 0.0)
     least = max(2, min(LEAST_TOXIC, u_toxic // 10))
     even = F.col("toxic") * (u_clean / max(u_toxic, 1))
     strong = (F.col("toxic") >= least) & (F.col("toxic") >= LEAST_PURITY * (F.col("toxic") + F.col("clean") * share[1] / share[0]))

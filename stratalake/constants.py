@@ -9,7 +9,6 @@ WEATHER_STAMP = "%Y%m%dT%H%M%SZ"
 
 # Columns of a sales file.
 REQUIRED_SALES_COLUMNS = ("order_id", "product", "quantity", "price")
-OPTIONAL_SALES_COLUMNS = ("total",)
 SALES_KEY = ("order_id", "product")
 
 # Cell texts that mean "no value" (the documented defaults of pandas readers).

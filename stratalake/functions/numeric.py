@@ -23,7 +23,12 @@ def to_strict_bigint(text: Column, name: str) -> Column:
     first because a cast that fails costs an exception per row.
     """
     fractional = F.contains(text, F.lit(".")) | F.contains(F.lower(text), F.lit("e"))
-    value = F.when(fractional, text.cast("double").cast("bigint")).otherwise(text.cast("bigint"))
+    # Digits before the point are taken as they stand; only an exponent needs a number to shift.
+    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
+    value = (
+        F.when(~fractional, text.cast("bigint")).when(digits != "", digits.cast("bigint"))
+        .otherwise(text.cast("decimal(38,18)").cast("bigint"))
+    )
     problem = F.concat(F.lit(f"column {name} needs a whole number, found: "),
                        F.coalesce(text, F.lit("nothing")))
     return F.when(text.rlike(PLAIN_NUMBER), value).otherwise(F.raise_error(problem).cast("bigint"))
@@ -33,9 +38,10 @@ def exact_mean(value: Column) -> Column:
     """Mean of an integer or two-decimal column as decimal(34,16), rounded once.
 
     `avg` over decimal(10,2) keeps six decimals, so casting its result to two would round
-    twice. The quotient below has 16 decimals and holds 10^13 rows per group.
+    twice. Values are widened before they are summed; the quotient below has 16 decimals and
+    holds 10^13 rows and a sum of 10^18 per group.
     """
-    return F.sum(value).cast("decimal(20,2)") / F.count(value).cast("decimal(13,0)")
+    return F.sum(value.cast("decimal(20,2)")).cast("decimal(20,2)") / F.count(value).cast("decimal(13,0)")
 
 
 def nan_to_null(value: Column) -> Column:

@@ -26,12 +26,12 @@ def stack_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def merge(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = (), keep: str = "first",
+    old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "first",
 ) -> DataFrame:
     """Stack `new` under `old` and keep one row per key.
 
     `keep="first"` lets stored rows win, `keep="last"` lets the newest row win. `order` names
-    columns that order the rows inside one side.
+    columns that order the rows inside one side; it may be empty only if each side is unique.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")

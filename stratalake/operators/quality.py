@@ -88,24 +88,53 @@ def reference_failures(
 def run_tests(
     models: Mapping[str, DataFrame], declared: Mapping[str, ModelTests] = DECLARED_TESTS
 ) -> DataFrame:
-    """(model, column, test, failures), one row per declared test of the given models."""
+    """(model, column, test, failures), one row per declared test of the given models.
+
+    All tests of a model share one pass over it, as long as at most one of its columns is
+    tested for uniqueness or against a parent.
+    """
     reports = []
     for name, tests in declared.items():
-        if name not in models:
-            continue
-        df = models[name]
-        parts = [not_null_failures(df, tests.not_null)] if tests.not_null else []
-        parts += [unique_failures(df, c) for c in tests.unique]
-        parts += [
-            reference_failures(df, r.column, models[r.parent], r.parent_column)
-            for r in tests.references
-        ]
-        reports += [part.select(F.lit(name).alias("model"), "*") for part in parts]
+        if name in models and (tests.not_null or tests.unique or tests.references):
+            reports += [part.select(F.lit(name).alias("model"), "*") for part in _passes(models[name], tests, models)]
     if not reports:
         raise ValueError("none of the given models has a declared test")
     return stack_by_name(reports)
 
 
+def _passes(df: DataFrame, tests: ModelTests, models: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Reports of one model: one per column that rows are grouped by, the first with all NULL counts."""
+    keys = list(dict.fromkeys([*tests.unique, *(r.column for r in tests.references)]))
+    if not keys:
+        return [not_null_failures(df, tests.not_null)]
+    return [_one_pass(df, key, tests.not_null if key == keys[0] else (), tests, models) for key in keys]
+
+
+def _one_pass(
+    df: DataFrame, key: str, not_null: Sequence[str], tests: ModelTests, models: Mapping[str, DataFrame]
+) -> DataFrame:
+    """NULL counts, uniqueness and references of `key` from one aggregate by `key`."""
+    nulls = {c: f"_null_{i}" for i, c in enumerate(not_null)}
+    groups = df.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()]
+    )
+    given = F.col("_key").isNotNull()
+    failures = [(c, "not_null", F.sum(n)) for c, n in nulls.items()]
+    if key in tests.unique:
+        failures.append((key, "unique", F.count_if(given & (F.col("_rows") > 1))))
+    for i, reference in enumerate(r for r in tests.references if r.column == key):
+        parents = models[reference.parent].select(F.col(reference.parent_column).alias("_parent")).distinct()
+        found = f"_found_{i}"
+        groups = groups.join(parents.withColumn(found, F.lit(True)), F.col("_key") == F.col("_parent"), "left").drop("_parent")
+        failures.append((key, "relationships", F.sum(F.when(given & F.col(found).isNull(), F.col("_rows")))))
+    counts = groups.agg(*[F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias(f"_{i}") for i, (_, _, n) in enumerate(failures)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(test).alias("test"), F.col(f"_{i}").alias("failures"))
+        for i, (c, test, _) in enumerate(failures)
+    ])
+    return counts.select(F.inline(rows))
+
+
 def require_passed(report: DataFrame) -> None:
     """Raise if a test failed. The report has one row per test, so it fits the driver."""
     failed = report.filter("failures > 0").collect()

@@ -275,10 +275,9 @@ ORACLES: dict[str, str] = {
     """,
     "synthetic_sales_rows": SYNTHETIC,
     "roundtrip_seed_csv": f"SELECT *, price * quantity AS total FROM ({SYNTHETIC})",
-    "workbook_sales": """
-      SELECT o_orderkey AS order_id, o_orderpriority AS product, o_custkey AS quantity,
-             o_totalprice AS price, o_totalprice * o_custkey AS total
-      FROM orders
+    "sales_part_folders": f"""
+      SELECT way, product, COUNT(DISTINCT order_id) AS n_rows, true AS in_place
+      FROM ({SALES}), (VALUES ('files'), ('landed')) AS ways(way) GROUP BY way, product
     """,
     "sales_files_to_silver": f"""
       SELECT order_id, product, CAST(quantity AS BIGINT) AS quantity, price, total FROM (

@@ -34,7 +34,7 @@ def dim_date(stg_weather: DataFrame) -> DataFrame:
         calendar.month_name(day).alias("month_name"),
         F.year(day).alias("year"),
         calendar.is_weekend(day).alias("is_weekend"),
-    ).orderBy("date")
+    )
 
 
 def dim_weather(stg_weather: DataFrame) -> DataFrame:
@@ -46,6 +46,9 @@ def dim_weather(stg_weather: DataFrame) -> DataFrame:
         F.max("temp_c").cast(two_digits).alias("max_temp_c"),
         exact_mean(F.col("rh_pct")).cast(two_digits).alias("avg_rh"),
     )
-    return daily.select(
-        calendar.date_key(F.col("date")).alias("date_key"), "*"
-    ).orderBy(F.asc_nulls_last("date"))
+    return daily.select(calendar.date_key(F.col("date")).alias("date_key"), "*")
+
+
+def by_date(dimension: DataFrame) -> DataFrame:
+    """Rows in order for readers; stored tables have none."""
+    return dimension.orderBy(F.asc_nulls_last("date"))

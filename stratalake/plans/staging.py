@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.functions.numeric import half_even_int
-
 ORDER_TYPES = {
     "order_id": "int",
     "product": "string",
@@ -17,17 +14,26 @@ ORDER_TYPES = {
 }
 
 
-def stg_orders(orders: DataFrame) -> DataFrame:
-    return orders.select(*[F.col(c).cast(t).alias(c) for c, t in ORDER_TYPES.items()])
+def orders_columns(orders: DataFrame) -> list[str]:
+    """The model's columns as SQL over the loaded table, also for a view that is stored."""
+    return [f"CAST({c} AS {t}) AS {c}" for c, t in ORDER_TYPES.items()]
 
 
-def stg_weather(hourly: DataFrame) -> DataFrame:
-    humidity = F.col("rh_pct")
+def weather_columns(hourly: DataFrame) -> list[str]:
+    """Humidity with a fraction goes to the nearest integer, ties to the even one."""
     fractional = isinstance(hourly.schema["rh_pct"].dataType, (T.DoubleType, T.FloatType))
-    return hourly.select(
-        F.col("ts_utc").cast("timestamp_ntz").alias("ts_utc"),
-        F.col("temp_c").cast("decimal(5,2)").alias("temp_c"),
-        (half_even_int(humidity) if fractional else humidity.cast("int")).alias("rh_pct"),
+    return [
+        "CAST(ts_utc AS TIMESTAMP_NTZ) AS ts_utc",
+        "CAST(temp_c AS DECIMAL(5,2)) AS temp_c",
+        f"CAST({'rint(rh_pct)' if fractional else 'rh_pct'} AS INT) AS rh_pct",
         "lat",
         "lon",
-    )
+    ]
+
+
+def stg_orders(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*orders_columns(orders))
+
+
+def stg_weather(hourly: DataFrame) -> DataFrame:
+    return hourly.selectExpr(*weather_columns(hourly))

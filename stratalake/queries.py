@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake import recast
-from stratalake.constants import SALES_FILE, SALES_KEY
+from stratalake.constants import SALES_KEY
 from stratalake.functions.calendar import utc_stamp
 from stratalake.functions.numeric import to_number, to_strict_bigint
 from stratalake.operators import quality
@@ -20,9 +20,8 @@ from stratalake.operators.weather import check_documents, hourly_rows, require_v
 from stratalake.plans import dims, facts, gold, jobs, silver, staging
 from stratalake.session import scratch_path
 from stratalake.sinks import bronze, files, tables
-from stratalake.sources import workbook
 from stratalake.sources.listing import PLACE
-from stratalake.sources.sales_files import records, scan_sales
+from stratalake.sources.sales_files import scan_sales
 from stratalake.sources.synthetic import synthetic_sales
 from stratalake.streaming.weather import start_merge
 
@@ -67,12 +66,12 @@ def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_date(_stg_weather(spark, sf_dir))
+    return dims.by_date(dims.dim_date(_stg_weather(spark, sf_dir)))
 
 
 @query
 def dim_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dims.dim_weather(_stg_weather(spark, sf_dir))
+    return dims.by_date(dims.dim_weather(_stg_weather(spark, sf_dir)))
 
 
 @query
@@ -82,7 +81,7 @@ def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fct_sales_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fct_sales_by_product(_stg_orders(spark, sf_dir))
+    return facts.best_first(facts.fct_sales_by_product(_stg_orders(spark, sf_dir)))
 
 
 @query
@@ -90,7 +89,7 @@ def revenue_nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One brand without any total; the mart puts it on top."""
     orders = _stg_orders(spark, sf_dir)
     total = F.when(F.col("product") != "Brand#13", F.col("total"))
-    return facts.fct_sales_by_product(orders.withColumn("total", total)).select("product", "revenue")
+    return facts.best_first(facts.fct_sales_by_product(orders.withColumn("total", total))).select("product", "revenue")
 
 
 @query
@@ -171,12 +170,12 @@ def _merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 @query
 def weather_merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge(*_merge_sides(spark, sf_dir), ["ts_utc"])
+    return merge(*_merge_sides(spark, sf_dir), ["ts_utc"], ["temp_c"])
 
 
 @query
 def weather_merge_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge(*_merge_sides(spark, sf_dir), ["ts_utc"], keep="last")
+    return merge(*_merge_sides(spark, sf_dir), ["ts_utc"], ["temp_c"], keep="last")
 
 
 @query
@@ -295,20 +294,6 @@ def roundtrip_seed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_sales(scan_sales(spark, folder).frames[0], carry=PLACE).drop(*PLACE)
 
 
-@query
-def workbook_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written as workbooks by Spark tasks, then read back and cleaned."""
-    columns = {
-        "order_id": "o_orderkey", "product": "o_orderpriority",
-        "quantity": "o_custkey", "price": "o_totalprice",
-    }
-    rows = recast.table(spark, sf_dir, "orders").select(
-        *[F.col(source).alias(name) for name, source in columns.items()]
-    )
-    lines = workbook.place_rows(recast.workbooks(rows, "order_id"), SALES_FILE)
-    return clean_sales(records(lines, tuple(columns), F.lit(False)), carry=PLACE).drop(*PLACE)
-
-
 def _raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recast.sales(spark, sf_dir, *recast.SALES_ORDER)
 
@@ -329,6 +314,32 @@ def sales_files_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def sales_part_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per product, by both ways to silver, from raw files in parts that swap their columns."""
+    lake = scratch_path(spark, "sales_part_folders")
+    seed = f"{lake}/seed"
+    rows = recast.sales(spark, sf_dir, "l_linenumber")
+    names = ["order_id", "product", "quantity", "price"]
+
+    def write(some: DataFrame, columns: list[str], name: str) -> None:
+        some.select(*columns).write.mode("append").option("header", True).csv(f"{seed}/{name}")
+
+    write(rows.filter("l_linenumber >= 4"), names, "ventas_2021.csv")
+    jobs.run_sales(spark, seed, lake)
+    write(rows.filter("l_linenumber <= 2"), names, "ventas_2022.csv")
+    write(rows.filter("l_linenumber between 3 and 4"), names[::-1], "ventas_2022.csv")
+    landed = jobs.run_sales(spark, seed, lake)
+    jobs.files_to_silver(spark, seed, f"{lake}/from_files")
+    return stack_by_name([
+        spark.read.parquet(path).groupBy("product").agg(
+            F.count("*").alias("n_rows"),
+            ((F.max("quantity") <= 50) & (F.min("price") >= 900)).alias("in_place"),
+        ).withColumn("way", F.lit(way))
+        for way, path in (("files", f"{lake}/from_files"), ("landed", landed))
+    ])
+
+
 @query
 def sales_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, check, silver, load, models, tests; the mart is read from its table."""
@@ -420,8 +431,9 @@ def roundtrip_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _raw_sales(spark, sf_dir)
     recast.write_raw_csv(rows, f"{lake}/seed", "ventas_2024.csv", CSV_ORDER)
     bronze.land_sales_file(spark, f"{lake}/seed", f"{lake}/bronze")
-    landed = bronze.landed_lines(spark, f"{lake}/bronze")
-    return landed.filter("line != header").select("raw_name", "line")
+    lines, parts = bronze.landed_lines(spark, f"{lake}/bronze"), bronze.landed_parts(spark, f"{lake}/bronze")
+    first = parts.select("_file", F.lit(0).alias("_block"), F.col("first_row").alias("_row"))
+    return lines.join(first, ["_file", "_block", "_row"], "left_anti").select("raw_name", "line")
 
 
 @query

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import io
-import sys
-import zipfile
-from xml.sax.saxutils import escape
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.constants import REQUIRED_SALES_COLUMNS
 
-# Tasks receive this module's functions by value, so executors need no copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 HOURS_PER_DOCUMENT = 168
-LATITUDE, LONGITUDE = -34.61, -58.38
+LATITUDE, LONGITUDE = 52.5, 13.25
 # Row order of the recast sales, standing in for the order of rows in a file.
 SALES_ORDER = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_partkey")
 
@@ -89,35 +79,3 @@ def write_raw_csv(rows: DataFrame, folder: str, name: str, order: tuple[str, ...
     """Raw sales file `name`, as part files whose order is the given row order."""
     columns = [c for c in rows.columns if c not in SALES_ORDER]
     rows.orderBy(*order).select(*columns).write.option("header", True).csv(f"{folder}/{name}")
-
-
-def workbooks(rows: DataFrame, key: str, rows_per_book: int = 5000) -> DataFrame:
-    """(path, content): the rows, with a unique integer `key`, as .xlsx bytes of bounded size."""
-    book = F.floor(F.col(key) / rows_per_book).cast("bigint").alias("book")
-    return rows.groupBy(book).applyInPandas(_workbook, "path STRING, content BINARY")
-
-
-def _workbook(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    def cell(value) -> str:
-        if isinstance(value, str):
-            return f'<c t="inlineStr"><is><t>{escape(value)}</t></is></c>'
-        return f"<c><v>{value}</v></c>"
-
-    table_rows = [list(rows.columns), *rows.itertuples(index=False, name=None)]
-    body = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in table_rows)
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    relation = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    parts = {
-        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{relation}"><sheets>'
-                           '<sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>',
-        "xl/_rels/workbook.xml.rels":
-            '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
-            f'<Relationship Id="rId1" Type="{relation}/worksheet" Target="worksheets/sheet1.xml"/>'
-            "</Relationships>",
-        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>',
-    }
-    content = io.BytesIO()
-    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as book:
-        for part, text in parts.items():
-            book.writestr(part, text)
-    return pd.DataFrame({"path": [f"/ventas_{group[0]:012d}.xlsx"], "content": [content.getvalue()]})

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def replace_contents(df: DataFrame, table: str, location: str | None = None) -> int:
@@ -22,6 +26,32 @@ def replace_contents(df: DataFrame, table: str, location: str | None = None) ->
     return row_count(spark, table)
 
 
+def replace_days(df: DataFrame, table: str, day: str, days: Sequence[date | None] | None, location: str | None = None) -> int:
+    """Replaces the given days of a table that is stored by day, and returns its new row count.
+
+    All other days keep their files, and views on the table stay valid. The first load, or
+    `days` None, writes every day. `df` holds the column `day` and all rows of these days.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        writer = df.write.format("parquet").partitionBy(day)
+        (writer.option("path", location) if location else writer).saveAsTable(table)
+        return row_count(spark, table)
+    columns = spark.table(table).columns
+    if set(columns) != set(df.columns):
+        raise ValueError(f"columns of {table} are {columns}, not {df.columns}")
+    if days is None:
+        df.select(*columns).write.insertInto(table, overwrite=True)
+    elif days:
+        wanted = F.col(day).isin([d for d in days if d is not None])
+        wanted = wanted | F.col(day).isNull() if None in days else wanted
+        described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Location'").first()
+        df.filter(wanted).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(described["data_type"])
+        spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
+    return row_count(spark, table)
+
+
 def replace_contents_jdbc(df: DataFrame, url: str, table: str, connections: int = 8, **properties: str) -> None:
     """The same for a database table: truncate, then append in batches of 1000 rows."""
     (
@@ -38,16 +68,28 @@ def row_count(spark: SparkSession, table: str) -> int:
 
 def publish(df: DataFrame, name: str, kind: str = "view", comment: str | None = None,
             location: str | None = None) -> DataFrame:
-    """Makes a model available by name, as a view or as a fully rebuilt table."""
+    """Makes a model available by name, as a view of this session or as a fully rebuilt table."""
     spark = df.sparkSession
     if kind == "view":
+        if comment:
+            raise ValueError("a view of one session has no place for a comment; see publish_view")
         df.createOrReplaceTempView(name)
     elif kind == "table":
         writer = df.write.format("parquet").mode("overwrite")
         (writer.option("path", location) if location else writer).saveAsTable(name)
         if comment:
-            text = comment.replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+            spark.sql(f"COMMENT ON TABLE {name} IS {_text(comment)}")
     else:
         raise ValueError(f"kind must be 'view' or 'table', not {kind!r}")
     return spark.table(name)
+
+
+def publish_view(spark: SparkSession, name: str, columns: Sequence[str], table: str, comment: str | None = None) -> DataFrame:
+    """Stores a view of the given columns over a table; other sessions see it too, reloads leave it valid."""
+    described = f" COMMENT {_text(comment)}" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{described} AS SELECT {', '.join(columns)} FROM {table}")
+    return spark.table(name)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

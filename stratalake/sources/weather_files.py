@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.constants import WEATHER_DOCUMENT, WEATHER_FILE, WEATHER_GLOB
-from stratalake.sources.listing import file_of, list_files, newest_name
+from stratalake.sources.listing import exact_path, file_of, list_files, newest_name
 
 
 def weather_listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,17 +27,18 @@ def read_documents(
     """
     documents = (
         spark.read.schema(WEATHER_DOCUMENT).option("mode", "FAILFAST")
-        .option("multiLine", multi_line).json(f"{folder.rstrip('/')}/{name or WEATHER_GLOB}")
+        .option("multiLine", multi_line).json(f"{folder.rstrip('/')}/{exact_path(name) if name else WEATHER_GLOB}")
     )
     return with_row(with_file(documents))
 
 
-def with_file(documents: DataFrame) -> DataFrame:
-    """Adds file and split, which order the documents."""
+def with_file(documents: DataFrame, *more: Column) -> DataFrame:
+    """Adds file and split, which order the documents, and `more` of the reader's metadata."""
     return documents.select(
         "*",
         file_of("_metadata.file_path", WEATHER_FILE).alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
+        *more,
     )
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.constants import WEATHER_DOCUMENT, WEATHER_GLOB
 from stratalake.plans.silver import merge_weather
-from stratalake.session import require_ansi
+from stratalake.session import require_ansi, sized_shuffles
+from stratalake.sources.listing import total_bytes
 from stratalake.sources.weather_files import with_file, with_row
 
 
@@ -27,10 +30,17 @@ def start_merge(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    documents = with_file(reader.json(f"{landing.rstrip('/')}/{WEATHER_GLOB}"))
+    documents = with_file(reader.json(f"{landing.rstrip('/')}/{WEATHER_GLOB}"), F.col("_metadata.file_size").alias("_bytes"))
 
     def merge_batch(batch: DataFrame, _: int) -> None:
-        merge_weather(with_row(batch), silver_path, keep)
+        # The batch is parsed once; its files' sizes and its documents come from disk after that.
+        parsed = with_row(batch).persist(StorageLevel.DISK_ONLY)
+        try:
+            sizes = parsed.groupBy("_file").agg(F.max("_bytes").alias("length"))
+            with sized_shuffles(spark, total_bytes(sizes)):
+                merge_weather(parsed.drop("_bytes"), silver_path, keep)
+        finally:
+            parsed.unpersist()
 
     return (
         documents.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)

@@ -41,13 +41,18 @@ def _leading(hashed: Column, bits: int) -> Column:
     return F.shiftright(hashed, HASH_BITS - bits)
 
 
-def _levels(cells: DataFrame, low: int, high: int) -> DataFrame:
-    """Every cell with the bytes of all its prefixes of low to high bits, and whether they fit."""
+def _leaves(cells: DataFrame, low: int, high: int, limit: int) -> DataFrame:
+    """(depth, bucket, shard_bytes) of the buckets of low to high bits that fit, and whose parent does not."""
     up = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(high)))).withColumn(
         "bucket", F.expr(f"shiftright(cell, {high} - depth)")
     )
     sums = up.groupBy("depth", "bucket").agg(F.sum("n_bytes").alias("shard_bytes"), F.min("low").alias("low"), F.max("high").alias("high"))
-    return up.select("cell", "depth", "bucket").join(sums, ["depth", "bucket"])
+    # A single key can't be split further.
+    sums = sums.withColumn("fits", (F.col("shard_bytes") <= limit) | (F.col("low") == F.col("high")))
+    split = sums.filter(~F.col("fits")).select((F.col("depth") + 1).alias("depth"), F.explode(
+        F.array(F.col("bucket") * 2, F.col("bucket") * 2 + 1)).alias("bucket"))
+    fitting = sums.filter("fits").select("depth", "bucket", "shard_bytes")
+    return fitting.join(split, ["depth", "bucket"]).unionByName(fitting.filter(F.col("depth") == low))
 
 
 def directory(rows: DataFrame, limit: int, most_bits: int = HASH_BITS) -> list[tuple[int, DataFrame]]:
@@ -63,10 +68,11 @@ def directory(rows: DataFrame, limit: int, most_bits: int = HASH_BITS) -> list[t
         cells = open_rows.groupBy(_leading(F.col("hashed"), bits).alias("cell")).agg(
             F.sum("n_bytes").alias("n_bytes"), F.min("hashed").alias("low"), F.max("hashed").alias("high")
         )
-        # A single key can't be split further.
-        fitting = _levels(cells, before, bits).filter((F.col("shard_bytes") <= limit) | (F.col("low") == F.col("high")))
-        found = fitting.groupBy("cell").agg(F.min(F.struct("depth", "shard_bytes")).alias("leaf")).select(
-            "cell", F.col("leaf.depth").alias("depth"), F.col("leaf.shard_bytes").alias("shard_bytes"), (F.col("leaf.shard_bytes") > limit).alias("oversize")
+        # Every slot of the directory that a bucket owns points to it.
+        slots = F.expr(f"sequence(0L, shiftleft(1L, {bits} - depth) - 1)")
+        found = _leaves(cells, before, bits, limit).withColumn("slot", F.explode(slots)).select(
+            (F.expr(f"shiftleft(bucket, {bits} - depth)") + F.col("slot")).alias("cell"), "depth", "shard_bytes",
+            (F.col("shard_bytes") > limit).alias("oversize"),
         )
         tables.append((bits, found))
         too_large = cells.filter((F.col("n_bytes") > limit) & (F.col("low") != F.col("high"))).select("cell")

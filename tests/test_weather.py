@@ -236,3 +236,52 @@ def test_weather_end_to_end(spark, tmp_path):
         (20250801, 1.5), (20250803, 2.0)]
     assert models["dim_date"].count() == 3
     assert spark.table("e2e_weather_hourly").count() == 3
+
+
+def test_only_touched_days_are_loaded(spark, tmp_path):
+    """After a second drop, files of other days keep their names and a stored view shows all rows."""
+    lake, table = str(tmp_path / "lake"), "touched_weather_hourly"
+
+    def drop(day_hours, moment):
+        docs = spark.createDataFrame([(1.0, 2.0, ([f"2025-08-{d:02d}T{h:02d}:00" for d, h in day_hours], [float(h) for _, h in day_hours],
+                                                  [50 for _ in day_hours]))],
+                                     "latitude double, longitude double, hourly struct<time: array<string>, temperature_2m: array<double>, "
+                                     "relative_humidity_2m: array<int>>")
+        land_weather(docs, f"{lake}/bronze/weather", datetime(2025, 9, moment, tzinfo=timezone.utc))
+        return jobs.weather_end_to_end(spark, lake, prefix="touched", multi_line=False)
+
+    def names(day):
+        return sorted(p.name for p in (tmp_path / "lake" / "warehouse" / "weather_hourly" / f"ts_date=2025-08-{day:02d}").glob("*.parquet"))
+
+    drop([(1, 0), (1, 1), (2, 0)], 1)
+    before = {d: names(d) for d in (1, 2)}
+    drop([(2, 0), (2, 5), (3, 7)], 2)
+    assert names(1) == before[1] and names(2) != before[2] and names(3)
+    assert spark.table(table).count() == 5 and spark.newSession().table("touched_stg_weather").count() == 5
+    assert jobs.load_days(spark, f"{lake}/silver/weather/weather_hourly.parquet", table, None) == 5
+
+
+def test_batches_size_their_shuffles_and_keep_nothing(spark, tmp_path, monkeypatch):
+    from stratalake.streaming import weather as stream
+
+    seen = []
+
+    def spy(documents, path, keep):
+        seen.append((spark.conf.get("spark.sql.shuffle.partitions"), documents.storageLevel.useDisk, documents.columns))
+
+    monkeypatch.setattr(stream, "merge_weather", spy)
+    monkeypatch.setattr(stream, "total_bytes", lambda files: files.agg(F.sum("length")).first()[0] * 2**30)
+    (tmp_path / "in").mkdir()
+    text = '{"latitude":1.0,"longitude":2.0,"hourly":{"time":["2025-08-01T00:00"],"temperature_2m":[1.0],"relative_humidity_2m":[5.0]}}'
+    (tmp_path / "in" / "weather_20250801T000000Z.json").write_text(text)
+    start_merge(spark, str(tmp_path / "in"), str(tmp_path / "silver"), str(tmp_path / "check")).awaitTermination()
+    assert [int(n) for n, _, _ in seen] == [len(text) * 4] and "_bytes" not in seen[0][2]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_merge_keeps_the_first_of_equal_new_hours(spark):
+    old = spark.createDataFrame([(1, 1.0, 0)], "k int, v double, at int")
+    new = spark.createDataFrame([(2, 9.0, 2), (2, 7.0, 1), (1, 5.0, 1)], "k int, v double, at int").repartition(3)
+    rows = {r["k"]: r["v"] for r in merge(old, new, ["k"], ["at"]).collect()}
+    assert rows == {1: 1.0, 2: 7.0}
+    assert {r["k"]: r["v"] for r in merge(old, new, ["k"], ["at"], keep="last").collect()} == {1: 5.0, 2: 9.0}

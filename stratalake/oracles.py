@@ -302,6 +302,17 @@ ORACLES: dict[str, str] = {
     "truncate_append_count": f"""
       SELECT product, COUNT(*) AS n_rows FROM ({SALES}) WHERE quantity > 25 GROUP BY product
     """,
+    "model_descriptions": f"""
+      SELECT 'stg_orders' AS model, 'Staging: the orders table with set types' AS description, COUNT(*) AS n_rows FROM ({SALES})
+      UNION ALL
+      SELECT 'fct_sales_by_product', 'Facts: sales aggregated per product', COUNT(DISTINCT product) FROM ({SALES})
+    """,
+    "refused_inputs": f"""
+      SELECT 'good' AS input, 'none' AS refusal, COUNT(DISTINCT order_id || product) AS n_rows FROM ({SALES}) WHERE l_linenumber = 1
+      UNION ALL
+      SELECT * FROM (VALUES ('no price', 'ValueError', 0), ('no sales file', 'FileNotFoundError', 0),
+        ('unknown format', 'ValueError', 0), ('no silver', 'AnalysisException', 0))
+    """,
     "roundtrip_csv_gold": _gold(HOURLY),
     "roundtrip_bronze_lineage": f"""
       SELECT 'ventas_2024.csv' AS raw_name,

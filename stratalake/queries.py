@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from stratalake.plans import dims, facts, gold, jobs, silver, staging
 from stratalake.session import scratch_path
 from stratalake.sinks import bronze, files, tables
 from stratalake.sources.listing import PLACE
-from stratalake.sources.sales_files import scan_sales
+from stratalake.sources.sales_files import file_format, scan_sales
 from stratalake.sources.synthetic import synthetic_sales
 from stratalake.streaming.weather import start_merge
 
@@ -416,6 +417,59 @@ def truncate_append_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts
 
 
+@query
+def model_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of the built models as another session finds them, with the models' rows."""
+    lake = scratch_path(spark, "model_descriptions")
+    prefix = _unique_name(lake)
+    tables.replace_contents(recast.orders(spark, sf_dir), f"{prefix}_orders", f"{lake}/orders")
+    jobs.build_models(
+        {"orders": spark.table(f"{prefix}_orders")}, prefix=f"{prefix}_", folder=f"{lake}/models", loaded={"orders": f"{prefix}_orders"}
+    )
+    other, found = spark.newSession(), []
+    for name in ("stg_orders", "fct_sales_by_product"):
+        described = other.sql(f"DESCRIBE EXTENDED {prefix}_{name}").filter("col_name = 'Comment'").first()["data_type"]
+        rows = spark.table(f"{prefix}_{name}").agg(F.count("*").alias("n_rows"))
+        found.append(rows.select(F.lit(name).alias("model"), F.lit(described).alias("description"), "n_rows"))
+    return _kept(stack_by_name(found), lake, prefix)
+
+
+def _kept(df: DataFrame, lake: str, prefix: str) -> DataFrame:
+    """The rows, written before the catalog entries that they came from go."""
+    spark, path = df.sparkSession, f"{lake}/result"
+    files.write_silver(df, path)
+    _forget_tables(spark, prefix)
+    return spark.read.parquet(path)
+
+
+@query
+def refused_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs that the jobs must not take, next to one that they take: (input, refusal, n_rows in silver)."""
+    lake = scratch_path(spark, "refused_inputs")
+    rows = recast.sales(spark, sf_dir, "l_linenumber").filter("l_linenumber = 1").dropDuplicates(["order_id", "product"])
+    good, short = f"{lake}/good", f"{lake}/short"
+    files.write_csv(rows.drop("l_linenumber"), f"{good}/ventas_2024.csv")
+    files.write_csv(rows.drop("l_linenumber", "price"), f"{short}/ventas_2024.csv")
+    files.write_csv(rows.drop("l_linenumber"), f"{lake}/odd/other_2024.csv")
+    attempts = {
+        "good": lambda: jobs.files_to_silver(spark, good, f"{lake}/silver/good"),
+        "no price": lambda: jobs.files_to_silver(spark, short, f"{lake}/silver/short"),
+        "no sales file": lambda: jobs.files_to_silver(spark, f"{lake}/odd", f"{lake}/silver/odd"),
+        "unknown format": lambda: file_format("ventas_2024.ods"),
+        "no silver": lambda: jobs.load(spark, f"{lake}/silver/none", "never_loaded"),
+    }
+    found = []
+    for name, attempt in attempts.items():
+        try:
+            attempt()
+            refusal = "none"
+        except (ValueError, FileNotFoundError, AnalysisException) as error:
+            refusal = type(error).__name__
+        taken = spark.read.parquet(f"{lake}/silver/good") if name == "good" else rows.limit(0)
+        found.append(taken.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("input"), F.lit(refusal).alias("refusal"), "n_rows"))
+    return stack_by_name(found)
+
+
 @query
 def roundtrip_csv_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "roundtrip_csv_gold")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.session import scratch_path
 
@@ -45,6 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTES = np.arange(256, dtype=np.uint64)
 _LOWER = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + np.uint64(32), _BYTES)
 BYTE_CODES = mix(_LOWER + GOLDEN)
+EXACT_CODES = mix(_BYTES + GOLDEN)
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _BASE = 0xF1357AEA2E62A9C5
 _POWERS = {"size": 0}
@@ -62,29 +64,48 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words of texts that lie one after the other in `data`.
+def runs(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray, alone: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte of each run of bytes that are not `apart`, in texts that lie one after the other.
 
-    A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z. Text `i` covers
-    `data[offsets[i]:offsets[i + 1]]`, and its words are `hashes[first[i]:first[i + 1]]`.
-    Returns the hashes, `first`, and the byte at which each word begins.
+    Text `i` covers `data[offsets[i]:offsets[i + 1]]`; no run goes on into the next text. A byte
+    that equals `alone` is a run by itself.
     """
     n = len(data)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), np.empty(0, np.int64)
-    inner = ~SPACE[data]
-    begins = inner.copy()
-    begins[1:] &= ~inner[:-1]
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    inner = ~apart[data]
+    begins, ends = inner.copy(), inner.copy()
+    cut = ~inner
+    if alone is not None:
+        cut |= data == alone
+        begins[1:] &= cut[:-1] | cut[1:]
+    else:
+        begins[1:] &= cut[:-1]
     edges = offsets[(offsets > 0) & (offsets < n)]
     begins[edges] = inner[edges]
-    ends = inner.copy()
     ends[:-1] &= ~inner[1:] | begins[1:]
-    starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
-    up, down = _powers(n)
-    sums = np.cumsum(BYTE_CODES[data] * up[:n])
+    return np.flatnonzero(begins), np.flatnonzero(ends)
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes, by differences of one running sum over all of them."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(data))
+    sums = np.cumsum(codes[data] * up[: len(data)])
     before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-    hashes = mix((sums[stops] - before) * down[starts] + (stops - starts + 1).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets), starts
+    return mix((sums[stops] - before) * down[starts] + (stops - starts + 1).astype(np.uint64))
+
+
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of texts that lie one after the other in `data`.
+
+    A word is a run of bytes other than space and 0x09-0x0D; A-Z count as a-z. The words of text
+    `i` are `hashes[first[i]:first[i + 1]]`. Returns the hashes, `first`, and the byte at which
+    each word begins.
+    """
+    starts, stops = runs(data, offsets, SPACE)
+    return run_hashes(data, starts, stops, BYTE_CODES), np.searchsorted(starts, offsets), starts
 
 
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -122,20 +143,55 @@ _LETTERS: list[np.ndarray] = []
 
 
 def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of the lower-cased texts, one after the other with a 0 behind each, and where each begins."""
+    """Code points of the lower-cased texts, each between two zeros, and where each text's first zero stands."""
     low = [(t or "").lower() for t in texts]
-    codes = np.frombuffer("\0".join([*low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.frombuffer("\0".join(["", *low, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     return codes, np.cumsum([0, *(len(t) + 1 for t in low)])
 
 
 def text_runs(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES // 4) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    """Cuts a batch into runs of rows with about `most` characters, longer texts alone."""
-    texts = column(batch, text).to_pylist()
-    low = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t or "") > most:
-            yield batch.slice(low, i - low), texts[low:i]
-            low, size = i, 0
-        size += len(t or "")
-    if low < len(texts):
-        yield batch.slice(low), texts[low:]
+    """Cuts a batch into runs of rows with about `most` bytes of text, longer texts alone."""
+    for low, high, _, _ in text_slices(column(batch, text), most):
+        part = batch.slice(low, high - low)
+        yield part, column(part, text).to_pylist()
+
+
+def claim(owner: str, forget: Callable[[], None] | None = None) -> None:
+    """Makes `owner` the one whose large tables this worker keeps; those of others are dropped.
+
+    Workers serve one stage after the other, and what one of them has kept is of no use to the next.
+    """
+    for other in [o for o in _KEPT if o != owner]:
+        _KEPT.pop(other)()
+    if forget:
+        _KEPT[owner] = forget
+
+
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def with_new_columns(docs: DataFrame, keep: list[str | Column] | None, text: str, new: list[tuple[str, str]],
+                     judged: Callable[[list[str | None]], list[pa.Array]]) -> DataFrame:
+    """The chosen columns of each row, or all, with columns that `judged` derives from runs of texts.
+
+    `new` has names and types of these columns; a column of the input with such a name is replaced.
+    """
+    names = {n for n, _ in new}
+    if keep is None:
+        rows, source = docs.drop(*names - {text}), text
+    else:
+        rows, source = docs.select(*keep, F.col(text).alias(HIDDEN)), HIDDEN
+    schema = T.StructType([f for f in rows.schema.fields if f.name != HIDDEN])
+    for name, kind in new:
+        schema = schema.add(name, kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in text_runs(batch, source):
+                kept = [c for c, n in zip(part.columns, part.schema.names, strict=True) if n != HIDDEN]
+                yield pa.RecordBatch.from_arrays([*kept, *judged(texts)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+HIDDEN = "__text"

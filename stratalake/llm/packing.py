@@ -74,17 +74,17 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, most: int = SEQUENCE, tex
 
 
 class Grouping:
-    """Bins of pieces; a bin is a list of positions in `lengths`."""
+    """Bins of pieces; a bin is a tuple of positions in `lengths`, which groupings can share."""
 
     def __init__(self, lengths: list[int], most: int):
         self.lengths, self.most = lengths, most
-        self.bins: list[list[int]] = []
+        self.bins: list[tuple[int, ...]] = []
         self.room: list[int] = []
+        self.scored: tuple[int, int] | None = None
 
-    def copy_bins(self, bins: list[list[int]]) -> None:
-        for b in bins:
-            self.bins.append(list(b))
-            self.room.append(self.most - sum(map(self.lengths.__getitem__, b)))
+    def copy_bins(self, bins: list[tuple[int, ...]], room: list[int] | None = None) -> None:
+        self.bins += bins
+        self.room += [self.most - sum(map(self.lengths.__getitem__, b)) for b in bins] if room is None else room
 
     def best_fit(self, items: list[int]) -> None:
         """Puts each item into the bin that it fills best, or into a new one."""
@@ -103,10 +103,10 @@ class Grouping:
                 k = same.pop()
                 if not same:
                     open_rooms ^= 1 << r
-                self.bins[k].append(i)
+                self.bins[k] += (i,)
             else:
                 r, k = self.most, len(self.bins)
-                self.bins.append([i])
+                self.bins.append((i,))
                 self.room.append(r)
             self.room[k] = r = r - n
             if r:
@@ -115,12 +115,13 @@ class Grouping:
 
     def score(self) -> tuple[int, int]:
         """Fewer bins first, then the more unevenly filled ones, which leave larger rests."""
-        return len(self.bins), -sum((self.most - r) ** 2 for r in self.room)
+        if self.scored is None:
+            self.scored = len(self.bins), -sum((self.most - r) ** 2 for r in self.room)
+        return self.scored
 
     def encoded(self) -> bytes:
         out = np.zeros(len(self.lengths), dtype="<i4")
-        for k, b in enumerate(self.bins):
-            out[b] = k
+        out[[i for b in self.bins for i in b]] = np.repeat(np.arange(len(self.bins)), [len(b) for b in self.bins])
         return out.tobytes()
 
     @classmethod
@@ -129,7 +130,7 @@ class Grouping:
         bins: list[list[int]] = [[] for _ in range(int(np.frombuffer(raw, "<i4").max()) + 1)]
         for i, k in enumerate(np.frombuffer(raw, "<i4").tolist()):
             bins[k].append(i)
-        own.copy_bins(bins)
+        own.copy_bins([tuple(b) for b in bins])
         return own
 
 
@@ -152,7 +153,7 @@ def crossed(one: Grouping, other: Grouping, rng: random.Random) -> Grouping:
     taken = {i for b in injected for i in b}
     child = Grouping(one.lengths, one.most)
     child.copy_bins(injected)
-    kept, displaced = [], []
+    kept, room, displaced = [], [], []
     for b, r in zip(one.bins, one.room, strict=True):
         if taken.isdisjoint(b):
             # Badly filled bins are dissolved too, now and then, so that their pieces can move.
@@ -160,9 +161,10 @@ def crossed(one: Grouping, other: Grouping, rng: random.Random) -> Grouping:
                 displaced += b
             else:
                 kept.append(b)
+                room.append(r)
         else:
             displaced += [i for i in b if i not in taken]
-    child.copy_bins(kept)
+    child.copy_bins(kept, room)
     child.best_fit(sorted(displaced, key=lambda i: -one.lengths[i]))
     return child
 

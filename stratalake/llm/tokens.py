@@ -2,13 +2,16 @@
 
 A text is cut at places where none of the tokenizer's own splits can reach across, so the ids of
 the pieces, one after the other, are the ids of the text. Each worker keeps the ids of pieces it
-has met (a cache of bounded size) and hands only new ones to the library, many in one call.
+has met (a store of bounded size) and hands only new ones to the library.
 
 Where a text may be cut:
 - `byte` (byte-level BPE, a word takes its leading space): before each space between two
   characters that are no white space, and on both sides of each line break between two such.
+  Texts with longer or other white space go to the library whole.
 - `word` (lower case, white space dropped): at spaces and line breaks.
-Texts with runs of white space are cut by a pattern that looks at both neighbours.
+
+Pieces are found and told apart by 64-bit hashes of their bytes, for a run of texts at once; ids
+of all texts are then gathered from the store by position.
 """
 
 from __future__ import annotations
@@ -20,10 +23,15 @@ from struct import pack
 
 import numpy as np
 
+from stratalake.llm.common import EXACT_CODES, claim, run_hashes, runs
+
 END_ID = 2
-MOST_CACHED = 600_000
+MOST_CACHED = 1_000_000
 CALL_BYTES = 64 * 1024
-SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+RUN_CHARS = 1024 * 1024
+APART_BYTE = np.arange(256) == 32
+APART_WORD = np.isin(np.arange(256), [32, 10])
+LED = np.uint64(0x5DEECE66D1234567)
 WHITE = re.compile(r"\s")
 
 # Letters of ASCII and Latin-1, then signs of ASCII: texts whose splits need no further look.
@@ -51,27 +59,43 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.byte_level = not self.tokenizer.normalizer
-        self.cache: dict[str, bytes] = {}
+        self._forget()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         lengths = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
             lengths[i] = len(token.removesuffix("</w>"))
         self.lengths = lengths  # bytes of text that each id stands for; a byte is one character in the vocabulary
 
-    def pieces(self, text: str) -> list[str]:
-        if not self.byte_level:
-            return text.replace("\n", " ").split(" ")
-        # One more word than spaces and line breaks: no runs of white space and no other kinds.
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1 or "\0" in text:
-            return SAFE_CUT.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.cache) + len(new) > MOST_CACHED:
-            self.cache.clear()
-        self.cache[""] = b""
-        new.discard("")
-        rest, done, tokenize, cache = [], {}, self.tokenizer.model.tokenize, self.cache
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}  # hash of a piece -> its number
+        self.begin = np.zeros(1024, dtype=np.int64)  # where the ids of each piece begin in the store
+        self.count = np.zeros(1024, dtype=np.int64)
+        self.store = np.zeros(4096, dtype="<u4")
+        self.used = 0
+
+    def _keep(self, keys: list[int], ids: list[bytes]) -> None:
+        low, high = len(self.place), len(self.place) + len(keys)
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        while high > len(self.begin):
+            self.begin, self.count = np.concatenate([self.begin, self.begin]), np.concatenate([self.count, self.count])
+        while self.used + len(flat) > len(self.store):
+            self.store = np.concatenate([self.store, self.store])
+        sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
+        self.count[low:high] = sizes
+        self.begin[low:high] = self.used + np.cumsum(sizes) - sizes
+        self.store[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+        self.place.update(zip(keys, range(low, high), strict=True))
+
+    def regular(self, text: str) -> bool:
+        """May this text be cut at its spaces and line breaks?"""
+        # Cut at single spaces and line breaks it falls into its words: no runs of white space, no other kinds.
+        return not self.byte_level or text.split() == text.replace("\n", " ").split(" ")
+
+    def _encoded(self, new: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        cache: dict[str, bytes] = {}
+        rest, done, tokenize = [], {}, self.tokenizer.model.tokenize
         for p in new:
             parts = PLAIN.fullmatch(p)
             if not parts or not self.byte_level and p[0] == " ":
@@ -80,7 +104,7 @@ class PieceEncoder:
             ids = b""
             for part in parts.groups():  # letters, then signs: two splits of the tokenizer
                 if part:
-                    own = cache.get(part) or done.get(part)
+                    own = done.get(part)
                     if own is None:
                         known = (part if self.byte_level else part.lower()).translate(BYTE_SIGNS)
                         found = [x.id for x in tokenize(known)]
@@ -113,27 +137,62 @@ class PieceEncoder:
             for p, cut in zip(some, cuts, strict=True):
                 if self.byte_level and p[0] != " ":
                     last += 1  # the line break
-                self.cache[p] = raw[4 * last : 4 * cut]
+                cache[p] = raw[4 * last : 4 * cut]
                 last = cut
         for p, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-            self.cache[p] = np.array(e.ids, dtype="<u4").tobytes()
+            cache[p] = np.array(e.ids, dtype="<u4").tobytes()
+        return [cache[p] for p in new]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; an empty text has none."""
-        out: list[bytes] = []
-        for low in range(0, len(texts), 256):  # so that new pieces of one run fit the cache
-            some = [self.pieces(t) for t in texts[low : low + 256]]
-            try:
-                out += [b"".join(map(self.cache.__getitem__, c)) for c in some]
-            except KeyError:
-                wanted = set().union(*some)
-                new = wanted.difference(self.cache)
-                if len(self.cache) + len(new) > MOST_CACHED:
-                    new = wanted
-                self._learn(new)
-                out += [b"".join(map(self.cache.__getitem__, c)) for c in some]
+        out = [b""] * len(texts)
+        odd = [i for i, t in enumerate(texts) if not self.regular(t)]
+        for i, e in zip(odd, self.tokenizer.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, dtype="<u4").tobytes()
+        odd = set(odd)
+        run, size = [], 0
+        for i, t in enumerate(texts):
+            if t and i not in odd:
+                run.append(i)
+                size += len(t)
+            if run and (size >= RUN_CHARS or i == len(texts) - 1):
+                for k, ids in zip(run, self._encode_run([texts[k].encode() for k in run]), strict=True):
+                    out[k] = ids
+                run, size = [], 0
         return out
 
+    def _encode_run(self, texts: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        offsets = np.cumsum([0, *map(len, texts)])
+        starts, stops = runs(data, offsets, APART_BYTE if self.byte_level else APART_WORD, 10 if self.byte_level else None)
+        keys = run_hashes(data, starts, stops, EXACT_CODES)
+        first = np.searchsorted(starts, offsets)
+        led = np.zeros(len(starts), dtype=bool)
+        if self.byte_level:
+            led = (starts > 0) & (data[starts - 1] == 32)
+            led[first[:-1][first[:-1] < len(starts)]] = False  # a regular text does not begin with a space
+            keys = keys ^ np.where(led, LED, np.uint64(0))
+        found, at, which = np.unique(keys, return_index=True, return_inverse=True)
+        known = found.tolist()
+        place = list(map(self.place.get, known))
+        missing = [i for i, p in enumerate(place) if p is None]
+        if missing:
+            if len(self.place) + len(missing) > MOST_CACHED:
+                self._forget()
+                missing = list(range(len(known)))
+            raw = data.tobytes()
+            low, high, lead = starts[at[missing]].tolist(), (stops[at[missing]] + 1).tolist(), led[at[missing]].tolist()
+            new = [(" " if c else "") + raw[a:b].decode() for a, b, c in zip(low, high, lead, strict=True)]
+            self._keep([known[i] for i in missing], self._encoded(new))
+            place = list(map(self.place.get, known))
+        own = np.array(place, dtype=np.int64)[which]
+        sizes = self.count[own]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        flat = self.store[np.repeat(self.begin[own] - ends + sizes, sizes) + np.arange(total)].tobytes()
+        edges = np.concatenate([[0], ends])[first] * 4
+        return [flat[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -142,6 +201,7 @@ def encoder(path: str) -> PieceEncoder:
     """One encoder per worker and vocabulary file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path)
+    claim(path, _ENCODERS[path]._forget)
     return _ENCODERS[path]
 
 

@@ -29,13 +29,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stratalake.llm.common import text_runs
+from stratalake.llm.common import SLICE_BYTES, claim, text_runs
 from stratalake.llm.tokens import crc32
 
 MARK = "▁"
-MOST_CACHED = 500_000
+MOST_CACHED = 1_000_000
 MOST_PAIRS = 1_000_000
+RUN = 1024
 RUNS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
@@ -53,7 +55,6 @@ class Vocabulary:
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)}
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special and not sp.is_byte(i)}
-        self.longest = max(map(len, self.ids))
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece holds a mark behind another sign, so words can't be told apart")
         self.raw = [p.replace(MARK, " ").encode() for p in self.pieces]
@@ -66,10 +67,12 @@ class Vocabulary:
 class WordEncoder:
     """Ids of marked words."""
 
-    def __init__(self, ids: dict[str, int], scores: list[float], longest: int, byte_ids: dict[int, int], kind: str = "bpe"):
-        self.ids, self.scores, self.longest, self.byte_ids, self.kind = ids, scores, longest, byte_ids, kind
+    def __init__(self, ids: dict[str, int], scores: list[float], kind: str = "bpe"):
+        self.ids, self.scores, self.kind = ids, scores, kind
         self.pieces = {i: p for p, i in ids.items()}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # Every end of a piece, with the piece's id if it is a whole one, else -1.
+        self.ends = {p[k:]: -1 for p in ids for k in range(len(p))} | ids
+        self.pairs: dict[int, bool] = {}
         self.sound: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -88,7 +91,7 @@ class WordEncoder:
 
     def stable(self, left: int, right: int) -> bool:
         """Do these two pieces stay as they are, side by side?"""
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MOST_PAIRS:
@@ -105,7 +108,7 @@ class WordEncoder:
 
     def encode_sorted(self, words: list[str]) -> Iterator[list[int]]:
         """Ids of each word; `words` is sorted and all its characters are pieces."""
-        ids, scores, longest = self.ids, self.scores, self.longest
+        scores, known_ends = self.scores, self.ends.get
         pairs, unigram = self.pairs, self.kind == "unigram"
         last: list[int] = [-1]  # the piece that ends the best path to each prefix
         size: list[int] = [0]
@@ -118,25 +121,30 @@ class WordEncoder:
                 common += 1
             del last[common + 1 :], size[common + 1 :], total[common + 1 :]
             for end in range(common + 1, n + 1):
-                found, length, best = -1, 0, -1e300
-                for begin in range(max(0, end - longest), end):  # long pieces first
-                    piece = ids.get(word[begin:end])
+                options = []
+                for begin in range(end - 1, -1, -1):
+                    piece = known_ends(word[begin:end])
                     if piece is None:
-                        continue
-                    if unigram:
+                        break
+                    if piece >= 0:
+                        options.append((begin, piece))
+                found, length, best = -1, 0, -1e300
+                if unigram:
+                    for begin, piece in options:
                         score = total[begin] + scores[piece]
                         if score > best:
                             found, length, best = piece, end - begin, score
-                        continue
-                    if begin:
-                        known = pairs.get((last[begin], piece))
-                        if known is None:
-                            known = self.stable(last[begin], piece)
-                    else:
-                        known = self.whole(piece)
-                    if known:
-                        found, length = piece, end - begin
-                        break
+                else:
+                    for begin, piece in reversed(options):  # long pieces first
+                        if begin:
+                            fits = pairs.get(last[begin] << 32 | piece)
+                            if fits is None:
+                                fits = self.stable(last[begin], piece)
+                        else:
+                            fits = self.whole(piece)
+                        if fits:
+                            found, length = piece, end - begin
+                            break
                 last.append(found)
                 size.append(length)
                 total.append(best)
@@ -151,7 +159,7 @@ class WordEncoder:
 class TextEncoder:
     def __init__(self, model_path: str, kind: str = "bpe"):
         v = self.vocabulary = Vocabulary(model_path)
-        self.words = WordEncoder(v.ids, v.scores, v.longest, v.bytes, kind)
+        self.words = WordEncoder(v.ids, v.scores, kind)
         self.cache: dict[str, bytes] = {}
         self.known = {c for c in v.ids if len(c) == 1}
 
@@ -199,8 +207,8 @@ class TextEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        for low in range(0, len(texts), 256):
-            some = [self.marked_words(t) for t in texts[low : low + 256]]
+        for low in range(0, len(texts), RUN):
+            some = [self.marked_words(t) for t in texts[low : low + RUN]]
             try:
                 out += [b"".join(map(self.cache.__getitem__, c)) for c in some]
             except KeyError:
@@ -222,18 +230,19 @@ _ENCODERS: dict[tuple[str, str], TextEncoder] = {}
 def text_encoder(model_path: str, kind: str = "bpe") -> TextEncoder:
     if (model_path, kind) not in _ENCODERS:
         _ENCODERS[model_path, kind] = TextEncoder(model_path, kind)
+    claim(f"{model_path} {kind}", _ENCODERS[model_path, kind].cache.clear)
     return _ENCODERS[model_path, kind]
 
 
 def encode(docs: DataFrame, model_path: str, keep: list[str | Column], text: str = "text", kind: str = "bpe") -> DataFrame:
     """The chosen columns of each row with `ids`, the piece ids of its whole text."""
     rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = rows.drop("__text").schema.add("ids", "array<int>")
+    schema = rows.drop("__text").schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_encoder(model_path, kind)
         for batch in batches:
-            for part, texts in text_runs(batch, "__text"):
+            for part, texts in text_runs(batch, "__text", SLICE_BYTES):
                 raw = own.encode([t or "" for t in texts])
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
                 ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(raw))])
@@ -270,7 +279,7 @@ def digests(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_encoder(model_path)
         for batch in batches:
-            for part, texts in text_runs(batch, text):
+            for part, texts in text_runs(batch, text, SLICE_BYTES):
                 texts = [t or "" for t in texts]
                 ids = own.encode(texts)
                 back = [own.decode(r) for r in ids]

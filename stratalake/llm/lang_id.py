@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import code_points, column, letters, mix, text_runs
+from stratalake.llm.common import claim, code_points, column, letters, mix, text_runs, with_new_columns
 
 BUCKETS = 2**15
 ROWS_PER_LANGUAGE = 1000
@@ -48,12 +48,11 @@ def gram_counts(texts: list[str | None]) -> Iterator[np.ndarray | None]:
     two_ok = known[:-1] | known[1:]
     three_ok = known[1:-1]
     for low, high in zip(begins[:-1], begins[1:], strict=True):
-        low = max(int(low) - 1, 0)  # the 0 behind the text before is the edge of this one
         high = int(high)
         if not known[low:high].any():
             yield None
             continue
-        found = np.concatenate([two[low : high - 1][two_ok[low : high - 1]], three[low : high - 2][three_ok[low : high - 2]]])
+        found = np.concatenate([two[low:high][two_ok[low:high]], three[low : high - 1][three_ok[low : high - 1]]])
         yield np.bincount(found, minlength=BUCKETS)
 
 
@@ -85,6 +84,7 @@ def document_frequencies(rows: DataFrame, text: str = "text") -> tuple[np.ndarra
     """In how many texts each bucket occurs, and the number of texts; one array per task is summed up."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language")
         sums, n = np.zeros(BUCKETS + 1, dtype=np.int64), 0
         for batch in batches:
             for _, texts in text_runs(batch, text):
@@ -184,24 +184,20 @@ def train(rows: DataFrame, per_language: int = ROWS_PER_LANGUAGE, text: str = "t
     return LanguageModel(languages, idf.astype(np.float32), weights.astype(np.float32), temperature)
 
 
-def identify(docs: DataFrame, model: LanguageModel, keep: list[str | Column], text: str = "text") -> DataFrame:
-    """The chosen columns of each row with `lang_pred` and `score`, the predicted language's probability."""
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double")
+def identify(docs: DataFrame, model: LanguageModel, keep: list[str | Column] | None = None, text: str = "text") -> DataFrame:
+    """The chosen columns of each row, or all, with `lang_pred` and `score`, the predicted language's probability."""
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_runs(batch, "__text"):
-                names, scores = [], []
-                for counts in gram_counts(texts):
-                    if counts is None or not model.languages:
-                        names.append(UNKNOWN)
-                        scores.append(1.0 if counts is None else 0.0)
-                        continue
-                    p = model.probabilities(counts)
-                    names.append(model.languages[int(p.argmax())])
-                    scores.append(float(p.max()))
-                out = [c for c, f in zip(part.columns, part.schema.names, strict=True) if f != "__text"]
-                yield pa.RecordBatch.from_arrays([*out, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
-
-    return rows.mapInArrow(judged, schema)
+    def judged(texts: list[str | None]) -> list[pa.Array]:
+        claim("language")
+        names, scores = [], []
+        for counts in gram_counts(texts):
+            if counts is None or not model.languages:
+                names.append(UNKNOWN)
+                scores.append(1.0 if counts is None else 0.0)
+                continue
+            p = model.probabilities(counts)
+            names.append(model.languages[int(p.argmax())])
+            scores.append(float(p.max()))
+        return [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+
+    return with_new_columns(docs, keep, text, [("lang_pred", "string"), ("score", "double")], judged)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import code_points, column, letters, text_runs, written
+from stratalake.llm.common import claim, code_points, column, letters, text_runs, with_new_columns, written
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
 MOST_TERMS = 400
@@ -125,14 +125,18 @@ def automaton(terms: list[Term], most_states: int = MOST_STATES) -> Automaton:
         states, rows, todo = {(): 0, start: 1}, [[0] * n_classes, []], [start]
         while todo and len(states) <= most_states:
             state = todo.pop()
-            row = [0] * n_classes
-            for c in range(OTHER, n_classes):
-                reached = trie.step(state, c)
+
+            def number(reached: tuple[tuple[int, int], ...]) -> int:
                 if reached not in states:
                     states[reached] = len(states)
                     rows.append([])
                     todo.append(reached)
-                row[c] = states[reached]
+                return states[reached]
+
+            # Letters that no node of the state goes on with all lead to the same place.
+            row = [0] + [number(trie.step(state, OTHER))] * (n_classes - 1)
+            for c in sorted({c for node, _ in state for c in trie.children[node]}):
+                row[c] = number(trie.step(state, c))
             rows[states[state]] = row
         if not todo:
             break
@@ -203,7 +207,7 @@ def find_hits(texts: list[str | None], own: Automaton) -> Hits:
         line = np.maximum.accumulate(np.where(breaks, np.arange(len(codes)), 0))
         since = total[starts[hits]] - total[line[starts[hits]]]
         last = np.minimum(hits + WINDOW, first[text + 1] - 1)
-        ahead = total[np.minimum(starts[last] + 40, begins[text + 1] - 1)] - total[starts[hits]]
+        ahead = total[np.minimum(starts[last] + 40, begins[text + 1])] - total[starts[hits]]
         quoted = (since % 2 == 1) & (ahead > 0)
     near = np.zeros(len(hits), dtype=np.int32)
     if len(hits) > 1:
@@ -220,11 +224,12 @@ def features(term: np.ndarray, distance: np.ndarray, quoted: np.ndarray, near: n
     """What the regression sees of one text; `weight` has the weight of each hit."""
     out = np.zeros(FEATURES)
     if len(term):
-        exact = (distance == 0) & ~quoted
-        total = weight[exact].sum()
+        meant = ~quoted
+        strength = weight[meant]
+        total = strength.sum()
         out[:7] = (
-            weight[exact].max(initial=0.0), np.log1p(total), np.log1p((distance > 0).sum()), np.log1p(quoted.sum()),
-            np.log1p(100 * total / (n_words + 20)), np.log1p(len(np.unique(term[exact]))), np.log1p((near[exact] > 0).sum()),
+            strength.max(initial=0.0), np.log1p(total), np.log1p((distance > 0).sum()), np.log1p(quoted.sum()),
+            np.log1p(100 * total / (n_words + 20)), np.log1p(len(np.unique(term[meant]))), np.log1p((near[meant] > 0).sum()),
         )
     out[7] = 1.0
     return out
@@ -233,7 +238,7 @@ def features(term: np.ndarray, distance: np.ndarray, quoted: np.ndarray, near: n
 @dataclass
 class ToxicityModel:
     terms: list[Term] = field(default_factory=list)
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # exact and misspelled, by term
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     base: float = 0.0
     own: Automaton | None = None
@@ -243,17 +248,22 @@ class ToxicityModel:
             return [self.base] * len(texts)
         hits = find_hits(texts, self.own)
         edges = np.searchsorted(hits.text, np.arange(len(texts) + 1))
+        kind = (hits.distance > 0).astype(np.int64)
         out = []
         for i, (low, high) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             term = hits.term[low:high]
-            x = features(term, hits.distance[low:high], hits.quoted[low:high], hits.near[low:high], int(hits.words[i]), self.weights[term])
+            x = features(term, hits.distance[low:high], hits.quoted[low:high], hits.near[low:high], int(hits.words[i]), self.weights[kind[low:high], term])
             out.append(float(1 / (1 + np.exp(-(self.coefficients @ x)))))
         return out
 
 
-def term_weight(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float) -> np.ndarray:
-    """Log of how much more often toxic texts have the term than clean ones; never below 0."""
-    return np.maximum(np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1)), 0.0)
+def term_weight(toxic: np.ndarray, clean: np.ndarray, n_toxic: float, n_clean: float, misspelled: np.ndarray | int = 0) -> np.ndarray:
+    """Log of how much more often toxic texts have the term than clean ones; never below 0.
+
+    Misspelled terms count apart from exact ones. They are taken for meant until clean texts hold them.
+    """
+    prior = np.where(misspelled, 0.05, 0.5)
+    return np.maximum(np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + prior) / (n_clean + 1)), 0.0)
 
 
 def candidate_counts(sample: DataFrame) -> DataFrame:
@@ -365,32 +375,31 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     kinds = "toxic int, words int, term array<int>, distance array<int>, quoted array<int>, near array<int>"
     rows = sample.mapInArrow(searched, kinds).toPandas()
     labels = rows["toxic"].to_numpy(float)
-    counts = np.zeros((2, len(terms)))
-    for label, term in zip(rows["toxic"], rows["term"], strict=True):
-        counts[label, np.unique(term).astype(int)] += 1
+    counts = np.zeros((2, 2 * len(terms)))  # by label; exact hits, then misspelled ones
+    for label, term, distance in zip(rows["toxic"], rows["term"], rows["distance"], strict=True):
+        counts[label, np.unique(np.asarray(term, int) + len(terms) * (np.asarray(distance, int) > 0))] += 1
     seen = []
     for r in rows.itertuples():
         term = np.asarray(r.term, dtype=int)
-        others = term_weight(counts[1, term] - (r.toxic == 1), counts[0, term] - (r.toxic == 0), u_toxic, u_clean)
+        off = np.asarray(r.distance, int) > 0
+        own_counts = counts[:, term + len(terms) * off]
+        others = term_weight(own_counts[1] - (r.toxic == 1), own_counts[0] - (r.toxic == 0), u_toxic, u_clean, off)
         seen.append(features(term, np.asarray(r.distance, int), np.asarray(r.quoted, bool), np.asarray(r.near, int), r.words, others))
     order = np.lexsort(np.array(seen).T)  # rows come in any order; sums should not depend on it
     x, y = np.array(seen)[order], labels[order]
     beta = logistic(x, y, np.where(y == 1, 1 / share[1], 1 / share[0]))
-    return ToxicityModel(terms, term_weight(counts[1], counts[0], u_toxic, u_clean), beta, n_toxic / (n_toxic + n_clean), own)
+    both = counts.reshape(2, 2, -1)
+    weights = term_weight(both[1], both[0], u_toxic, u_clean, np.array([[0], [1]]))
+    return ToxicityModel(terms, weights, beta, n_toxic / (n_toxic + n_clean), own)
 
 
-def judge(docs: DataFrame, model: ToxicityModel, keep: list[str | Column], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The chosen columns of each row with `score` (0 to 1) and `predicted` (1 from the threshold on)."""
-    rows = docs.select(*keep, F.col(text).alias("__text"))
-    schema = rows.drop("__text").schema.add("score", "double").add("predicted", "integer")
+def judge(docs: DataFrame, model: ToxicityModel, keep: list[str | Column] | None = None, text: str = "text",
+          threshold: float = THRESHOLD) -> DataFrame:
+    """The chosen columns of each row, or all, with `score` (0 to 1) and `predicted` (1 from the threshold on)."""
 
-    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_runs(batch, "__text"):
-                scores = model.scores(texts)
-                out = [c for c, f in zip(part.columns, part.schema.names, strict=True) if f != "__text"]
-                yield pa.RecordBatch.from_arrays(
-                    [*out, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())], names=schema.names
-                )
+    def judged(texts: list[str | None]) -> list[pa.Array]:
+        claim("toxicity")
+        scores = model.scores(texts)
+        return [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
 
-    return rows.mapInArrow(judged, schema)
+    return with_new_columns(docs, keep, text, [("score", "double"), ("predicted", "integer")], judged)

@@ -10,8 +10,11 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, ids string, start string"
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+
+
 def ids_of(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [2]
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def test_files_hold_all_ids_in_order(spark, tmp_path):

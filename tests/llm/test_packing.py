@@ -1,3 +1,4 @@
+import functools
 import random
 from collections import defaultdict
 
@@ -6,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from stratalake.llm import packing
+from stratalake.llm import packing, tokens
 from stratalake.llm.packing import Grouping, crossed, cut_lengths, evolved, fresh, pack
 from stratalake.llm.tokens import PieceEncoder, crc32
 
@@ -14,10 +15,15 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 SCHEMA = "doc_id long, text string, piece string, offset string"
 
 
-def reference(text, path=PATH):
+@functools.cache
+def library(path):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
+    return tokenizer
+
+
+def reference(text, path=PATH):
+    return np.array(library(path).encode(text or "", add_special_tokens=False).ids + [2], dtype="<u4")
 
 
 def check(rows, got, most):
@@ -92,12 +98,13 @@ ODD = ["a  b", "a   b c", " x", "x ", "a\n\nb", "\n a", " \n \n b", "a\r\nb c",
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_ids_by_pieces_are_the_tokenizers_own(name, spark):
+def test_ids_by_pieces_are_the_tokenizers_own(name, spark, monkeypatch):
     path = public_tokenizers.path(name)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()] + ODD
-    for most in (1_000_000, 50):
+    want = [reference(t, path)[:-1].tolist() for t in texts]
+    for most, run in ((tokens.MOST_CACHED, tokens.RUN_CHARS), (50, 3000)):
+        monkeypatch.setattr(tokens, "MOST_CACHED", most)
+        monkeypatch.setattr(tokens, "RUN_CHARS", run)
         own = PieceEncoder(path)
-        packing_ids = own.encode(texts)
-        assert [np.frombuffer(x, "<u4").tolist() for x in packing_ids] == [reference(t, path)[:-1].tolist() for t in texts]
-        if most == 50:
-            assert own.encode(texts[:5]) == packing_ids[:5]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
+        assert own.encode(texts[:5]) == own.encode(texts[:5]) and own.encode([]) == []

@@ -1,0 +1,144 @@
+"""The registered queries on the smallest tables, and the pipeline against a plain version of itself."""
+
+import hashlib
+import sys
+from collections import defaultdict
+from pathlib import Path
+
+import numpy as np
+import oracle
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+sys.path[:0] = [str(Path(__file__).resolve().parents[2]), str(Path(__file__).resolve().parent)]
+
+import corpus_pipeline  # noqa: E402
+from stratalake.llm.packing import cut_lengths  # noqa: E402
+from stratalake.llm.queries import ORACLES, REGISTRY  # noqa: E402
+from stratalake.llm.tokens import crc32  # noqa: E402
+from test_partenum import expected as all_pairs  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    return [(r.doc_id, r.text) for r in rows]
+
+
+def library(name, texts):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+    tokenizer.encode_special_tokens = True
+    return [np.array(e.ids + [2], dtype="<u4") for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def test_one_query_per_operator():
+    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_against_sql(spark, name):
+    assert oracle.differences(REGISTRY[name](spark, SF_DIR), oracle.connect(SF_DIR), ORACLES[name]) == []
+
+
+def test_op1(spark, texts):
+    got = sorted(tuple(r) for r in REGISTRY["op1_ngram_jaccard"](spark, SF_DIR).collect())
+    assert got == all_pairs(texts)
+
+
+def test_op2(spark):
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
+    found = defaultdict(list)
+    for r in REGISTRY["op2_space_filling_curves"](spark, SF_DIR).orderBy("query_id", "rank").collect():
+        found[r.query_id].append(r.vec_id)
+    hits = 0
+    for q, v in rows:
+        if q % 20 == 0:
+            best = sorted(((-float(v @ w), i) for i, w in rows if i != q))[:20]
+            assert len(found[q]) == 20
+            hits += len(set(found[q]) & {i for _, i in best})
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_op4(spark, texts):
+    check_packing(texts, REGISTRY["op4_packing"](spark, SF_DIR).collect())
+
+
+def check_packing(rows, got):
+    want = []
+    for (d, _), ids in zip(rows, library("byte_bpe_50k.json", [t for _, t in rows]), strict=True):
+        at = 0
+        for k, n in enumerate(cut_lengths(len(ids))):
+            want.append((d, k, at, n, crc32(ids[at : at + n].tobytes())))
+            at += n
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    held = defaultdict(list)
+    for r in got:
+        held[r.sequence_id].append((r.offset, r.length))
+    for parts in held.values():
+        assert [o for o, _ in sorted(parts)] == [0, *np.cumsum([n for _, n in sorted(parts)])[:-1].tolist()]
+        assert sum(n for _, n in parts) <= 1024
+    assert len(held) <= 1.01 * -(-sum(n for *_, n, _ in want) // 1024) + 1
+
+
+def test_op6(spark, texts):
+    got = sorted(tuple(r) for r in REGISTRY["op6_orc_tokens"](spark, SF_DIR).collect())
+    want, at = [], 0
+    for (d, _), ids in zip(texts, library("word_bpe_49k.json", [t for _, t in texts]), strict=True):
+        want.append((d, at, len(ids), crc32(ids.tobytes())))
+        at += len(ids)
+    assert got == want
+
+
+@pytest.mark.parametrize("name, divisor, rest", [("op7_toxicity", 4, 2), ("op8_language_id", 3, 1)])
+def test_folds(spark, texts, name, divisor, rest):
+    import zlib
+
+    got = {r.doc_id: r for r in REGISTRY[name](spark, SF_DIR).collect()}
+    assert len(got) == len(texts) and all(0 <= r.score <= 1 for r in got.values())
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % divisor == rest) for d, r in got.items())
+
+
+def test_op5_and_op9_rows(spark, texts):
+    sums = {r.doc_id: r for r in REGISTRY["op5_sentencepiece"](spark, SF_DIR).collect()}
+    prints = {r.doc_id: r for r in REGISTRY["op9_simhash"](spark, SF_DIR).collect()}
+    by_text = {}
+    for d, t in texts:
+        assert sums[d].round_trip and sums[d].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
+        assert prints[d].n_chars == len(t or "") and prints[d].fingerprint == by_text.setdefault(t, prints[d].fingerprint)
+        assert (prints[d].n_within is not None) == (d % 50 == 0)
+    assert np.mean([r.near_edited for r in prints.values()]) > 0.5 > np.mean([r.near_next for r in prints.values()])
+
+
+def test_pipeline_stages(spark, texts):
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["language_id", "toxicity", "ngram_jaccard", "packing"] and corpus_pipeline.ORACLE_SQL is None
+    extra = [(1000, None, "en", "s", 0), (1001, "", "en", "s", 0), (1002, " 12 ??", "en", "s", 6), (5, texts[5][1], "en", "s", 9)]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame(extra, docs.schema)).withColumn("score", F.lit("x")).withColumn("predicted", F.lit(1))
+    first = corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR)
+    assert first.columns == docs.columns
+    kept = {r.doc_id for r in first.select("doc_id").collect()}
+    assert not kept & {1000, 1001, 1002} and len(kept) >= 0.99 * len(texts)
+    second = corpus_pipeline.STAGES[1][1](spark, first, SF_DIR)
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    left = {r.doc_id for r in second.select("doc_id").collect()}
+    gone = kept - left
+    clean = [d for d in kept if labels.get(d) == 0]
+    assert second.columns == docs.columns and gone and sum(d in gone for d in clean) <= 0.03 * len(clean)
+    third = corpus_pipeline.STAGES[2][1](spark, second, SF_DIR)
+    rows = [(r.doc_id, r.text) for r in second.collect()]
+    one_each = {d for d, _, c in all_pairs(rows) if d == c}
+    assert third.columns == docs.columns and sorted(r.doc_id for r in third.collect()) == sorted(one_each)
+    check_packing([(r.doc_id, r.text) for r in third.collect()], corpus_pipeline.STAGES[3][1](spark, third, SF_DIR).collect())
+
+
+def test_pipeline_runs_on_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_DIR)
+        assert out.collect() == []
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0

@@ -116,7 +116,9 @@ def fit_curves(sample: np.ndarray, longest: float, curves: int, ranges: int, see
 def usable(rows: DataFrame, vector_id: str, vector: str) -> tuple[DataFrame, int]:
     """(vec_id, vector) of the rows that take part, and the number of components; 0 without any."""
     value = F.col(vector)
-    fine = rows.select(F.col(vector_id).cast("long").alias("vec_id"), value.cast("array<double>").alias("vector")).filter(
+    if rows.select(vector).dtypes[0][1] != "array<float>":
+        value = value.cast("array<double>")
+    fine = rows.select(F.col(vector_id).cast("long").alias("vec_id"), value.alias("vector")).filter(
         F.col("vec_id").isNotNull() & (F.size("vector") > 0)
         & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("vector", lambda x: x != 0)
     )
@@ -125,6 +127,7 @@ def usable(rows: DataFrame, vector_id: str, vector: str) -> tuple[DataFrame, int
 
 
 def _matrix(batch: pa.RecordBatch, n: int) -> np.ndarray:
+    """Vectors as they are stored, in single or double precision."""
     lists = batch.column(batch.schema.get_field_index("vector"))
     return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
 
@@ -141,18 +144,19 @@ def neighbours(rows: DataFrame, is_query: Column, k: int, vector_id: str = "vec_
     fine, n_components = usable(rows, vector_id, vector)
     if not n_components:
         return rows.sparkSession.createDataFrame([], out)
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    stored = np.float32 if fine.dtypes[1][1] == "array<float>" else np.float64
     n, longest = fine.agg(F.count(F.lit(1)), F.max(length)).first()
     share = min(1.0, SAMPLE_VALUES / n_components / n)
     sampled = fine.filter(F.expr(f"pmod(xxhash64(vec_id), 1000000) < {round(share * 1e6)}")).select("vec_id", "vector").toPandas().sort_values("vec_id")
     n_ranges = max(1, min(ranges, n // LEAST_ROWS)) if len(sampled) else 1
-    sample = np.stack(sampled["vector"].to_list()) if len(sampled) else np.eye(1, n_components)
+    sample = np.stack(sampled["vector"].to_list()).astype(np.float64) if len(sampled) else np.eye(1, n_components)
     fitted = fit_curves(sample, longest, curves if n_ranges > 1 else 1, n_ranges)
     marked = fine.withColumn("query", F.coalesce(is_query, F.lit(False)))
 
     def places(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Per curve: each row's range, the positions of the queries, and their ranges."""
-        vectors = _matrix(batch, n_components)
+        vectors = _matrix(batch, n_components).astype(np.float64)
         asked = np.flatnonzero(batch.column(batch.schema.get_field_index("query")).to_numpy(zero_copy_only=False))
         points, queries = on_sphere(vectors, longest), as_queries(vectors[asked])
         for c, curve in enumerate(fitted):
@@ -199,7 +203,7 @@ def neighbours(rows: DataFrame, is_query: Column, k: int, vector_id: str = "vec_
                     put(asked[inside], r[inside], query_blocks, row_blocks, True)
                 rows = np.concatenate(at)
                 data = np.ascontiguousarray(vectors[rows])
-                width = 8 * n_components
+                width = data.itemsize * n_components
                 values = pa.Array.from_buffers(
                     pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * width).astype(np.int32)), pa.py_buffer(data)]
                 )
@@ -211,7 +215,7 @@ def neighbours(rows: DataFrame, is_query: Column, k: int, vector_id: str = "vec_
     def ranked(frame: pd.DataFrame) -> pd.DataFrame:
         asked = frame["query"].to_numpy(bool)
         ids = frame["vec_id"].to_numpy()
-        vectors = np.frombuffer(b"".join(frame["vector"]), dtype=np.float64).reshape(-1, n_components)
+        vectors = np.frombuffer(b"".join(frame["vector"]), dtype=stored).reshape(-1, n_components).astype(np.float64)
         own, pool = ids[asked], ids[~asked]
         found = []
         if len(own) and len(pool):

@@ -11,7 +11,10 @@ partitions. With the partitions that a set occupies in one fixed order, the firs
 such sets have s equal ones in common. So subsets of s of a set's first k + s partitions are
 enumerated, and a subset's contents are a signature: linked sets share one. s is 2 in bands of
 short texts, where it costs little, and 1 above. A set that occupies fewer partitions than k + s
-also enumerates the smaller subsets down to the empty one, which keeps the guarantee.
+also enumerates the smaller subsets down to the empty one, which keeps the guarantee. Above the
+short bands the order is followed for another tenth of the set's size: linked sets then share
+that many signatures, so a set that shares fewer with all others together has no link, and a set
+may leave the clusters with which it shares least.
 
 Any fixed order is right. Partitions that hold only frequent shingles (passages that many texts
 share) come last, so they are hardly ever signatures. Which shingles are frequent is estimated
@@ -39,10 +42,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import column, mix, text_slices, words, written
+from stratalake.llm.common import claim, column, mix, text_slices, words, written
 
 WORDS = 5
 THRESHOLD = (75, 100)
@@ -51,6 +54,7 @@ SAMPLE_LEAST = 3
 MOST_FREQUENT = 500_000
 TABLE_BITS = 23
 SHORT_BAND = 15
+SURPLUS = 10
 BLOCK = 1024
 BROADCAST_BYTES = 32 * 1024**2
 STEPS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
@@ -104,11 +108,17 @@ class Signer:
         own = [(band, self.apart(size, min(high, partner)))]
         return own + [(band + 1, self.apart(size, partner))] if partner > high else own
 
-    def sign(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures of a set, and for each if it holds only frequent shingles."""
+    def surplus(self, size: int) -> int:
+        """How many signatures a set of this size shares with each set that it links with, at least."""
+        return max(1, size // SURPLUS)
+
+    def sign(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Signatures of a set; for each if it holds only frequent shingles; and how many it must share to link."""
         rare = ~self.frequent[shingles & np.uint64(2**TABLE_BITS - 1)]
         spread = mix(shingles ^ STEPS[2])
         signs, common = [], []
+        smallest_partner = -(-len(shingles) * self.top // self.bottom)
+        least = self.surplus(smallest_partner)
         for band, k in self.roles(len(shingles)):
             n = self.partitions(band)
             places = ((shingles >> np.uint64(24)) % np.uint64(n)).astype(np.int64)
@@ -119,7 +129,10 @@ class Signer:
             used = np.flatnonzero(held)
             contents, only_frequent = mix(contents[used]), rares[used] == 0
             size = 2 if 2 ** (band + 1) - 1 <= SHORT_BAND else 1
-            order = np.lexsort((contents, only_frequent))[: k + size]
+            surplus = self.surplus(len(shingles)) if size == 1 else size
+            if size > 1 or len(used) < k + surplus:
+                least = 1  # too few partitions for more to be certain
+            order = np.lexsort((contents, only_frequent))[: k + surplus]
             contents, only_frequent = contents[order], only_frequent[order]
             smallest = max(size - max(k + size - len(used), 0), 0)
             for s in range(smallest, size + 1):
@@ -131,7 +144,7 @@ class Signer:
                     subsets = np.array(list(combinations(range(len(contents)), s)), dtype=np.int64).reshape(math.comb(len(contents), s), s)
                     signs.append(contents[subsets].sum(axis=1, dtype=np.uint64) * STEPS[3] + name)
                     common.append(only_frequent[subsets].all(axis=1))
-        return mix(np.concatenate(signs)), np.concatenate(common)
+        return mix(np.concatenate(signs)), np.concatenate(common), least
 
 
 def frequent_shingles(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> np.ndarray:
@@ -154,35 +167,40 @@ def frequent_shingles(docs: DataFrame, text: str = "text", rows: int = SAMPLE_RO
 
 
 RARE, FREQUENT, DOCUMENT = 0, 1, 2
+SIZE_BITS = 36
 
 
 def signature_rows(docs: DataFrame, signer: Signer, text: str = "text") -> DataFrame:
     """(key, doc, tag): a row per signature and document, and one per document.
 
-    tag % 4 is RARE or FREQUENT (key is a signature) or DOCUMENT (key is an equal document met
-    before in the task, or the document itself; tag // 4 is the number of shingles).
+    The last two bits of tag are RARE or FREQUENT (key is a signature) or DOCUMENT (key is an equal
+    document met before in the task, or the document itself), or DOCUMENT + 1 for a row without
+    an id. For documents the next SIZE_BITS bits are the number of shingles, and the rest is how
+    many signatures the document must share to have a link.
     """
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("shingles")
         met: dict[bytes, int] = {}
         for batch in batches:
             ids = column(batch, "doc_id").to_pylist()
             for low, high, data, offsets in text_slices(column(batch, text)):
                 keys, docs_of, tags = [], [], []
                 for doc, shingles in zip(ids[low:high], shingle_sets(data, offsets), strict=True):
-                    equal = doc
+                    equal, least = doc, 1
                     if doc is not None and len(shingles):
                         with np.errstate(over="ignore"):
                             print_ = shingles.sum(dtype=np.uint64), mix(shingles).sum(dtype=np.uint64), len(shingles)
                         equal = met.setdefault(b"%d %d %d" % print_, doc)
                         if equal == doc:
-                            signs, common = signer.sign(shingles)
+                            signs, common, least = signer.sign(shingles)
                             keys.append(signs.view(np.int64))
                             docs_of.append(np.full(len(signs), doc, dtype=np.int64))
                             tags.append(np.where(common, FREQUENT, RARE))
                     keys.append(np.array([equal or 0], dtype=np.int64))
                     docs_of.append(np.array([doc or 0], dtype=np.int64))
-                    tags.append(np.array([4 * len(shingles) + (DOCUMENT if doc is not None else DOCUMENT + 1)], dtype=np.int64))
+                    kind = DOCUMENT if doc is not None else DOCUMENT + 1
+                    tags.append(np.array([(least << SIZE_BITS | len(shingles)) << 2 | kind], dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(keys)), pa.array(np.concatenate(docs_of)), pa.array(np.concatenate(tags).astype(np.int64))],
                     names=["key", "doc", "tag"],
@@ -192,12 +210,17 @@ def signature_rows(docs: DataFrame, signer: Signer, text: str = "text") -> DataF
 
 
 def sharing_rows(rows: DataFrame) -> DataFrame:
-    """(key, doc, tag): RARE rows become (smallest id, other id) of each shared signature; the rest stays."""
+    """(key, doc, tag): the documents that share RARE signatures; the rest stays.
+
+    Of each shared signature, every document gives a row with the smallest id among them as key.
+    Rows of one run of signatures are summed up: tag // 4 is how many signatures they stand for.
+    """
     place = F.when(F.col("tag") == RARE, F.col("key")).otherwise(F.xxhash64("key", "doc"))
     dealt = rows.repartition(place).sortWithinPartitions("key", "doc")
 
     def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = leader = None
+        shared = False  # has the last signature been met with two documents?
         for batch in batches:
             key, doc, tag = (column(batch, c).to_numpy() for c in ("key", "doc", "tag"))
             rare = tag == RARE
@@ -212,24 +235,40 @@ def sharing_rows(rows: DataFrame) -> DataFrame:
                     leaders[:head] = leader
                 if len(starts):
                     leaders[head:] = np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
-                last_key, leader = key[-1], leaders[-1]
                 others = leaders != doc
-                pairs = np.unique(np.stack([leaders[others], doc[others]]), axis=1) if others.any() else np.empty((2, 0), np.int64)
-                rest = [np.concatenate([a, b]) for a, b in zip(rest, (*pairs, np.zeros(pairs.shape[1], np.int64)), strict=True)]
+                group = np.cumsum(begins)  # 0 is the signature that the batch before ended with
+                with_others = np.bincount(group[others], minlength=group[-1] + 1) > 0
+                first_of = np.concatenate([[leader or 0], doc[starts]])
+                new = with_others.copy()
+                new[0] &= not shared
+                shared = bool(with_others[-1]) or (group[-1] == 0 and shared)
+                last_key, leader = key[-1], leaders[-1]
+                pairs = np.stack([np.concatenate([leaders[others], first_of[new]]), np.concatenate([doc[others], first_of[new]])])
+                pairs, counts = np.unique(pairs, axis=1, return_counts=True)
+                rest = [np.concatenate([a, b]) for a, b in zip(rest, (*pairs, counts * 4 + RARE), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(a) for a in rest], names=["key", "doc", "tag"])
 
     return dealt.mapInArrow(led, rows.schema)
 
 
 def clusters(shared: DataFrame) -> DataFrame:
-    """(cluster, doc) of every cluster with two documents or more, its name's own document included."""
-    rare = shared.filter(F.col("tag") == RARE).select(F.col("key").alias("cluster"), "doc")
-    frequent = shared.filter(F.col("tag") == FREQUENT).select("key", "doc")
+    """(cluster, doc) of every cluster with two documents or more that share enough signatures to have links."""
+    kind = F.col("tag").bitwiseAND(3)
+    rare = shared.filter(kind == RARE).select(F.col("key").alias("cluster"), "doc", F.shiftright("tag", 2).alias("n"))
+    frequent = shared.filter(kind == FREQUENT).select("key", "doc")
     least = frequent.groupBy("key").agg(F.min("doc").alias("cluster"), F.max("doc").alias("most")).filter(F.col("cluster") < F.col("most"))
-    met = frequent.join(least, "key").filter(F.col("cluster") != F.col("doc")).select("cluster", "doc")
-    pairs = rare.unionByName(met).distinct()
-    names = pairs.select("cluster", F.col("cluster").alias("doc")).distinct()
-    return pairs.unionByName(names)
+    met = frequent.join(least, "key").select("cluster", "doc", F.lit(1).cast("long").alias("n"))
+    pairs = written(rare.unionByName(met).groupBy("cluster", "doc").agg(F.sum("n").alias("n")), "sharing_documents")
+    needs = shared.filter(kind == DOCUMENT).groupBy("doc").agg(F.min(F.shiftright("tag", SIZE_BITS + 2)).alias("least"))
+    # A document has no more clusters than signatures, so these windows are small.
+    own = Window.partitionBy("doc")
+    upwards = own.orderBy("n", "cluster").rowsBetween(Window.unboundedPreceding, 0)
+    counted = pairs.join(needs, "doc").withColumn("total", F.sum("n").over(own)).withColumn("below", F.sum("n").over(upwards))
+    # Two linked documents share `least` signatures. If either leaves clusters that stand for less
+    # than half as many together, one signature is left whose cluster still holds both.
+    members = counted.filter((F.col("total") >= F.col("least")) & (2 * F.col("below") > F.col("least") - 1)).select("cluster", "doc")
+    several = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cluster")
+    return members.join(several, "cluster", "left_semi").select("cluster", "doc")
 
 
 class Forest:
@@ -363,11 +402,12 @@ def similar_documents(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, t
     shared = written(sharing_rows(signature_rows(docs, signer, text)), "shared_signatures")
     members = written(clusters(shared), "clusters")
     found = links(members, docs, threshold, text)
-    rows = shared.filter(F.col("tag") % 4 >= DOCUMENT)
-    copies = rows.filter((F.col("tag") % 4 == DOCUMENT) & (F.col("key") != F.col("doc"))).select(F.col("key").alias("one"), F.col("doc").alias("other"))
+    kind = F.col("tag").bitwiseAND(3)
+    rows = shared.filter(kind >= DOCUMENT)
+    copies = rows.filter((kind == DOCUMENT) & (F.col("key") != F.col("doc"))).select(F.col("key").alias("one"), F.col("doc").alias("other"))
     labels = components(found.unionByName(copies))
-    known = F.col("tag") % 4 == DOCUMENT
+    known = kind == DOCUMENT
     return rows.join(labels, known & (F.col("doc") == F.col("node")), "left").select(
-        F.when(known, F.col("doc")).alias("doc_id"), F.expr("tag div 4").alias("n_shingles"),
+        F.when(known, F.col("doc")).alias("doc_id"), F.shiftright("tag", 2).bitwiseAND(2**SIZE_BITS - 1).alias("n_shingles"),
         F.when(known, F.coalesce("component", "doc")).alias("component_id"),
     )

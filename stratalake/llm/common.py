@@ -14,7 +14,7 @@ from stratalake.session import scratch_path
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 ODD = np.uint64(0xD6E8FEB86659FD93)
-SLICE_BYTES = 4 * 1024**2
+SLICE_BYTES = 1024**2
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,7 +149,7 @@ def code_points(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.cumsum([0, *(len(t) + 1 for t in low)])
 
 
-def text_runs(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES // 4) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+def text_runs(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Cuts a batch into runs of rows with about `most` bytes of text, longer texts alone."""
     for low, high, _, _ in text_slices(column(batch, text), most):
         part = batch.slice(low, high - low)

@@ -31,13 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.llm.common import SLICE_BYTES, claim, text_runs
+from stratalake.llm.common import claim, text_runs
 from stratalake.llm.tokens import crc32
 
 MARK = "▁"
 MOST_CACHED = 1_000_000
 MOST_PAIRS = 1_000_000
-RUN = 1024
+RUN, RUN_BYTES = 1024, 4 * 1024**2
 RUNS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, model_path: str, keep: list[str | Column], text: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_encoder(model_path, kind)
         for batch in batches:
-            for part, texts in text_runs(batch, "__text", SLICE_BYTES):
+            for part, texts in text_runs(batch, "__text", RUN_BYTES):
                 raw = own.encode([t or "" for t in texts])
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)]).astype(np.int32)
                 ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(raw))])
@@ -279,7 +279,7 @@ def digests(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
     def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = text_encoder(model_path)
         for batch in batches:
-            for part, texts in text_runs(batch, text, SLICE_BYTES):
+            for part, texts in text_runs(batch, text, RUN_BYTES):
                 texts = [t or "" for t in texts]
                 ids = own.encode(texts)
                 back = [own.decode(r) for r in ids]

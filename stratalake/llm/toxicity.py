@@ -3,8 +3,8 @@
 The lexicon is learned: whole words and word beginnings (stems) that occur in toxic rather than
 in clean labelled texts. Its trie is intersected with Levenshtein automata (one error for terms
 of five letters or more, two from nine on; stems must match exactly) and made deterministic, so
-a word is matched by table look-ups, letter by letter. All words of a run of texts go through
-the table together, and most leave it after a few letters.
+a word is matched by table look-ups, letter by letter. The different words of a run of texts go
+through the table together, and most leave it after a few letters.
 
 A hit counts less if it stands between quotation marks, and more if other hits are near: the
 context window has `WINDOW` words on both sides. A logistic regression on a text's hits gives the
@@ -12,8 +12,9 @@ score. Each labelled text's own share in a term's weight is taken out before the
 it, so that rare terms don't look surer than they are.
 
 Lexicon and regression are fitted on at most `TOXIC_ROWS` and `CLEAN_ROWS` labelled rows, chosen
-by a hash of their id; every row is scored on its whole text. Table and lexicon are bounded by
-`MOST_TERMS` and `MOST_STATES`.
+by a hash of their id; every row is scored on its whole text. The sample bounds the lexicon, and
+every chosen term is searched: terms whose joint table would pass `MOST_STATES` states are split
+over several automata, which all run over each text.
 
 Defined results: null and empty texts have the score of a text without hits; without labelled
 rows of both kinds the score is the toxic share (0 without any); repeated rows are scored one by
@@ -31,10 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import claim, code_points, column, letters, text_runs, with_new_columns, written
+from stratalake.llm.common import claim, code_points, column, letters, mix, text_runs, with_new_columns, written
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
-MOST_TERMS = 400
 MOST_STATES = 60_000
 LEAST_TOXIC = 4
 LEAST_PURITY = 0.75
@@ -66,6 +66,7 @@ class Automaton:
     whole: np.ndarray  # term of a word that ends here, or -1
     distance: np.ndarray
     stem: np.ndarray  # term of a word that has come through here, or -1
+    lengths: np.ndarray  # letters of each term
 
 
 class _Trie:
@@ -117,13 +118,13 @@ class _Trie:
 
 
 def automaton(terms: list[Term], most_states: int = MOST_STATES) -> Automaton:
-    """The deterministic automaton of as many leading terms as `most_states` allows."""
+    """The deterministic automaton of as many leading terms as `most_states` allows, at least one; `automata` has them all."""
     while True:
         trie = _Trie(terms)
         n_classes = len(trie.alphabet) + 2
         start = trie.closed({0: 0})
         states, rows, todo = {(): 0, start: 1}, [[0] * n_classes, []], [start]
-        while todo and len(states) <= most_states:
+        while todo and (len(states) <= most_states or len(terms) == 1):
             state = todo.pop()
 
             def number(reached: tuple[tuple[int, int], ...]) -> int:
@@ -155,7 +156,19 @@ def automaton(terms: list[Term], most_states: int = MOST_STATES) -> Automaton:
         stems = [trie.stem[node] for node, e in state if e == 0 and trie.stem[node] >= 0]
         if stems:
             stem[k] = stems[0]
-    return Automaton(classes, np.array(rows, dtype=np.int32), whole, distance, stem)
+    return Automaton(classes, np.array(rows, dtype=np.int32), whole, distance, stem, np.array([len(t.text) for t in terms], dtype=np.int32))
+
+
+def automata(terms: list[Term], most_states: int = MOST_STATES) -> list[Automaton]:
+    """Automata of at most `most_states` states that have all terms between them, in order."""
+    found: list[Automaton] = []
+    while terms:
+        # Tables of terms side by side grow alike: another try starts near what the last one could hold.
+        last = found[-1] if found else None
+        room = len(last.lengths) * min(max(most_states // len(last.whole), 1), 2) if last else len(terms)
+        found.append(automaton(terms[:room], most_states))
+        terms = terms[len(found[-1].lengths) :]
+    return found
 
 
 @dataclass
@@ -170,19 +183,27 @@ class Hits:
     words: np.ndarray  # words of each text
 
 
-def find_hits(texts: list[str | None], own: Automaton) -> Hits:
-    codes, begins = code_points(texts)
-    classes = own.classes[codes]
-    inner = classes > 0
-    starts = np.flatnonzero(inner & ~np.concatenate([[False], inner[:-1]]))
-    first = np.searchsorted(starts, begins)
+def _distinct(codes: np.ndarray, inner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One start of each different word, and for every word the number of its own; told apart by 64 bits."""
+    if not len(starts):
+        return starts, starts
+    at = np.flatnonzero(inner)
+    heads = np.searchsorted(at, starts)
+    place = np.arange(len(at)) - np.repeat(heads, np.diff(np.append(heads, len(at))))
+    hashes = np.add.reduceat(mix(codes[at].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), heads)
+    _, some, back = np.unique(hashes, return_index=True, return_inverse=True)
+    return starts[some], back
+
+
+def _search(codes: np.ndarray, starts: np.ndarray, own: Automaton) -> tuple[np.ndarray, np.ndarray]:
+    """The automaton's term for the word at each start, or -1, and its distance; -1 is that of stems."""
     term = np.full(len(starts), -1, dtype=np.int32)
-    far = np.zeros(len(starts), dtype=np.int32)
+    far = np.full(len(starts), -1, dtype=np.int32)
     alive = np.arange(len(starts))
     state = np.ones(len(starts), dtype=np.int32)
     at = starts.copy()
     while len(alive):
-        c = classes[at]
+        c = own.classes[codes[at]]
         over = c == 0  # each text has a 0 behind it, so no word runs on into the next
         if over.any():
             ended, who = state[over], alive[over]
@@ -196,6 +217,31 @@ def find_hits(texts: list[str | None], own: Automaton) -> Hits:
         term[alive[some]] = stem[some]
         live = state > 0
         alive, state, at = alive[live], state[live], at[live] + 1
+    return term, far
+
+
+def find_hits(texts: list[str | None], own: Automaton | list[Automaton]) -> Hits:
+    """What the automata find; of several terms for a word, the one that a joint automaton would name."""
+    several = own if isinstance(own, list) else [own]
+    codes, begins = code_points(texts)
+    inner = several[0].classes[codes] > 0  # the same for all automata
+    starts = np.flatnonzero(inner & ~np.concatenate([[False], inner[:-1]]))
+    first = np.searchsorted(starts, begins)
+    different, back = _distinct(codes, inner, starts)
+    term, far = _search(codes, different, several[0])
+    lengths = np.concatenate([one.lengths for one in several])
+    before = len(several[0].lengths)
+    for one in several[1:]:
+        also, off = _search(codes, different, one)
+        some = np.flatnonzero(also >= 0)
+        also, off = also[some] + before, off[some]
+        had, had_off = term[some], far[some]
+        # Whole words go before stems, the nearest and then the leading term first; of stems the longest.
+        whole = (off >= 0) & ((had_off < 0) | (off < had_off))
+        better = (had < 0) | whole | (off < 0) & (had_off < 0) & (lengths[also] > lengths[had])
+        term[some[better]], far[some[better]] = also[better], off[better]
+        before += len(one.lengths)
+    term, far = term[back], np.maximum(far, 0)[back]
     hits = np.flatnonzero(term >= 0)
     text = np.searchsorted(first, hits, "right") - 1
     marks = np.isin(codes, np.array([ord(q) for q in QUOTES], dtype=np.uint32))
@@ -241,10 +287,10 @@ class ToxicityModel:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # exact and misspelled, by term
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     base: float = 0.0
-    own: Automaton | None = None
+    own: list[Automaton] = field(default_factory=list)
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        if self.own is None:
+        if not self.own:
             return [self.base] * len(texts)
         hits = find_hits(texts, self.own)
         edges = np.searchsorted(hits.text, np.arange(len(texts) + 1))
@@ -300,16 +346,20 @@ def candidate_counts(sample: DataFrame) -> DataFrame:
     return parts.groupBy("term", "stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def chosen_terms(candidates: list[Term], most: int = MOST_TERMS) -> list[Term]:
+def chosen_terms(candidates: list[Term]) -> list[Term]:
     """Of words and stems that begin alike, the longest that lose nothing, or the stem that covers more."""
     by_support = sorted(candidates, key=lambda t: (-t.toxic, t.clean, -len(t.text), t.stem, t.text))
     kept: list[Term] = []
+    stems: set[str] = set()
+    support: dict[str, int] = {}  # of the best kept term with each beginning
     for term in by_support:
-        related = [k for k in kept if k.text.startswith(term.text) or k.stem and term.text.startswith(k.text)]
-        if not any(k.toxic >= 0.9 * term.toxic or k.stem and term.text.startswith(k.text) for k in related):
+        beginnings = [term.text[:k] for k in range(1, len(term.text) + 1)]
+        if support.get(term.text, -1) < 0.9 * term.toxic and stems.isdisjoint(beginnings):
             kept.append(term)
-            if len(kept) == most:
-                break
+            if term.stem:
+                stems.add(term.text)
+            for beginning in beginnings:
+                support.setdefault(beginning, term.toxic)
     return kept
 
 
@@ -352,14 +402,11 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     least = max(2, min(LEAST_TOXIC, u_toxic // 10))
     even = F.col("toxic") * (u_clean / max(u_toxic, 1))
     strong = (F.col("toxic") >= least) & (F.col("toxic") >= LEAST_PURITY * (F.col("toxic") + F.col("clean") * share[1] / share[0]))
-    found = (
-        candidate_counts(sample).filter(strong & (even > F.col("clean")))
-        .orderBy(F.desc("toxic"), "clean", F.desc(F.length("term")), "stem", "term").limit(20 * MOST_TERMS).collect()
-    )
+    found = candidate_counts(sample).filter(strong & (even > F.col("clean"))).collect()
     terms = chosen_terms([Term(r["term"], r["stem"], r["toxic"], r["clean"]) for r in found])
     if not terms:
         return ToxicityModel(base=n_toxic / (n_toxic + n_clean))
-    own = automaton(terms)
+    own = automata(terms)
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 
-from stratalake.llm.toxicity import Term, automaton, chosen_terms, find_hits, judge, train
+from stratalake.llm.toxicity import Term, automata, automaton, chosen_terms, find_hits, judge, train
 
 SCHEMA = "doc_id long, text string, score string, predicted string"
 
@@ -63,6 +63,32 @@ def test_a_table_too_large_keeps_the_leading_terms():
     assert find_hits(["abcdefghij klmnopqrst"], own).term.tolist() == [0]
 
 
+def test_several_tables_hold_all_terms():
+    rng = random.Random(5)
+    texts = sorted({"".join(rng.choices("abcde", k=rng.randrange(4, 12))) for _ in range(60)})
+    rng.shuffle(texts)
+    terms = [Term(t[:5] if i % 4 == 0 else t, i % 4 == 0, 9, 0) for i, t in enumerate(texts)]
+    words = ["".join(c for c in t if rng.random() > 0.1) + rng.choice(["", "", "a", "xy"]) for t in texts * 40]
+    runs = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + [None, ""]
+    joint, several = automaton(terms, 10**9), automata(terms, 500)
+    assert len(several) > 2 and sum(len(one.lengths) for one in several) == len(terms)
+    one, all_ = find_hits(runs, joint), find_hits(runs, several)
+    assert len(set(one.term.tolist())) > 50
+    for name in ("text", "term", "distance", "quoted", "near", "words"):
+        assert getattr(one, name).tolist() == getattr(all_, name).tolist(), name
+    assert len(automata([Term("abcdefghij", False, 9, 0)], 3)) == 1
+
+
+def test_no_term_is_dropped_for_the_size_of_the_lexicon(spark):
+    words = ["".join(random.Random(i).sample("abcdefghijklmnopqrstuvwxyz", 8)) for i in range(500)]
+    rows = [(i, f"{words[i % 500]} {words[(i + 1) % 500]}", "s", "p") for i in range(2000)] + [(2000 + i, "plain text here", "s", "p") for i in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    labels = spark.createDataFrame([(i, int(i < 2000)) for i in range(4000)], "doc_id long, toxic int")
+    model = train(docs, labels)
+    assert {t.text for t in model.terms if not t.stem} | {w for w in words for t in model.terms if t.stem and w.startswith(t.text)} == set(words)
+    assert {i for i, score in enumerate(model.scores([*words, "plain text"])) if score >= 0.3} == set(range(500))
+
+
 def test_chosen_terms():
     terms = [Term(*x) for x in (("idio", True, 50, 3), ("idiot", False, 50, 0), ("achl", True, 40, 1), ("achler", False, 12, 0), ("achlung", False, 11, 0))]
     assert [(t.text, t.stem) for t in chosen_terms(terms)] == [("idiot", False), ("achl", True)]

@@ -5,9 +5,14 @@ weighted by 1 + ln of its count. Every term's 128 hash bits vote with its weight
 holds the signs. The share of differing bits estimates the angle between two texts' term
 vectors, so `likeness` is that angle's cosine, not below 0.
 
-Search: with radius r, a fingerprint is cut into r + 1 blocks of hex digits. Two fingerprints
-within the radius agree in one block at least, so a table per block, led by that block, finds
-them all. Equal fingerprints are one entry; only queries are joined with the tables.
+Search: a fingerprint is cut into blocks of bits, with a table per block, led by that block. Of two
+fingerprints within the radius, one block at least differs in no more than its share of the
+radius, two bits at most for the radius of the query. A query looks up each of its blocks under
+all such differences, so the tables find all. A pair that several blocks find is taken from the
+first of them. Equal fingerprints are one entry; only queries are joined with the tables.
+
+`RADIUS` is set by the texts that the search must reach: of pairs whose 5-word shingles have a
+Jaccard similarity of 0.75 or more, half are up to 13 bits apart and 99 of 100 up to 21.
 
 Defined results: a null text counts as empty; texts without words have the fingerprint of
 zeros; repeated rows and ids are ordered by a hash of their text and then fingerprinted one by
@@ -18,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +34,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import column, mix, text_slices, words, written
 
 BITS = 128
-RADIUS = 3
+RADIUS = 23
 BEGIN = np.uint64(0x5851F42D4C957F2D)
 SECOND = np.uint64(0x14057B7EF767814F)
 
@@ -145,25 +151,37 @@ def fingerprint_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.filter(F.col("kind") == DONE).unionByName(ends).drop("kind", "part", "text")
 
 
-def blocks(fingerprint: Column, radius: int) -> Column:
-    """The fingerprint's radius + 1 blocks, each led by its number: keys of the block tables."""
-    digits = BITS // 4
-    edges = [round(i * digits / (radius + 1)) for i in range(radius + 2)]
-    return F.array(*[
-        F.concat(F.lit(f"{i}:"), F.substring(fingerprint, a + 1, b - a)) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))
-    ])
+def cuts(radius: int) -> list[tuple[int, int, int]]:
+    """(begin, end, errors) of the blocks of bits: within the radius, one block has no more than its errors."""
+    n = max(4, radius // 3 + 1)
+    errors, more = divmod(radius, n)
+    edges = [round(i * BITS / n) for i in range(n + 1)]
+    found = [(a, b, errors if i <= more else errors - 1) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
+    return [c for c in found if c[2] >= 0]
+
+
+def differences(width: int, errors: int) -> list[int]:
+    return [sum(1 << k for k in places) for n in range(errors + 1) for places in combinations(range(width), n)]
+
+
+def halves(fingerprint: Column) -> list[Column]:
+    """The fingerprint as two 64-bit integers."""
+    a, b, c, d = (F.conv(F.substring(fingerprint, at, 8), 16, 10).cast("long") for at in (1, 9, 17, 25))
+    return [F.shiftleft(a, 32).bitwiseOR(b), F.shiftleft(c, 32).bitwiseOR(d)]
+
+
+def joined(high: Column, low: Column) -> Column:
+    return F.lower(F.concat(F.lpad(F.hex(high), 16, "0"), F.lpad(F.hex(low), 16, "0")))
 
 
-def distance(one: Column, other: Column) -> Column:
-    """Differing bits of two fingerprints, from their hex digits in runs of eight."""
-    runs = []
-    for at in range(1, BITS // 4, 8):
-        left, right = (F.conv(F.substring(x, at, 8), 16, 10).cast("long") for x in (one, other))
-        runs.append(F.bit_count(left.bitwiseXOR(right)))
-    total = runs[0]
-    for r in runs[1:]:
-        total = total + r
-    return total
+def bits(high: Column, low: Column, begin: int, end: int) -> Column:
+    """Some of the 128 bits, counted from the highest, as an integer."""
+    half = BITS // 2
+    if begin < half < end:
+        upper = high.bitwiseAND(F.lit((1 << half - begin) - 1))
+        return F.shiftleft(upper, end - half).bitwiseOR(F.shiftrightunsigned(low, BITS - end))
+    word, behind = (high, half - end) if end <= half else (low, BITS - end)
+    return F.shiftrightunsigned(word, behind).bitwiseAND(F.lit((1 << end - begin) - 1))
 
 
 def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -173,9 +191,25 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
     """
     if not 0 <= radius < BITS // 4:
         raise ValueError(f"radius must be 0 to {BITS // 4 - 1}")
+    blocks = cuts(radius)
+    place = [F.lit(i << 40) for i in range(len(blocks))]
     entries = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
-    table = entries.select("fingerprint", "n", F.explode(blocks(F.col("fingerprint"), radius)).alias("block"))
-    asked = queries.select(F.col("fingerprint").alias("query")).distinct()
-    asked = asked.select("query", F.explode(blocks(F.col("query"), radius)).alias("block"))
-    near = asked.join(table, "block").filter(distance(F.col("query"), F.col("fingerprint")) <= radius)
-    return near.select("query", "fingerprint", "n").distinct()
+    entries = entries.select(*[h.alias(c) for h, c in zip(halves(F.col("fingerprint")), ("high", "low"), strict=True)], "n")
+    keys = F.array(*[p + bits(F.col("high"), F.col("low"), a, b) for p, (a, b, _) in zip(place, blocks, strict=True)])
+    table = entries.select("high", "low", "n", F.explode(keys).alias("block"))
+    asked = queries.select("fingerprint").distinct()
+    asked = asked.select(*[h.alias(c) for h, c in zip(halves(F.col("fingerprint")), ("q_high", "q_low"), strict=True)])
+
+    def looked_up(p: Column, begin: int, end: int, errors: int) -> Column:
+        own = bits(F.col("q_high"), F.col("q_low"), begin, end)
+        return F.transform(F.lit(differences(end - begin, errors)).cast("array<bigint>"), lambda x: p + own.bitwiseXOR(x))
+
+    keys = F.flatten(F.array(*[looked_up(p, *cut) for p, cut in zip(place, blocks, strict=True)]))
+    asked = asked.select("q_high", "q_low", F.explode(keys).alias("block"))
+    apart = F.col("q_high").bitwiseXOR(F.col("high")), F.col("q_low").bitwiseXOR(F.col("low"))
+    first = F
+    for i, (begin, end, errors) in enumerate(blocks):
+        first = first.when(F.bit_count(bits(*apart, begin, end)) <= errors, i)
+    close = F.bit_count(apart[0]) + F.bit_count(apart[1]) <= radius
+    near = asked.join(table, "block").filter(close & (first == F.shiftright("block", 40)))
+    return near.select(joined(F.col("q_high"), F.col("q_low")).alias("query"), joined(F.col("high"), F.col("low")).alias("fingerprint"), "n")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm.simhash import fingerprint_documents, fingerprints, hexadecimal, likeness, within_radius
+from stratalake.llm.simhash import RADIUS, fingerprint_documents, fingerprints, hexadecimal, likeness, within_radius
 
 SCHEMA = "doc_id long, text string, fingerprint string, part int"
 
@@ -71,3 +71,32 @@ def test_block_tables_find_all_within_the_radius(spark, radius):
     assert got == want
     with pytest.raises(ValueError):
         within_radius(rows, rows, 32)
+
+
+@pytest.mark.parametrize("radius", [13, RADIUS, 31])
+def test_wide_radius_against_brute_force(spark, radius):
+    rng = random.Random(4)
+    base = [rng.getrandbits(128) for _ in range(20)]
+    values = base + [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(1, 40))) for b in base for _ in range(30)] + base[:5]
+    rows = spark.createDataFrame([(i, f"{v:032x}") for i, v in enumerate(values)], "doc_id long, fingerprint string")
+    got = [(r.query, r.fingerprint, r.n) for r in within_radius(rows, rows.filter(F.col("doc_id") < 20), radius).collect()]
+    want = {(f"{q:032x}", f"{v:032x}", values.count(v)) for q in base for v in values if (q ^ v).bit_count() <= radius}
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_the_radius_reaches_near_copies(spark):
+    rng = random.Random(5)
+    texts, pairs = [], 0
+    for _ in range(60):
+        a = [f"w{rng.randrange(3000)}" for _ in range(400)]
+        b = list(a)
+        for at in rng.sample(range(0, 400, 10), 10):  # ten words apart from each other: 50 of 396 shingles, Jaccard 0.78
+            b[at] = f"x{rng.randrange(3000)}"
+        one, other = ({tuple(w[i : i + 5]) for i in range(396)} for w in (a, b))
+        assert len(one & other) >= 0.75 * len(one | other)
+        texts += [" ".join(a), " ".join(b)]
+    names = hexadecimal(fingerprints(texts))
+    rows = spark.createDataFrame(list(enumerate(names)), "doc_id long, fingerprint string")
+    got = {(r.query, r.fingerprint) for r in within_radius(rows, rows.filter("doc_id % 2 = 0")).collect()}
+    assert sum(pair in got for pair in zip(names[::2], names[1::2], strict=True)) >= 57
+    assert len(got) <= 120

@@ -29,9 +29,15 @@ returns it is one that Spark splits. Copies within a task are signed once. Links
 a spanning forest, and components come from alternating large-star and small-star steps on
 written tables.
 
+`linked_documents` also counts every link. A pair that several clusters hold is counted in the
+first of them, so a task sends one sum per document and no pairs; copies signed once count with
+their number.
+
 Defined results: null texts and texts without words have an empty set and no links; equal ids
 are one document, whose texts all count; rows without an id have no component and no links;
 every input row gives one output row; an empty table gives none; other columns are not looked at.
+A row's number of links is that of the other rows with an id whose texts link with its own, copies
+and rows of its id among them; rows without an id have none.
 """
 
 from __future__ import annotations
@@ -368,6 +374,104 @@ def links(members: DataFrame, docs: DataFrame, threshold: tuple[int, int] = THRE
     return rows.mapInArrow(compared, "one long, other long").distinct()
 
 
+def link_counts(sets: list[np.ndarray], side: np.ndarray, weights: np.ndarray, earlier: list[np.ndarray], threshold: tuple[int, int] = THRESHOLD) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """A spanning forest of the links, and for each set the weights of all that it links with.
+
+    With both sides present only links across count, as in `linked`. `earlier` has the clusters in
+    which each set has been met before; pairs that have been met there are left out of the sums.
+    """
+    top, bottom = threshold
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    across = bool(side.any() and not side.all())
+    items, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(items, kind="stable")
+    _, posting, counts = np.unique(items, return_inverse=True, return_counts=True)
+    begins, owners = np.cumsum(counts) - counts, owners[order]
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    met: dict[int, list[int]] = {}
+    for i, some in enumerate(earlier):
+        for c in some.tolist():
+            met.setdefault(c, []).append(i)
+    known = {c: np.array(some) for c, some in met.items() if len(some) > 1}
+    forest, sums = Forest(len(sets)), np.zeros(len(sets), dtype=np.int64)
+    for i in range(len(sets)):
+        if across and side[i]:
+            continue
+        own = posting[edges[i] : edges[i + 1]]
+        own = own[counts[own] > 1]
+        if not len(own):
+            continue
+        n = counts[own]
+        at = np.repeat(begins[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        both = np.bincount(owners[at], minlength=len(sets))
+        near = (both > 0) & (bottom * both >= top * (sizes + sizes[i] - both))
+        near[i] = False
+        if across:
+            near &= side
+        forest.connect(i, np.flatnonzero(near & (forest.label != forest.label[i])))
+        for c in earlier[i].tolist():
+            if c in known:
+                near[known[c]] = False
+        sums[i] += weights[near].sum()
+        if across:
+            sums[near] += weights[i]
+    return forest.links, sums
+
+
+def counted_links(members: DataFrame, weights: DataFrame, docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, text: str = "text", block: int = BLOCK) -> DataFrame:
+    """(one, other, n): spanning forests as in `links`, and rows without `other` that sum up to the links of `one`.
+
+    Ids are unique; `weights` (doc, weight) says for how many rows each document stands.
+    """
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
+    # A document has no more clusters than signatures.
+    own = members.groupBy("doc").agg(F.collect_set("cluster").alias("clusters")).join(weights, "doc")
+    dealt = members.join(sizes, "cluster").join(own, "doc").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
+        "own", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")
+    )
+    met = written(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "cluster", "doc", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("side"),
+        "weight", F.filter("clusters", lambda c: c < F.col("cluster")).alias("earlier"),
+    ), "cluster_members")
+    n_bytes = met.agg(F.sum(72 + 8 * F.size("earlier"))).first()[0] or 0
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(met) if n_bytes <= BROADCAST_BYTES else met, "doc")
+    rows = rows.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high", "doc")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        last = None
+
+        def close() -> list[tuple[int, int | None, int]]:
+            side = np.array([h[2] for h in held], dtype=bool)
+            # Two blocks of which one is empty have no pairs of their own.
+            if len(held) < 2 or last[1] != last[2] and (side.all() or not side.any()):
+                return []
+            forest, sums = link_counts([h[1] for h in held], side, np.array([h[3] for h in held]), [h[4] for h in held], threshold)
+            return [(held[i][0], held[j][0], 0) for i, j in forest] + [(held[i][0], None, int(sums[i])) for i in np.flatnonzero(sums)]
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["one", "other", "n"])
+
+        for batch in batches:
+            out = []
+            names = list(zip(*(column(batch, c).to_pylist() for c in ("cluster", "low", "high")), strict=True))
+            ids, sides, weight, earlier = (column(batch, c).to_pylist() for c in ("doc", "side", "weight", "earlier"))
+            for low, high, data, offsets in text_slices(column(batch, "text")):
+                for i, shingles in zip(range(low, high), shingle_sets(data, offsets), strict=True):
+                    if names[i] != last:
+                        out += close()
+                        held, last = [], names[i]
+                    if len(shingles):
+                        held.append((ids[i], shingles, sides[i], weight[i], np.array(earlier[i], dtype=np.int64)))
+            if out:
+                yield batch_of(out)
+        if out := close():
+            yield batch_of(out)
+
+    return rows.mapInArrow(compared, "one long, other long, n long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node reaches, for nodes that are not it.
 
@@ -411,3 +515,39 @@ def similar_documents(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, t
         F.when(known, F.col("doc")).alias("doc_id"), F.shiftright("tag", 2).bitwiseAND(2**SIZE_BITS - 1).alias("n_shingles"),
         F.when(known, F.coalesce("component", "doc")).alias("component_id"),
     )
+
+
+def linked_documents(docs: DataFrame, threshold: tuple[int, int] = THRESHOLD, text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of every row."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    if docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return _with_links(docs, threshold)
+    # Rows of one id are told apart for their links; components are those of ids.
+    numbered = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered_documents")
+    counted = _with_links(numbered.select(F.when(F.col("doc_id").isNotNull(), F.col("row")).alias("doc_id"), "text"), threshold)
+    labels = similar_documents(numbered, threshold).filter(F.col("doc_id").isNotNull()).select("doc_id", "component_id").distinct()
+    ids = numbered.filter(F.col("doc_id").isNotNull()).select("row", "doc_id").join(labels, "doc_id")
+    counted = counted.select(F.col("doc_id").alias("row"), "n_shingles", "n_links")
+    return counted.join(ids, "row", "left").select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def _with_links(docs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """`linked_documents` for unique ids."""
+    signer = Signer(threshold, frequent_shingles(docs))
+    shared = written(sharing_rows(signature_rows(docs, signer)), "shared_signatures")
+    members = written(clusters(shared), "clusters")
+    kind = F.col("tag").bitwiseAND(3)
+    rows = shared.filter(kind >= DOCUMENT)
+    weights = rows.filter(kind == DOCUMENT).groupBy(F.col("key").alias("doc")).agg(F.count(F.lit(1)).alias("weight"))
+    found = written(counted_links(members, weights, docs, threshold), "links")
+    copies = rows.filter((kind == DOCUMENT) & (F.col("key") != F.col("doc"))).select(F.col("key").alias("one"), F.col("doc").alias("other"))
+    labels = components(found.filter(F.col("other").isNotNull()).select("one", "other").unionByName(copies))
+    sums = found.filter(F.col("other").isNull()).groupBy(F.col("one").alias("doc")).agg(F.sum("n").alias("n"))
+    # One row per document that others are copies of, and its number of links.
+    heads = weights.join(sums, "doc", "left").select(F.col("doc").alias("head"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    known = kind == DOCUMENT
+    linked_rows = rows.join(heads.filter("n_links > 0"), known & (F.col("key") == F.col("head")), "left")
+    return linked_rows.join(labels, known & (F.col("doc") == F.col("node")), "left").select(
+        F.when(known, F.col("doc")).alias("doc_id"), F.shiftright("tag", 2).bitwiseAND(2**SIZE_BITS - 1).alias("n_shingles"),
+        F.when(known, F.coalesce("component", "doc")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )

@@ -22,6 +22,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partenum.similar_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op1_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `op1_ngram_jaccard`, with each document's number of links."""
+    return partenum.linked_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op2_space_filling_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curves.neighbours(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
@@ -87,6 +92,9 @@ REGISTRY: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
+# Further queries of operators that have one above.
+FURTHER: dict[str, Query] = {"op1_ngram_jaccard_links": op1_ngram_jaccard_links}
+
 ORACLES: dict[str, str] = {
     "op3_sharding": f"""
         WITH sized AS (

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from stratalake.llm import partenum
-from stratalake.llm.partenum import Signer, components, linked, shingle_sets, similar_documents
+from stratalake.llm.partenum import Signer, components, linked, linked_documents, shingle_sets, similar_documents
 
 SCHEMA = "doc_id long, text string, component_id string, key long"
 
@@ -148,3 +148,28 @@ def test_shingles_of_short_texts_differ_from_long_ones():
     data = np.frombuffer(b"a b c d e|a b c d|a b c d e f".replace(b"|", b"\n"), np.uint8)
     five, four, six = shingle_sets(data, np.array([0, 10, 18, len(data)]))
     assert len(five) == 1 and len(four) == 1 and len(six) == 2 and five[0] in six and four[0] not in six
+
+
+def expected_links(rows):
+    """(doc, n_shingles, n_links) of each row by comparing all pairs."""
+    sets = []
+    for doc, text, *_ in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        sets.append((doc, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()))
+    out = []
+    for i, (d, x) in enumerate(sets):
+        n = sum(bool(j != i and d is not None and e is not None and x and y and 100 * len(x & y) >= 75 * len(x | y)) for j, (e, y) in enumerate(sets))
+        out.append((d is None, d or 0, len(x), n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("repeated, block", [(False, 1024), (False, 7), (True, 7)])
+def test_every_link_is_counted_once(spark, monkeypatch, repeated, block):
+    monkeypatch.setattr(partenum.counted_links, "__defaults__", (*partenum.counted_links.__defaults__[:-1], block))
+    rows = corpus(4) + [(None, "no id"), (None, "no id"), (900, None), (901, ""), (902, "no id")]
+    if repeated:
+        rows += [(100, rows[3][1]), (100, rows[0][1]), (107, rows[9][1] + " end"), (902, "no id")]
+    got = linked_documents(frame(spark, rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.n_links) for r in got) == expected_links(rows)
+    assert max(r.n_links for r in got) >= 5
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == expected(rows)

@@ -211,5 +211,6 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
     for i, (begin, end, errors) in enumerate(blocks):
         first = first.when(F.bit_count(bits(*apart, begin, end)) <= errors, i)
     close = F.bit_count(apart[0]) + F.bit_count(apart[1]) <= radius
-    near = asked.join(table, "block").filter(close & (first == F.shiftright("block", 40)))
+    # Spark takes both sides for as small as they were before they were exploded and would broadcast one.
+    near = asked.hint("merge").join(table, "block").filter(close & (first == F.shiftright("block", 40)))
     return near.select(joined(F.col("q_high"), F.col("q_low")).alias("query"), joined(F.col("high"), F.col("low")).alias("fingerprint"), "n")

@@ -10,8 +10,8 @@ Where a text may be cut:
   Texts with longer or other white space go to the library whole.
 - `word` (lower case, white space dropped): at spaces and line breaks.
 
-Pieces are found and told apart by 64-bit hashes of their bytes, for a run of texts at once; ids
-of all texts are then gathered from the store by position.
+Pieces cover a run of texts without gaps, so Arrow tells the distinct ones apart by their bytes;
+ids of all texts are then gathered from the store by position.
 """
 
 from __future__ import annotations
@@ -19,19 +19,20 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import pairwise, repeat
 from struct import pack
 
 import numpy as np
+import pyarrow as pa
 
-from stratalake.llm.common import EXACT_CODES, claim, run_hashes, runs
+from stratalake.llm.common import claim
 
 END_ID = 2
-MOST_CACHED = 1_000_000
+MOST_KEPT = 96 * 1024**2  # bytes, as estimated from the pieces and ids that are kept
+KEPT_PIECE = 180
 CALL_BYTES = 64 * 1024
 RUN_CHARS = 1024 * 1024
-APART_BYTE = np.arange(256) == 32
-APART_WORD = np.isin(np.arange(256), [32, 10])
-LED = np.uint64(0x5DEECE66D1234567)
+SPACE, BREAK = 32, 10
 WHITE = re.compile(r"\s")
 
 # Letters of ASCII and Latin-1, then signs of ASCII: texts whose splits need no further look.
@@ -49,6 +50,13 @@ def _byte_signs() -> dict[int, str]:
 BYTE_SIGNS = _byte_signs()
 
 
+def values(column: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of a column without nulls or offset; several times as fast as to_pylist."""
+    raw = column.buffers()[2].to_pybytes() if column.buffers()[2] else b""
+    edges = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1).tolist()
+    return [raw[a:b] for a, b in pairwise(edges)]
+
+
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
 
@@ -67,25 +75,38 @@ class PieceEncoder:
         self.lengths = lengths  # bytes of text that each id stands for; a byte is one character in the vocabulary
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}  # hash of a piece -> its number
+        self.place: dict[bytes, int] = {}  # a piece's own bytes -> its number
+        self.kept = 0
+        self.again = np.zeros(1024, dtype=bool)  # met in more than one run of texts
         self.begin = np.zeros(1024, dtype=np.int64)  # where the ids of each piece begin in the store
         self.count = np.zeros(1024, dtype=np.int64)
         self.store = np.zeros(4096, dtype="<u4")
         self.used = 0
 
-    def _keep(self, keys: list[int], ids: list[bytes]) -> None:
+    def _keep(self, keys: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
         low, high = len(self.place), len(self.place) + len(keys)
-        flat = np.frombuffer(b"".join(ids), dtype="<u4")
         while high > len(self.begin):
             self.begin, self.count = np.concatenate([self.begin, self.begin]), np.concatenate([self.count, self.count])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         while self.used + len(flat) > len(self.store):
             self.store = np.concatenate([self.store, self.store])
-        sizes = np.array([len(i) // 4 for i in ids], dtype=np.int64)
         self.count[low:high] = sizes
         self.begin[low:high] = self.used + np.cumsum(sizes) - sizes
         self.store[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
         self.place.update(zip(keys, range(low, high), strict=True))
+        self.kept += KEPT_PIECE * len(keys) + sum(map(len, keys)) + 4 * len(flat)
+
+    def _drop_rare(self) -> None:
+        """Keeps the pieces that were met again, or none if they fill most of the store by themselves."""
+        which = np.flatnonzero(self.again[: len(self.place)])
+        names, sizes = list(self.place), self.count[which]
+        often = [names[i] for i in which.tolist()]
+        ends = np.cumsum(sizes)
+        flat = self.store[np.repeat(self.begin[which] - ends + sizes, sizes) + np.arange(sizes.sum())]
+        self._forget()
+        if 4 * len(flat) + sum(map(len, often)) + KEPT_PIECE * len(often) <= 0.7 * MOST_KEPT:
+            self._keep(often, flat, sizes)
 
     def regular(self, text: str) -> bool:
         """May this text be cut at its spaces and line breaks?"""
@@ -98,7 +119,7 @@ class PieceEncoder:
         rest, done, tokenize = [], {}, self.tokenizer.model.tokenize
         for p in new:
             parts = PLAIN.fullmatch(p)
-            if not parts or not self.byte_level and p[0] == " ":
+            if not parts or not self.byte_level and p[:1] == " ":
                 rest.append(p)
                 continue
             ids = b""
@@ -143,11 +164,12 @@ class PieceEncoder:
             cache[p] = np.array(e.ids, dtype="<u4").tobytes()
         return [cache[p] for p in new]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; an empty text has none."""
+    def encode(self, texts: list[str], led: bool = False) -> list[bytes]:
+        """Ids of each text, or of a space and the text if `led`; an empty text has none either way."""
+        lead = " " if led else ""
         out = [b""] * len(texts)
-        odd = [i for i, t in enumerate(texts) if not self.regular(t)]
-        for i, e in zip(odd, self.tokenizer.encode_batch([texts[i] for i in odd], add_special_tokens=False), strict=True):
+        odd = [i for i, t in enumerate(texts) if t and not self.regular(t)]
+        for i, e in zip(odd, self.tokenizer.encode_batch([lead + texts[i] for i in odd], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, dtype="<u4").tobytes()
         odd = set(odd)
         run, size = [], 0
@@ -156,42 +178,48 @@ class PieceEncoder:
                 run.append(i)
                 size += len(t)
             if run and (size >= RUN_CHARS or i == len(texts) - 1):
-                for k, ids in zip(run, self._encode_run([texts[k].encode() for k in run]), strict=True):
+                for k, ids in zip(run, self._encode_run([(lead + texts[k]).encode() for k in run]), strict=True):
                     out[k] = ids
                 run, size = [], 0
         return out
 
+    def _places(self, known: list[bytes]) -> np.ndarray:
+        """The number of each piece in the store, or -1."""
+        return np.fromiter(map(self.place.get, known, repeat(-1)), np.int64, len(known))
+
     def _encode_run(self, texts: list[bytes]) -> list[bytes]:
-        data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, dtype=np.uint8)
         offsets = np.cumsum([0, *map(len, texts)])
-        starts, stops = runs(data, offsets, APART_BYTE if self.byte_level else APART_WORD, 10 if self.byte_level else None)
-        keys = run_hashes(data, starts, stops, EXACT_CODES)
-        first = np.searchsorted(starts, offsets)
-        led = np.zeros(len(starts), dtype=bool)
+        begins = data == SPACE
+        begins |= data == BREAK
         if self.byte_level:
-            led = (starts > 0) & (data[starts - 1] == 32)
-            led[first[:-1][first[:-1] < len(starts)]] = False  # a regular text does not begin with a space
-            keys = keys ^ np.where(led, LED, np.uint64(0))
-        found, at, which = np.unique(keys, return_index=True, return_inverse=True)
-        known = found.tolist()
-        place = list(map(self.place.get, known))
-        missing = [i for i, p in enumerate(place) if p is None]
-        if missing:
-            if len(self.place) + len(missing) > MOST_CACHED:
-                self._forget()
-                missing = list(range(len(known)))
-            raw = data.tobytes()
-            low, high, lead = starts[at[missing]].tolist(), (stops[at[missing]] + 1).tolist(), led[at[missing]].tolist()
-            new = [(" " if c else "") + raw[a:b].decode() for a, b, c in zip(low, high, lead, strict=True)]
-            self._keep([known[i] for i in missing], self._encoded(new))
-            place = list(map(self.place.get, known))
-        own = np.array(place, dtype=np.int64)[which]
+            begins[1:] |= data[:-1] == BREAK
+        begins[offsets[:-1]] = True
+        edges = np.append(np.flatnonzero(begins), len(data))
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(raw)])
+        found = pieces.dictionary_encode()
+        which, known = found.indices.to_numpy(), values(found.dictionary)
+        place = self._places(known)
+        missing = np.flatnonzero(place < 0)
+        self.again[place[place >= 0]] = True
+        if len(missing):
+            if self.kept > MOST_KEPT:
+                self._drop_rare()
+                place = self._places(known)
+                missing = np.flatnonzero(place < 0)
+            new = [known[i] for i in missing.tolist()]
+            plain = [p.decode() for p in new] if self.byte_level else [p.decode().strip(" \n") for p in new]
+            ids = self._encoded(plain)
+            place[missing] = len(self.place) + np.arange(len(new))
+            self._keep(new, np.frombuffer(b"".join(ids), dtype="<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+        own = place[which]
         sizes = self.count[own]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.store[np.repeat(self.begin[own] - ends + sizes, sizes) + np.arange(total)].tobytes()
-        edges = np.concatenate([[0], ends])[first] * 4
-        return [flat[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        cuts = np.concatenate([[0], ends])[np.searchsorted(edges, offsets)] * 4
+        return [flat[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

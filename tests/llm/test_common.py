@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratalake.llm import common
-from stratalake.llm.common import EXACT_CODES, claim, run_hashes, runs, text_runs, text_slices, words
+from stratalake.llm.common import claim, run_hashes, runs, text_runs, text_slices, words
 
 text = st.text(st.sampled_from("aAbZ .\n\t\r\x0b\x1cé💩"), max_size=30)
 
@@ -36,7 +36,7 @@ def test_runs_with_a_byte_that_stands_alone(texts):
     starts, stops = runs(data, offsets, np.arange(256) == 32, 10)
     found = [data[a : b + 1].tobytes().decode() for a, b in zip(starts, stops, strict=True)]
     assert found == [p for t in texts for p in re.findall(r"\n|[^ \n]+", t)]
-    assert len(set(run_hashes(data, starts, stops, EXACT_CODES).tolist())) == len(set(found))
+    assert len(set(run_hashes(data, starts, stops).tolist())) == len(set(found))
 
 
 def test_text_runs_cover_a_batch():
@@ -58,3 +58,16 @@ def test_a_worker_keeps_one_owners_tables(monkeypatch):
     claim("c")
     claim("c")
     assert dropped == ["a", "b"]
+
+
+def test_hashes_of_long_words():
+    rng = np.random.default_rng(1)
+    turns = np.array([i.bit_count() % 2 for i in range(2048)])
+    texts = ["".join("ab"[t ^ flip] for t in turns[:n]) for n in (7, 8, 9, 16, 17, 511, 512, 513, 1024, 2048) for flip in (0, 1)]
+    texts += ["".join(rng.choice(list("ab"), n)) for n in (24, 100, 600)] + ["a" * n for n in range(1, 40)]
+    raw = " ".join(texts).encode()
+    data = np.frombuffer(raw, np.uint8)
+    hashes, _, starts = words(data, np.array([0, len(raw)]))
+    assert len(starts) == len(texts) and len(set(hashes.tolist())) == len(set(texts))
+    again = [words(np.frombuffer(t.upper().encode(), np.uint8), np.array([0, len(t)]))[0][0] for t in texts]
+    assert again == hashes.tolist()

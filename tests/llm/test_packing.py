@@ -93,6 +93,12 @@ def test_elites_reach_the_next_island(spark):
     assert sorted(r.uid for r in places) == list(range(300))
 
 
+def alike(n):
+    """Two words of n letters that any polynomial hash modulo a power of two takes for one, if n is large."""
+    turns = [i.bit_count() % 2 for i in range(n)]
+    return "".join("ab"[t] for t in turns), "".join("ba"[t] for t in turns)
+
+
 ODD = ["a  b", "a   b c", " x", "x ", "a\n\nb", "\n a", " \n \n b", "a\r\nb c", "ünï  ço de x", "a\0b c", "1 2  3\n4", "it's I'll 'd don't", "é ́x",
        "日本 語 テスト", "a b c", "<|endoftext|> hi", "<|startoftext|>a b", "İstanbul ΣΑΣ Σ", "x\x1cy z", "a \x1c b", "tab\there now", "💩 💩💩 x", "²³ 12 ½", "", "A B c"]
 
@@ -101,10 +107,13 @@ ODD = ["a  b", "a   b c", " x", "x ", "a\n\nb", "\n a", " \n \n b", "a\r\nb c",
 def test_ids_by_pieces_are_the_tokenizers_own(name, spark, monkeypatch):
     path = public_tokenizers.path(name)
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()] + ODD
+    texts += ["x " + w for n in (512, 1024, 2048) for w in alike(n)]
     want = [reference(t, path)[:-1].tolist() for t in texts]
-    for most, run in ((tokens.MOST_CACHED, tokens.RUN_CHARS), (50, 3000)):
-        monkeypatch.setattr(tokens, "MOST_CACHED", most)
+    led = [reference(" " + t if t else "", path)[:-1].tolist() for t in texts]
+    for most, run in ((tokens.MOST_KEPT, tokens.RUN_CHARS), (5000, 3000)):
+        monkeypatch.setattr(tokens, "MOST_KEPT", most)
         monkeypatch.setattr(tokens, "RUN_CHARS", run)
         own = PieceEncoder(path)
         assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == want
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts, led=True)] == led
         assert own.encode(texts[:5]) == own.encode(texts[:5]) and own.encode([]) == []

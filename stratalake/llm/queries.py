@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import curves, lang_id, orc_tokens, packing, partenum, sentencepieces, sharding, simhash, toxicity, url_filter
+from stratalake.llm import curves, lang_id, orc_tokens, packing, partenum, periodic, sentencepieces, sharding, simhash, toxicity, url_filter
 from stratalake.llm.common import read_table, remainder_of_id, written
 from stratalake.session import scratch_path
 
@@ -79,6 +79,31 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).drop("url")
 
 
+def planted_repetition() -> Column:
+    """The text, of which every tenth by a hash of its id goes on periodically from some word.
+
+    With h the crc32 of the decimal id and g = h / 10: if h % 10 is 0, each word i >= a becomes word
+    a + (i - a) % p, where a = g % n and p = 1 + (n - a) / (3 + g % 8), all in whole numbers.
+    """
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def changed(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.array_join(F.transform(w, lambda x, i: F.when(i < a, x).otherwise(F.get(w, (a + (i - a) % p).cast("int")))), " ")
+
+    # An array of one, so that the words are cut once and not for each of them.
+    words = F.array(F.regexp_extract_all(F.col("text"), F.lit(r"([^\x20\x09-\x0D]+)"), 1))
+    return F.when(hashed % 10 == 0, F.get(F.transform(words, lambda w: F.when(F.size(w) > 0, changed(w))), F.lit(0))).otherwise(F.col("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", planted_repetition().alias("text"))
+    return periodic.digests(periodic.collapse(docs, ["doc_id"]), ["doc_id"])
+
+
 REGISTRY: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_space_filling_curves": op2_space_filling_curves,
@@ -90,6 +115,7 @@ REGISTRY: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_simhash": op9_simhash,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 # Further queries of operators that have one above.

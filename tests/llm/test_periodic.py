@@ -1,0 +1,147 @@
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stratalake.llm import periodic
+from stratalake.llm.queries import REGISTRY
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def brute(words, least=24, exponent=3):
+    """All runs by trying every period."""
+    n, found = len(words), []
+    for p in range(1, n // exponent + 1):
+        i = 0
+        while i + p < n:
+            if words[i] != words[i + p]:
+                i += 1
+                continue
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            length = j + p - i
+            own = words[i : i + p]
+            if length >= max(least, exponent * p) and not any(p % q == 0 and own == own[:q] * (p // q) for q in range(1, p)):
+                found.append((i, length, p))
+            i = j
+    return sorted(found)
+
+
+def split(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def runs_of(texts, least=24, exponent=3):
+    words, first = periodic.words_of(pa.array(texts, pa.string()))
+    ids, marked = periodic.numbered(words, first)
+    text, *rest = periodic.find_runs(ids, marked, least, exponent)
+    out = [[] for _ in texts]
+    for k, *run in zip(text.tolist(), *(x.tolist() for x in rest), strict=True):
+        out[k].append(tuple(run))
+    return out
+
+
+pieces = st.tuples(st.text("abc", min_size=1, max_size=9), st.integers(1, 7), st.integers(0, 8))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(pieces, max_size=6), min_size=1, max_size=4), st.sampled_from([3, 6, 24]))
+def test_runs_of_small_alphabets(texts, least):
+    """Powers of short words, powers of those, and what lies between."""
+    texts = [" ".join("".join(w * k + w[:r] for w, k, r in t) * (1 + len(t) % 3)) for t in texts]
+    assert runs_of(texts, least) == [brute(t.split(), least) for t in texts]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_long_texts(seed):
+    rng, texts = random.Random(seed), []
+    for _ in range(8):
+        words = [rng.choice("abcdefghij"[: rng.choice([1, 2, 3, 10])]) for _ in range(rng.randrange(600))]
+        for _ in range(rng.randrange(4)):
+            p, at = rng.choice([1, 2, 3, 5, 8, 13, 31, 64, 65, 100]), rng.randrange(len(words) + 1)
+            words[at:at] = [rng.choice("abc") for _ in range(p)] * rng.randrange(2, 7)
+        texts.append(" ".join(words))
+    assert runs_of(texts, 3) == [brute(t.split(), 3) for t in texts]
+    assert runs_of(texts, 24, 5) == [brute(t.split(), 24, 5) for t in texts]
+
+
+def test_fibonacci_and_nested_powers():
+    a, b = "a", "ab"
+    for _ in range(11):
+        a, b = b, b + a
+    inner = ("ab" * 12 + "c") * 5 + "d"
+    texts = [" ".join(b[:500]), " ".join(inner * 4), " ".join("a" * 300), " ".join(("x" * 40 + "y") * 9)]
+    assert runs_of(texts, 3) == [brute(t.split(), 3) for t in texts]
+
+
+def test_words_are_cut_at_ascii_space_only():
+    texts = ["a\x1cb c\x85d e f  \x0b\x0cg\r\nH ", None, "", " \t\n", "h H"]
+    words, first = periodic.words_of(pa.array(texts, pa.string()))
+    assert [words.to_pylist()[a:b] for a, b in zip(first, first[1:])] == [split(t) for t in texts]
+    sliced = pa.array(["x", *texts], pa.string()).slice(1)
+    assert periodic.words_of(sliced)[0].to_pylist() == words.to_pylist()
+
+
+def expected(words, runs):
+    drop = {i for s, n, p in runs for i in range(s + p, s + n)}
+    top = None
+    for r in runs:
+        if top is None or r[1] * top[2] > top[1] * r[2]:
+            top = r
+    lines = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in drop)
+    digest = [hashlib.sha256(x.encode()).hexdigest() for x in (lines, kept)]
+    return (len(runs), *(top or (None,) * 3), top and 1000 * top[1] // top[2], *digest)
+
+
+def planted(doc_id, words):
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n or doc_id is None:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def test_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: tuple(r)[1:] for r in REGISTRY["op11_periodic_runs"](spark, SF_DIR).collect()}
+    assert len(got) == len(docs) and any(v[0] for v in got.values())
+    for d, t in docs:
+        words = planted(d, split(t))
+        assert got[d] == expected(words, runs_of([" ".join(words)])[0])
+        if len(words) < 3000:
+            assert runs_of([" ".join(words)])[0] == brute(words)
+
+
+def test_odd_rows_and_clashing_names(spark):
+    again = "la " * 30 + "end"
+    rows = [(1, None), (1, ""), (2, " \n "), (3, again), (3, again), (None, "x " * 24), (5, "y " * 23), (6, ("w " * 7 + "ü ") * 40), (7, "z" * 100_000)]
+    docs = spark.createDataFrame([(d, t, 1, "r", "c") for d, t in rows], "doc_id long, text string, n_words int, runs string, collapsed string")
+    got = periodic.collapse(docs, ["doc_id", "text", "runs"])
+    assert got.columns == ["doc_id", "text", "n_words", "runs", "collapsed"]
+    found = sorted(((r.doc_id or 0, r.n_words, [tuple(x) for x in r.runs], r.collapsed[:20]) for r in got.collect()), key=str)
+    assert found == sorted([
+        (1, 0, [], ""), (1, 0, [], ""), (2, 0, [], ""), (3, 31, [(0, 30, 1)], "la end"), (3, 31, [(0, 30, 1)], "la end"), (0, 24, [(0, 24, 1)], "x"),
+        (5, 23, [], ("y " * 23).strip()[:20]), (6, 320, [(0, 320, 8)], "w w w w w w w ü"), (7, 1, [], "z" * 20),
+    ], key=str)
+    assert periodic.digests(periodic.collapse(docs.limit(0), ["doc_id"]), ["doc_id"]).collect() == []
+    with pytest.raises(ValueError):
+        periodic.collapse(docs, ["doc_id"], exponent=2)
+
+
+def test_work_on_a_long_text_stays_linear():
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 1000, 400_000)
+    ids[100_000:220_000] = ids[100_000 + np.arange(120_000) % 30_011]
+    ids[-1] = 5000
+    assert [x.tolist() for x in periodic.find_runs(ids, np.array([0, len(ids)]))[1:]] == [[100_000], [120_000], [30_011]]

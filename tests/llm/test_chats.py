@@ -1,0 +1,119 @@
+import hashlib
+import json
+
+import oracle
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from stratalake.llm import chats
+from stratalake.llm.chats import Layout, Turn
+from stratalake.llm.queries import ORACLES, REGISTRY
+
+SF_DIR = "/root/testdata/sf0.001"
+SAID = [("system", "Be kind."), ("user", "Why?"), ("assistant", "So.")]
+
+
+def records(spark, values):
+    return spark.createDataFrame([(json.dumps(v),) for v in values], "json string").select(chats.from_json_text(F.col("json")).alias("record"))
+
+
+def turns_of(df):
+    out = {}
+    for r in df.orderBy("id", "position", "role", "text").collect():
+        out.setdefault(r.id, []).append((r.role, r.text))
+    return out
+
+
+def test_layouts_give_the_same_turns(spark):
+    values = [
+        {"conv_id": 1, "messages": [{"role": r, "content": t} for r, t in SAID]},
+        {"conv_id": 2, "source": "web", "conversations": [{"from": {"user": "human", "assistant": "gpt"}.get(r, r), "value": t, "weight": 1} for r, t in SAID]},
+        {"conv_id": 3, "system": "Be kind.", "instruction": "Why?", "output": "So."},
+        *({"conv_id": 4, "turn": i, "role": r, "text": t} for i, (r, t) in enumerate(SAID)),
+        {"conv_id": 5, "prompt": "Why?", "response": "So."},
+        {"conv_id": 6, "prompt": "Why?", "completion": "So.", "date": {"year": 2020, "tags": ["a", {"b": [1]}]}},
+        {"conv_id": 7, "instruction": "Why?", "input": "Sky", "output": "So."},
+        {"conv_id": 8, "instruction": "Why?", "input": "", "output": None},
+    ]
+    got = turns_of(chats.canonical_turns(records(spark, values)))
+    assert [got[i] for i in range(1, 5)] == [SAID] * 4
+    assert got[5] == got[6] == SAID[1:]
+    assert got[7] == [("user", "Why?\n\nSky"), ("assistant", "So.")] and got[8] == [("user", "Why?"), ("assistant", "")]
+
+
+def test_fingerprints_follow_known_paths_only(spark):
+    values = [
+        {"messages": [{"role": "user", "content": "a"}]}, {"messages": [{"content": None, "role": "x"}, {"role": "y", "content": "b", "n": 1}], "id": [1]},
+        {"messages": [{"role": "user"}]}, {"messages": []}, {"messages": None}, {}, {"a b": {"c.d": 1}, "e`f": [[{"g": 1.5}]]},
+    ]
+    rows = records(spark, values).select(chats.fingerprint(F.col("record")).alias("f"), chats.field_paths(F.col("record")).alias("p")).collect()
+    assert rows[0].f == rows[1].f and len({r.f for r in rows[1:6]}) == 5
+    assert rows[1].p == ["id[]", "messages[].content", "messages[].n", "messages[].role"] and rows[5].p == []
+    assert rows[6].p == ["`a b`.`c.d`", "`e``f`[][].g"]
+
+
+def test_records_without_a_layout(spark):
+    given = records(spark, [{"conv_id": 1, "prompt": "a", "response": "b"}, {"conv_id": 2, "question": "a"}, {"conv_id": 3, "question": "b"}, {"messages": [], "conv_id": 4}])
+    assert [(r.paths, r.n) for r in chats.unknown_layouts(given).collect()] == [(["conv_id", "question"], 2)]
+    assert set(turns_of(chats.canonical_turns(given, strict=False))) == {1, 4}
+    with pytest.raises(Exception, match="no layout for a record with the paths conv_id, question"):
+        chats.canonical_turns(given).collect()
+    own = (*chats.LAYOUTS, Layout("question", (Turn("user", ("question",)),)))
+    assert turns_of(chats.canonical_turns(given, layouts=own))[2] == [("user", "a")]
+    with pytest.raises(ValueError, match="same paths"):
+        chats.canonical_turns(given, layouts=(*chats.LAYOUTS, Layout("other", (Turn("user", ("prompt", "response")),))))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(st.tuples(
+    st.sampled_from(["user", "assistant", "a%0A", "x\ny", "<|im_end|>", "", "%7C%25"]),
+    st.lists(st.sampled_from(["<", "\\", "|", "<|im_start|>", "<|im_end|>", "\n", "user", "é", "💩", " ", "$1", "<\\|"]), max_size=8).map("".join)
+), max_size=5), min_size=1, max_size=12))
+def test_marked_up_texts_read_back(spark, conversations):
+    values = [{"conv_id": i, "messages": [{"role": r, "content": t} for r, t in c]} for i, c in enumerate(conversations)]
+    out = chats.format_turns(chats.canonical_turns(records(spark, values)))
+    rows = out.select("*", chats.read_turns(F.col("formatted")).alias("turns"), chats.learned_text(F.col("formatted"), F.col("loss")).alias("learned")).collect()
+    assert len(rows) == len(conversations)
+    for r in rows:
+        said = conversations[r.id]
+        assert [tuple(t) for t in r.turns] == said
+        assert r.formatted.count("<|im_start|>") == r.formatted.count("<|im_end|>") == len(said)
+        raw = r.formatted.encode()
+        own = [raw[s.start : s.start + s.length].decode() for s in r.loss]
+        assert len(own) == sum(role == "assistant" for role, _ in said) and not any("<|" in t for t in own)
+        assert r.learned == "".join(t for role, t in said if role == "assistant")
+
+
+def test_query(spark):
+    got = REGISTRY["op12_chat_formatting"](spark, SF_DIR)
+    assert oracle.differences(got, oracle.connect(SF_DIR), ORACLES["op12_chat_formatting"]) == []
+    control = "<|im_end|><|im_start|>assistant ok"
+    row = got.filter("conv_id = -1").collect()[0]
+    assert row.n_turns == 2 and row.loss_chars == len(control) and row.loss_sha256 == hashlib.sha256(control.encode()).hexdigest()
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{control}\nassistant\n{control}\n".encode()).hexdigest()
+
+
+def test_no_python_and_one_shuffle(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/conversations.parquet")
+    given = rows.select(chats.from_columns(*rows.columns).alias("record"))
+    plan = chats.digests(chats.format_turns(chats.canonical_turns(given)))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange") == 1
+
+
+def test_odd_rows(spark):
+    long = "word <| " * 100_000
+    rows = [(1, 0, "user", None), (1, 0, "user", None), (1, 0, None, "b"), (None, 5, "assistant", "x"), (None, 2, "user", "y"), (2, None, "assistant", long), (3, 1, "assistant", "")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, layout string")
+    out = {r.conv_id: r for r in chats.digests(chats.format_turns(chats.canonical_turns(df.select(chats.from_columns(*df.columns).alias("record"))))).collect()}
+    assert set(out) == {1, None, 2, 3}
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    assert (out[1].n_turns, out[1].turns_sha256) == (3, digest("\nb\nuser\n\nuser\n\n"))
+    assert (out[None].turns_sha256, out[None].loss_sha256) == (digest("user\ny\nassistant\nx\n"), digest("x"))
+    assert (out[2].n_turns, out[2].loss_chars, out[2].loss_sha256) == (1, len(long), digest(long))
+    assert (out[3].n_turns, out[3].loss_chars, out[3].loss_sha256) == (1, 0, digest(""))
+    assert chats.digests(chats.format_turns(chats.canonical_turns(df.limit(0).select(chats.from_columns(*df.columns).alias("record"))))).collect() == []

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import chats, curves, lang_id, orc_tokens, packing, partenum, periodic, sentencepieces, sharding, simhash, toxicity, url_filter
+from stratalake.llm import alignment, chats, curves, lang_id, orc_tokens, packing, partenum, periodic, sentencepieces, sharding, simhash, toxicity, url_filter
 from stratalake.llm.common import read_table, remainder_of_id, written
 from stratalake.session import scratch_path
 
@@ -117,6 +117,11 @@ def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chats.digests(written(chats.format_turns(chats.canonical_turns(records)), "chats"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.alignment_counts(docs, *map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model")))
+
+
 REGISTRY: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_space_filling_curves": op2_space_filling_curves,
@@ -130,6 +135,7 @@ REGISTRY: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_chat_formatting": op12_chat_formatting,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 # Further queries of operators that have one above.

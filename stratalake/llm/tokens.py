@@ -160,17 +160,20 @@ class PieceEncoder:
                     last += 1  # the line break
                 cache[p] = raw[4 * last : 4 * cut]
                 last = cut
-        for p, e in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-            cache[p] = np.array(e.ids, dtype="<u4").tobytes()
+        cache.update(zip(alone, self._whole(alone), strict=True))
         return [cache[p] for p in new]
 
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text by the library, in one piece."""
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str], led: bool = False) -> list[bytes]:
         """Ids of each text, or of a space and the text if `led`; an empty text has none either way."""
         lead = " " if led else ""
         out = [b""] * len(texts)
         odd = [i for i, t in enumerate(texts) if t and not self.regular(t)]
-        for i, e in zip(odd, self.tokenizer.encode_batch([lead + texts[i] for i in odd], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, dtype="<u4").tobytes()
+        for i, ids in zip(odd, self._whole([lead + texts[i] for i in odd]), strict=True):
+            out[i] = ids
         odd = set(odd)
         run, size = [], 0
         for i, t in enumerate(texts):

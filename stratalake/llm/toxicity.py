@@ -2,9 +2,9 @@
 
 The lexicon is learned: whole words and word beginnings (stems) that occur in toxic rather than
 in clean labelled texts. Its trie is intersected with Levenshtein automata (one error for terms
-of five letters or more, two from nine on; stems must match exactly) and made deterministic, so
-a word is matched by table look-ups, letter by letter. The different words of a run of texts go
-through the table together, and most leave it after a few letters.
+of five letters or more, two from nine on; stems must match exactly) and made deterministic where
+words go, so a word is matched by table look-ups, letter by letter. The different words of a run of texts go
+through the table together, and most leave it after a few letters; each worker fills its own table.
 
 A hit counts less if it stands between quotation marks, and more if other hits are near: the
 context window has `WINDOW` words on both sides. A logistic regression on a text's hits gives the
@@ -13,8 +13,7 @@ it, so that rare terms don't look surer than they are.
 
 Lexicon and regression are fitted on at most `TOXIC_ROWS` and `CLEAN_ROWS` labelled rows, chosen
 by a hash of their id; every row is scored on its whole text. The sample bounds the lexicon, and
-every chosen term is searched: terms whose joint table would pass `MOST_STATES` states are split
-over several automata, which all run over each text.
+every chosen term is searched. Words of any length are learned and matched: runs of letters and of the digits 0-9.
 
 Defined results: null and empty texts have the score of a text without hits; without labelled
 rows of both kinds the score is the toxic share (0 without any); repeated rows are scored one by
@@ -36,6 +35,9 @@ from stratalake.llm.common import claim, code_points, column, letters, mix, text
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
 MOST_STATES = 60_000
+MOST_ERRORS = 2
+BLOCK_LETTERS = 100_000
+WORD = r"[\p{L}0-9]+"
 LEAST_TOXIC = 4
 LEAST_PURITY = 0.75
 STEM = (4, 8)
@@ -43,6 +45,7 @@ WINDOW = 6
 THRESHOLD = 0.3
 QUOTES = "\"“”„«»‹›"
 OTHER = 1  # class of letters that no term has; 0 ends a word
+UNKNOWN, AS_OTHER = -1, -2  # in an automaton's table
 
 
 @dataclass
@@ -57,118 +60,178 @@ class Term:
         return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
 
-@dataclass
-class Automaton:
-    """Deterministic table of the trie under all allowed errors. State 0 is dead, 1 the start."""
-
-    classes: np.ndarray
-    table: np.ndarray
-    whole: np.ndarray  # term of a word that ends here, or -1
-    distance: np.ndarray
-    stem: np.ndarray  # term of a word that has come through here, or -1
-    lengths: np.ndarray  # letters of each term
+class Trie:
+    """The lexicon's trie as arrays: children of a node lie side by side."""
 
-
-class _Trie:
     def __init__(self, terms: list[Term]):
-        self.children: list[dict[int, int]] = [{}]
-        self.reach = [0]  # most errors of any whole word at or below
-        self.whole: list[int] = [-1]
-        self.stem: list[int] = [-1]
         self.alphabet = {c: i + 2 for i, c in enumerate(sorted({c for t in terms for c in t.text}))}
+        children: list[dict[int, int]] = [{}]
+        reach, whole, stem = [0], [-1], [-1]  # most errors of any whole word at or below; terms that end here
         for k, term in enumerate(terms):
             at = 0
             for c in term.text:
-                self.reach[at] = max(self.reach[at], term.errors)
-                step = self.children[at].setdefault(self.alphabet[c], len(self.children))
-                if step == len(self.children):
-                    self.children.append({})
-                    self.reach.append(0)
-                    self.whole.append(-1)
-                    self.stem.append(-1)
+                reach[at] = max(reach[at], term.errors)
+                step = children[at].setdefault(self.alphabet[c], len(children))
+                if step == len(children):
+                    children.append({})
+                    reach.append(0)
+                    whole.append(-1)
+                    stem.append(-1)
                 at = step
-            self.reach[at] = max(self.reach[at], term.errors)
-            (self.stem if term.stem else self.whole)[at] = k
-
-    def closed(self, items: dict[int, int]) -> tuple[tuple[int, int], ...]:
-        """Adds what is reached by leaving out letters of a term; keeps the fewest errors per node."""
-        todo = list(items.items())
-        while todo:
-            node, e = todo.pop()
-            if items.get(node, 99) < e:
-                continue
-            for child in self.children[node].values():
-                if e + 1 <= self.reach[child] and items.get(child, 99) > e + 1:
-                    items[child] = e + 1
-                    todo.append((child, e + 1))
-        return tuple(sorted(items.items()))
-
-    def step(self, state: tuple[tuple[int, int], ...], c: int) -> tuple[tuple[int, int], ...]:
-        out: dict[int, int] = {}
-
-        def put(node: int, e: int) -> None:
-            if (e == 0 or e <= self.reach[node]) and out.get(node, 99) > e:
-                out[node] = e
-
-        for node, e in state:
-            put(node, e + 1)  # a letter too many
-            for letter, child in self.children[node].items():
-                put(child, e + (letter != c))
-        return self.closed(out)
-
-
-def automaton(terms: list[Term], most_states: int = MOST_STATES) -> Automaton:
-    """The deterministic automaton of as many leading terms as `most_states` allows, at least one; `automata` has them all."""
-    while True:
-        trie = _Trie(terms)
-        n_classes = len(trie.alphabet) + 2
-        start = trie.closed({0: 0})
-        states, rows, todo = {(): 0, start: 1}, [[0] * n_classes, []], [start]
-        while todo and (len(states) <= most_states or len(terms) == 1):
-            state = todo.pop()
-
-            def number(reached: tuple[tuple[int, int], ...]) -> int:
-                if reached not in states:
-                    states[reached] = len(states)
-                    rows.append([])
-                    todo.append(reached)
-                return states[reached]
-
-            # Letters that no node of the state goes on with all lead to the same place.
-            row = [0] + [number(trie.step(state, OTHER))] * (n_classes - 1)
-            for c in sorted({c for node, _ in state for c in trie.children[node]}):
-                row[c] = number(trie.step(state, c))
-            rows[states[state]] = row
-        if not todo:
-            break
-        terms = terms[: len(terms) // 2]
-    classes = np.full(0x110000, 0, dtype=np.uint8 if n_classes < 256 else np.uint16)
-    known = letters().copy()
-    known[ord("0") : ord("9") + 1] = True  # digits stand in for letters
-    classes[known] = OTHER
-    for c, k in trie.alphabet.items():
+            reach[at] = max(reach[at], term.errors)
+            (stem if term.stem else whole)[at] = k
+        self.reach, self.whole, self.stem = (np.array(x, dtype=np.int64) for x in (reach, whole, stem))
+        self.counts = np.array(list(map(len, children)), dtype=np.int64)
+        self.first = np.cumsum(self.counts) - self.counts
+        self.letter = np.array([c for own in children for c in own], dtype=np.int64)
+        self.child = np.array([n for own in children for n in own.values()], dtype=np.int64)
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The child entries of these nodes, and which of the nodes each belongs to."""
+        counts = self.counts[nodes]
+        ends = np.cumsum(counts)
+        own = np.repeat(np.arange(len(nodes)), counts)
+        return np.arange(ends[-1] if len(ends) else 0) + (self.first[nodes] - ends + counts)[own], own
+
+    def pruned(self, nodes: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes that their errors allow, each once and with the fewest of them."""
+        fine = (errors == 0) | (errors <= self.reach[nodes])
+        keys = np.unique(nodes[fine] * 4 + errors[fine])
+        keys = keys[np.concatenate([[True], keys[1:] >> 2 != keys[:-1] >> 2])] if len(keys) else keys
+        return keys >> 2, keys & 3
+
+    def closed(self, nodes: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Adds what is reached by leaving out letters of a term."""
+        nodes, errors = self.pruned(nodes, errors)
+        for _ in range(MOST_ERRORS):
+            at, own = self.below(nodes)
+            nodes, errors = self.pruned(np.concatenate([nodes, self.child[at]]), np.concatenate([errors, errors[own] + 1]))
+        return nodes, errors
+
+    def step(self, nodes: np.ndarray, errors: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+        at, own = self.below(nodes)
+        # A letter too many; the right or a wrong one.
+        return self.closed(np.concatenate([nodes, self.child[at]]), np.concatenate([errors + 1, errors[own] + (self.letter[at] != c)]))
+
+
+class Automaton:
+    """The trie under all allowed errors, made deterministic for as much of it as words walk through.
+
+    State 0 is dead, 1 the start. A state's row of the table is filled where words go on; letters that
+    none of its nodes has lead to the same place. Between blocks of words, a table above
+    `most_states` is emptied, so it stays bounded whatever the lexicon and the words are.
+    """
+
+    def __init__(self, terms: list[Term], most_states: int = MOST_STATES):
+        self.trie, self.most_states = Trie(terms), most_states
+        self.errors = np.array([t.errors for t in terms], dtype=np.int64)
+        self.n_classes = len(self.trie.alphabet) + 2
+        self.classes = letter_classes(self.trie.alphabet)
+        self.clear()
+
+    def __getstate__(self) -> dict:
+        kept = ("trie", "most_states", "errors", "n_classes")
+        return {k: self.__dict__[k] for k in kept}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.classes = letter_classes(self.trie.alphabet)
+        self.clear()
+
+    def clear(self) -> None:
+        self.sets: list[tuple[np.ndarray, np.ndarray]] = []
+        self.numbers: dict[bytes, int] = {}
+        self.table = np.full((64, self.n_classes), UNKNOWN, dtype=np.int32)
+        self.whole, self.distance, self.stem = (np.full(64, -1, dtype=np.int32) for _ in range(3))
+        none = np.empty(0, dtype=np.int64)
+        self.number(none, none)
+        self.number(*self.trie.closed(np.zeros(1, np.int64), np.zeros(1, np.int64)))
+
+    def number(self, nodes: np.ndarray, errors: np.ndarray) -> int:
+        """The state with these nodes."""
+        key = (nodes * 4 + errors).astype("<i4").tobytes()
+        k = self.numbers.setdefault(key, len(self.sets))
+        if k < len(self.sets):
+            return k
+        self.sets.append((nodes.astype(np.int32), errors.astype(np.int8)))
+        if k == len(self.table):
+            self.table = np.concatenate([self.table, np.full_like(self.table, UNKNOWN)])
+            self.whole, self.distance, self.stem = (np.concatenate([x, np.full_like(x, -1)]) for x in (self.whole, self.distance, self.stem))
+        trie = self.trie
+        self.table[k] = AS_OTHER
+        self.table[k, trie.letter[trie.below(nodes)[0]]] = UNKNOWN
+        self.table[k, OTHER] = UNKNOWN if len(nodes) else 0
+        ends = trie.whole[nodes]
+        fine = np.flatnonzero((ends >= 0) & (errors <= self.errors[ends]))
+        if len(fine):
+            self.distance[k], self.whole[k] = min(zip(errors[fine].tolist(), ends[fine].tolist(), strict=True))
+        stems = trie.stem[nodes[(errors == 0)]]
+        stems = stems[stems >= 0]
+        if len(stems):
+            self.stem[k] = stems[0]
+        return k
+
+    def next(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The state behind each state and letter."""
+        c = np.where(self.table[state, c] == AS_OTHER, OTHER, c)
+        reached = self.table[state, c]
+        new = np.flatnonzero(reached == UNKNOWN)
+        if len(new):
+            for key in np.unique(state[new].astype(np.int64) * self.n_classes + c[new]).tolist():
+                k, letter = divmod(key, self.n_classes)
+                nodes, errors = self.sets[k]
+                found = self.number(*self.trie.step(nodes.astype(np.int64), errors.astype(np.int64), letter))
+                self.table[k, letter] = found
+            reached = self.table[state, c]
+        return reached
+
+    def search(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The term for the word at each start, or -1, and its distance; -1 is that of stems."""
+        found = []
+        ends = np.cumsum(sizes)
+        low = 0
+        while low < len(starts):
+            high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_LETTERS, "right")))
+            if len(self.sets) > self.most_states:
+                self.clear()
+            found.append(self.walk(codes, starts[low:high]))
+            low = high
+        if not found:
+            return np.empty(0, np.int32), np.empty(0, np.int32)
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def walk(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        term = np.full(len(starts), -1, dtype=np.int32)
+        far = np.full(len(starts), -1, dtype=np.int32)
+        alive = np.arange(len(starts))
+        state = np.ones(len(starts), dtype=np.int32)
+        at = starts.copy()
+        while len(alive):
+            c = self.classes[codes[at]]
+            over = c == 0  # each text has a 0 behind it, so no word runs on into the next
+            if over.any():
+                ended, who = state[over], alive[over]
+                hit = self.whole[ended]
+                some = hit >= 0
+                term[who[some]], far[who[some]] = hit[some], self.distance[ended[some]]
+                alive, state, at, c = alive[~over], state[~over], at[~over], c[~over]
+            state = self.next(state, c)
+            stem = self.stem[state]
+            some = stem >= 0
+            term[alive[some]] = stem[some]
+            live = state > 0
+            alive, state, at = alive[live], state[live], at[live] + 1
+        return term, far
+
+
+def letter_classes(alphabet: dict[str, int]) -> np.ndarray:
+    """For every code point: its number in the lexicon's alphabet, `OTHER` for other letters and digits, 0 for what ends a word."""
+    classes = np.full(0x110000, 0, dtype=np.uint8 if len(alphabet) < 250 else np.uint16)
+    classes[letters()] = OTHER
+    classes[ord("0") : ord("9") + 1] = OTHER  # digits stand in for letters
+    for c, k in alphabet.items():
         classes[ord(c)] = k
-    whole, distance, stem = (np.full(len(states), -1, dtype=np.int32) for _ in range(3))
-    for state, k in states.items():
-        ends = sorted((e, trie.whole[node]) for node, e in state if trie.whole[node] >= 0 and e <= terms[trie.whole[node]].errors)
-        if ends:
-            distance[k], whole[k] = ends[0]
-        stems = [trie.stem[node] for node, e in state if e == 0 and trie.stem[node] >= 0]
-        if stems:
-            stem[k] = stems[0]
-    return Automaton(classes, np.array(rows, dtype=np.int32), whole, distance, stem, np.array([len(t.text) for t in terms], dtype=np.int32))
-
-
-def automata(terms: list[Term], most_states: int = MOST_STATES) -> list[Automaton]:
-    """Automata of at most `most_states` states that have all terms between them, in order."""
-    found: list[Automaton] = []
-    while terms:
-        # Tables of terms side by side grow alike: another try starts near what the last one could hold.
-        last = found[-1] if found else None
-        room = len(last.lengths) * min(max(most_states // len(last.whole), 1), 2) if last else len(terms)
-        found.append(automaton(terms[:room], most_states))
-        terms = terms[len(found[-1].lengths) :]
-    return found
+    return classes
 
 
 @dataclass
@@ -184,7 +247,7 @@ class Hits:
 
 
 def _distinct(codes: np.ndarray, inner: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One start of each different word, and for every word the number of its own; told apart by 64 bits."""
+    """One of each different word, and for every word the number of its own; told apart by 64 bits."""
     if not len(starts):
         return starts, starts
     at = np.flatnonzero(inner)
@@ -192,55 +255,18 @@ def _distinct(codes: np.ndarray, inner: np.ndarray, starts: np.ndarray) -> tuple
     place = np.arange(len(at)) - np.repeat(heads, np.diff(np.append(heads, len(at))))
     hashes = np.add.reduceat(mix(codes[at].astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), heads)
     _, some, back = np.unique(hashes, return_index=True, return_inverse=True)
-    return starts[some], back
-
-
-def _search(codes: np.ndarray, starts: np.ndarray, own: Automaton) -> tuple[np.ndarray, np.ndarray]:
-    """The automaton's term for the word at each start, or -1, and its distance; -1 is that of stems."""
-    term = np.full(len(starts), -1, dtype=np.int32)
-    far = np.full(len(starts), -1, dtype=np.int32)
-    alive = np.arange(len(starts))
-    state = np.ones(len(starts), dtype=np.int32)
-    at = starts.copy()
-    while len(alive):
-        c = own.classes[codes[at]]
-        over = c == 0  # each text has a 0 behind it, so no word runs on into the next
-        if over.any():
-            ended, who = state[over], alive[over]
-            hit = own.whole[ended]
-            some = hit >= 0
-            term[who[some]], far[who[some]] = hit[some], own.distance[ended[some]]
-            alive, state, at, c = alive[~over], state[~over], at[~over], c[~over]
-        state = own.table[state, c]
-        stem = own.stem[state]
-        some = stem >= 0
-        term[alive[some]] = stem[some]
-        live = state > 0
-        alive, state, at = alive[live], state[live], at[live] + 1
-    return term, far
-
-
-def find_hits(texts: list[str | None], own: Automaton | list[Automaton]) -> Hits:
-    """What the automata find; of several terms for a word, the one that a joint automaton would name."""
-    several = own if isinstance(own, list) else [own]
+    return some, back
+
+
+def find_hits(texts: list[str | None], own: Automaton) -> Hits:
+    """The term of every word that has one: the nearest whole word, of several as near the leading one, else the longest stem."""
     codes, begins = code_points(texts)
-    inner = several[0].classes[codes] > 0  # the same for all automata
+    inner = own.classes[codes] > 0
     starts = np.flatnonzero(inner & ~np.concatenate([[False], inner[:-1]]))
+    sizes = np.flatnonzero(inner & ~np.concatenate([inner[1:], [False]])) - starts + 1
     first = np.searchsorted(starts, begins)
-    different, back = _distinct(codes, inner, starts)
-    term, far = _search(codes, different, several[0])
-    lengths = np.concatenate([one.lengths for one in several])
-    before = len(several[0].lengths)
-    for one in several[1:]:
-        also, off = _search(codes, different, one)
-        some = np.flatnonzero(also >= 0)
-        also, off = also[some] + before, off[some]
-        had, had_off = term[some], far[some]
-        # Whole words go before stems, the nearest and then the leading term first; of stems the longest.
-        whole = (off >= 0) & ((had_off < 0) | (off < had_off))
-        better = (had < 0) | whole | (off < 0) & (had_off < 0) & (lengths[also] > lengths[had])
-        term[some[better]], far[some[better]] = also[better], off[better]
-        before += len(one.lengths)
+    some, back = _distinct(codes, inner, starts)
+    term, far = own.search(codes, starts[some], sizes[some])
     term, far = term[back], np.maximum(far, 0)[back]
     hits = np.flatnonzero(term >= 0)
     text = np.searchsorted(first, hits, "right") - 1
@@ -287,10 +313,10 @@ class ToxicityModel:
     weights: np.ndarray = field(default_factory=lambda: np.zeros((2, 0)))  # exact and misspelled, by term
     coefficients: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
     base: float = 0.0
-    own: list[Automaton] = field(default_factory=list)
+    own: Automaton | None = None
 
     def scores(self, texts: list[str | None]) -> list[float]:
-        if not self.own:
+        if self.own is None:
             return [self.base] * len(texts)
         hits = find_hits(texts, self.own)
         edges = np.searchsorted(hits.text, np.arange(len(texts) + 1))
@@ -316,7 +342,7 @@ def candidate_counts(sample: DataFrame) -> DataFrame:
     """(term, stem, toxic, clean): in how many toxic and clean texts each word and word beginning occurs."""
     import regex
 
-    pattern = regex.compile(r"\p{L}{4,30}")
+    pattern = regex.compile(WORD)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -406,7 +432,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clea
     terms = chosen_terms([Term(r["term"], r["stem"], r["toxic"], r["clean"]) for r in found])
     if not terms:
         return ToxicityModel(base=n_toxic / (n_toxic + n_clean))
-    own = automata(terms)
+    own = Automaton(terms)
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -1,10 +1,13 @@
+import math
+import pickle
 import random
 
 import numpy as np
+import pytest
+import regex
 from pyspark.sql import functions as F
 
-
-from stratalake.llm.toxicity import Term, automata, automaton, chosen_terms, find_hits, judge, train
+from stratalake.llm.toxicity import QUOTES, WINDOW, Automaton, Term, chosen_terms, find_hits, judge, train
 
 SCHEMA = "doc_id long, text string, score string, predicted string"
 
@@ -21,7 +24,7 @@ def levenshtein(a, b):
 def test_automaton_accepts_words_within_the_distance():
     rng = random.Random(1)
     terms = [Term(t, False, 9, 0) for t in ("abc", "abcab", "bacca", "cabbacabb", "aaaabbbbcc")]
-    own = automaton(terms)
+    own = Automaton(terms)
     words = ["".join(rng.choices("abcx", k=rng.randrange(1, 13))) for _ in range(3000)]
     for t in terms:
         for _ in range(200):
@@ -44,39 +47,86 @@ def test_automaton_accepts_words_within_the_distance():
 
 
 def test_stems_match_beginnings_only():
-    own = automaton([Term("achl", True, 9, 0), Term("scum", False, 9, 0)])
+    own = Automaton([Term("achl", True, 9, 0), Term("scum", False, 9, 0)])
     hits = find_hits(["Achlimp xachl achl ACHLEN scums scum", None, "", "scum\n"], own)
     assert list(zip(hits.text.tolist(), hits.term.tolist(), strict=True)) == [(0, 0), (0, 0), (0, 0), (0, 1), (3, 1)]
     assert hits.words.tolist() == [6, 0, 0, 1]
 
 
 def test_context():
-    own = automaton([Term("scum", False, 9, 0)])
+    own = Automaton([Term("scum", False, 9, 0)])
     hits = find_hits(['He said "you scum" to me', "you scum", 'a "b" scum "c"', '"open scum\nscum', "scum x x x x x x x scum scum"], own)
     assert hits.quoted.tolist() == [True, False, False, False, False, False, False, False]
     assert hits.near.tolist()[-3:] == [0, 1, 1]
 
 
-def test_a_table_too_large_keeps_the_leading_terms():
-    terms = [Term("abcdefghij", False, 9, 0), Term("klmnopqrst", False, 5, 0)]
-    own = automaton(terms, most_states=len(automaton(terms[:1]).whole) + 5)
-    assert find_hits(["abcdefghij klmnopqrst"], own).term.tolist() == [0]
-
-
-def test_several_tables_hold_all_terms():
+def test_a_table_that_is_emptied_finds_the_same():
     rng = random.Random(5)
-    texts = sorted({"".join(rng.choices("abcde", k=rng.randrange(4, 12))) for _ in range(60)})
+    texts = sorted({"".join(rng.choices("abcde", k=rng.randrange(1, 12))) for _ in range(60)})
     rng.shuffle(texts)
     terms = [Term(t[:5] if i % 4 == 0 else t, i % 4 == 0, 9, 0) for i, t in enumerate(texts)]
     words = ["".join(c for c in t if rng.random() > 0.1) + rng.choice(["", "", "a", "xy"]) for t in texts * 40]
     runs = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)] + [None, ""]
-    joint, several = automaton(terms, 10**9), automata(terms, 500)
-    assert len(several) > 2 and sum(len(one.lengths) for one in several) == len(terms)
-    one, all_ = find_hits(runs, joint), find_hits(runs, several)
-    assert len(set(one.term.tolist())) > 50
-    for name in ("text", "term", "distance", "quoted", "near", "words"):
-        assert getattr(one, name).tolist() == getattr(all_, name).tolist(), name
-    assert len(automata([Term("abcdefghij", False, 9, 0)], 3)) == 1
+    joint, small = Automaton(terms, 10**9), Automaton(terms, 20)
+    for _ in range(2):
+        one, other = find_hits(runs, joint), [find_hits([r], small) for r in runs]
+        assert len(set(one.term.tolist())) > 40
+        for name in ("term", "distance", "quoted", "near", "words"):
+            assert getattr(one, name).tolist() == np.concatenate([getattr(o, name) for o in other]).tolist(), name
+        joint = pickle.loads(pickle.dumps(joint))
+    assert len(small.sets) < 2000 < len(joint.sets) + 2000
+
+
+def plain_hits(text, terms):
+    """(term, distance, quoted, others near) of each hit by comparing every word with every term."""
+    text = (text or "").lower()
+    words = [(m.start(), m.group()) for m in regex.finditer(r"[\p{L}0-9]+", text)]
+    found = []
+    for i, (at, word) in enumerate(words):
+        whole = [(levenshtein(word, t.text), k) for k, t in enumerate(terms) if not t.stem and abs(len(word) - len(t.text)) <= t.errors]
+        whole = [(d, k) for d, k in whole if d <= terms[k].errors]
+        stems = [(-len(t.text), k) for k, t in enumerate(terms) if t.stem and word.startswith(t.text)]
+        if whole or stems:
+            d, k = min(whole) if whole else (0, min(stems)[1])
+            line = text.rfind("\n", 0, at) + 1
+            last = words[min(i + WINDOW, len(words) - 1)][0] + 40
+            quoted = sum(text[line:at].count(q) for q in QUOTES) % 2 == 1 and any(q in text[at + 1 : last + 1] for q in QUOTES)
+            found.append((i, k, d, quoted))
+    near = [sum(abs(i - j) <= WINDOW for j in [f[0] for f in found[max(n - 1, 0) : n] + found[n + 1 : n + 2]]) for n, (i, *_) in enumerate(found)]
+    return [(k, d, q, n) for (_, k, d, q), n in zip(found, near, strict=True)], len(words)
+
+
+def test_scores_equal_those_of_a_plain_version(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = train(docs, labels)
+    texts = [r.text for r in docs.collect()] + ['He said "Wretched". “no”', "", None, "a1b2", "ßx ÉCOLE"]
+    texts += [f'x "{t.text}" y {t.text}s, {t.text[1:]} z\n{t.text}' for t in model.terms]
+    got = model.scores(texts)
+    for text, score in zip(texts, got, strict=True):
+        if text and len(text) > 4000:
+            continue
+        hits, n = plain_hits(text, model.terms)
+        strength = [float(model.weights[int(d > 0), k]) for k, d, _, _ in hits]
+        meant = [i for i, h in enumerate(hits) if not h[2]]
+        total = sum(strength[i] for i in meant)
+        x = [0.0] * 7
+        if hits:
+            x = [max([strength[i] for i in meant], default=0.0), math.log1p(total), math.log1p(sum(h[1] > 0 for h in hits)),
+                 math.log1p(sum(h[2] for h in hits)), math.log1p(100 * total / (n + 20)), math.log1p(len({hits[i][0] for i in meant})),
+                 math.log1p(sum(hits[i][3] > 0 for i in meant))]
+        assert score == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip([*x, 1.0], model.coefficients, strict=True)))), abs=1e-9)
+    assert max(got) > 0.9
+
+
+@pytest.mark.parametrize("term", ["ugh", "x9", "q", "z" * 45])
+def test_words_of_any_length_are_learned(spark, term):
+    rng = random.Random(7)
+    rows = [(i, " ".join(["".join(rng.choices("etaoin", k=rng.randrange(4, 8))) for _ in range(20)] + [term] * (i % 4 == 0)), "s", "p") for i in range(400)]
+    docs, labels = spark.createDataFrame(rows, SCHEMA).repartition(4), spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    model = train(docs, labels.filter("doc_id % 3 != 0"))
+    held = [(t, int(i % 4 == 0)) for i, t, *_ in rows if i % 3 == 0]
+    assert [int(s >= 0.3) for s in model.scores([t for t, _ in held])] == [y for _, y in held]
 
 
 def test_no_term_is_dropped_for_the_size_of_the_lexicon(spark):

@@ -161,6 +161,7 @@ def claim(owner: str, forget: Callable[[], None] | None = None) -> None:
     """
     for other in [o for o in _KEPT if o != owner]:
         _KEPT.pop(other)()
+        pa.default_memory_pool().release_unused()
     if forget:
         _KEPT[owner] = forget
 
@@ -173,23 +174,22 @@ def with_new_columns(docs: DataFrame, keep: list[str | Column] | None, text: str
     """The chosen columns of each row, or all, with columns that `judged` derives from runs of texts.
 
     `new` has names and types of these columns; a column of the input with such a name is replaced.
+    Only the text goes to Python, and only the new columns come back.
     """
-    names = {n for n, _ in new}
-    if keep is None:
-        rows, source = docs.drop(*names - {text}), text
-    else:
-        rows, source = docs.select(*keep, F.col(text).alias(HIDDEN)), HIDDEN
-    schema = T.StructType([f for f in rows.schema.fields if f.name != HIDDEN])
+    names = [n for n, _ in new]
+    schema = T.StructType()
     for name, kind in new:
         schema = schema.add(name, kind)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in text_runs(batch, source):
-                kept = [c for c, n in zip(part.columns, part.schema.names, strict=True) if n != HIDDEN]
-                yield pa.RecordBatch.from_arrays([*kept, *judged(texts)], names=schema.names)
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            slices = [texts.slice(low, high - low) for low, high, _, _ in text_slices(texts)] or [texts]
+            yield pa.concat_arrays([pa.StructArray.from_arrays(judged(some.to_pylist()), names=names) for some in slices])
 
-    return rows.mapInArrow(run, schema)
+    # Not to be called once more for a filter on what it gives.
+    derived = F.arrow_udf(run, schema).asNondeterministic()(F.col(text)).alias(HIDDEN)
+    rows = docs.select(*([c for c in docs.columns if c == text or c not in names] if keep is None else keep), derived)
+    return rows.select(*[c for c in rows.columns if c != HIDDEN], *[F.col(f"{HIDDEN}.{n}").alias(n) for n in names])
 
 
-HIDDEN = "__text"
+HIDDEN = "__new"

@@ -22,6 +22,7 @@ one; labels that are null are not learned from; other columns are not looked at.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,8 +35,7 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import claim, code_points, column, letters, mix, text_runs, with_new_columns, written
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
-MOST_STATES = 60_000
-MOST_ERRORS = 2
+MOST_STATES = 120_000
 BLOCK_LETTERS = 100_000
 WORD = r"[\p{L}0-9]+"
 LEAST_TOXIC = 4
@@ -61,57 +61,59 @@ class Term:
 
 
 class Trie:
-    """The lexicon's trie as arrays: children of a node lie side by side."""
+    """The lexicon's trie. A state of the automaton is a rising list of 4 * node + errors, each node with the fewest."""
 
     def __init__(self, terms: list[Term]):
+        self.children: list[dict[int, int]] = [{}]
+        self.reach = [0]  # most errors of any whole word at or below
+        self.whole, self.stem = [-1], [-1]  # the term that ends here
         self.alphabet = {c: i + 2 for i, c in enumerate(sorted({c for t in terms for c in t.text}))}
-        children: list[dict[int, int]] = [{}]
-        reach, whole, stem = [0], [-1], [-1]  # most errors of any whole word at or below; terms that end here
         for k, term in enumerate(terms):
             at = 0
             for c in term.text:
-                reach[at] = max(reach[at], term.errors)
-                step = children[at].setdefault(self.alphabet[c], len(children))
-                if step == len(children):
-                    children.append({})
-                    reach.append(0)
-                    whole.append(-1)
-                    stem.append(-1)
+                self.reach[at] = max(self.reach[at], term.errors)
+                step = self.children[at].setdefault(self.alphabet[c], len(self.children))
+                if step == len(self.children):
+                    self.children.append({})
+                    self.reach.append(0)
+                    self.whole.append(-1)
+                    self.stem.append(-1)
                 at = step
-            reach[at] = max(reach[at], term.errors)
-            (stem if term.stem else whole)[at] = k
-        self.reach, self.whole, self.stem = (np.array(x, dtype=np.int64) for x in (reach, whole, stem))
-        self.counts = np.array(list(map(len, children)), dtype=np.int64)
-        self.first = np.cumsum(self.counts) - self.counts
-        self.letter = np.array([c for own in children for c in own], dtype=np.int64)
-        self.child = np.array([n for own in children for n in own.values()], dtype=np.int64)
-
-    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The child entries of these nodes, and which of the nodes each belongs to."""
-        counts = self.counts[nodes]
-        ends = np.cumsum(counts)
-        own = np.repeat(np.arange(len(nodes)), counts)
-        return np.arange(ends[-1] if len(ends) else 0) + (self.first[nodes] - ends + counts)[own], own
-
-    def pruned(self, nodes: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes that their errors allow, each once and with the fewest of them."""
-        fine = (errors == 0) | (errors <= self.reach[nodes])
-        keys = np.unique(nodes[fine] * 4 + errors[fine])
-        keys = keys[np.concatenate([[True], keys[1:] >> 2 != keys[:-1] >> 2])] if len(keys) else keys
-        return keys >> 2, keys & 3
-
-    def closed(self, nodes: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Adds what is reached by leaving out letters of a term."""
-        nodes, errors = self.pruned(nodes, errors)
-        for _ in range(MOST_ERRORS):
-            at, own = self.below(nodes)
-            nodes, errors = self.pruned(np.concatenate([nodes, self.child[at]]), np.concatenate([errors, errors[own] + 1]))
-        return nodes, errors
+            self.reach[at] = max(self.reach[at], term.errors)
+            (self.stem if term.stem else self.whole)[at] = k
 
-    def step(self, nodes: np.ndarray, errors: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
-        at, own = self.below(nodes)
-        # A letter too many; the right or a wrong one.
-        return self.closed(np.concatenate([nodes, self.child[at]]), np.concatenate([errors + 1, errors[own] + (self.letter[at] != c)]))
+    def closed(self, items: dict[int, int]) -> array:
+        """Adds what is reached by leaving out letters of a term."""
+        children, reach = self.children, self.reach
+        todo = [(node, e) for node, e in items.items() if e < reach[node]]
+        while todo:
+            node, e = todo.pop()
+            if items[node] < e:
+                continue
+            e += 1
+            for child in children[node].values():
+                if e <= reach[child] and items.get(child, 99) > e:
+                    items[child] = e
+                    todo.append((child, e))
+        return array("i", sorted(4 * node + e for node, e in items.items()))
+
+    def step(self, state: array, c: int) -> array:
+        children, reach = self.children, self.reach
+        out: dict[int, int] = {}
+        for item in state:
+            node, e = item >> 2, item & 3
+            own = children[node]
+            child = own.get(c)
+            if child is not None and out.get(child, 99) > e:
+                out[child] = e
+            e += 1
+            if e <= reach[node]:
+                if out.get(node, 99) > e:
+                    out[node] = e  # a letter too many
+                for child in own.values():  # a wrong letter
+                    if e <= reach[child] and out.get(child, 99) > e:
+                        out[child] = e
+        return self.closed(out)
 
 
 class Automaton:
@@ -124,7 +126,7 @@ class Automaton:
 
     def __init__(self, terms: list[Term], most_states: int = MOST_STATES):
         self.trie, self.most_states = Trie(terms), most_states
-        self.errors = np.array([t.errors for t in terms], dtype=np.int64)
+        self.errors = [t.errors for t in terms]
         self.n_classes = len(self.trie.alphabet) + 2
         self.classes = letter_classes(self.trie.alphabet)
         self.clear()
@@ -139,48 +141,54 @@ class Automaton:
         self.clear()
 
     def clear(self) -> None:
-        self.sets: list[tuple[np.ndarray, np.ndarray]] = []
+        self.states: list[bytes] = []
         self.numbers: dict[bytes, int] = {}
         self.table = np.full((64, self.n_classes), UNKNOWN, dtype=np.int32)
         self.whole, self.distance, self.stem = (np.full(64, -1, dtype=np.int32) for _ in range(3))
-        none = np.empty(0, dtype=np.int64)
-        self.number(none, none)
-        self.number(*self.trie.closed(np.zeros(1, np.int64), np.zeros(1, np.int64)))
-
-    def number(self, nodes: np.ndarray, errors: np.ndarray) -> int:
-        """The state with these nodes."""
-        key = (nodes * 4 + errors).astype("<i4").tobytes()
-        k = self.numbers.setdefault(key, len(self.sets))
-        if k < len(self.sets):
+        self.number(array("i"))
+        self.number(self.trie.closed({0: 0}))
+
+    def number(self, state: array) -> int:
+        """The number of a state, which is a new one if it was not met before."""
+        key = state.tobytes()
+        k = self.numbers.setdefault(key, len(self.states))
+        if k < len(self.states):
             return k
-        self.sets.append((nodes.astype(np.int32), errors.astype(np.int8)))
+        self.states.append(key)
         if k == len(self.table):
             self.table = np.concatenate([self.table, np.full_like(self.table, UNKNOWN)])
             self.whole, self.distance, self.stem = (np.concatenate([x, np.full_like(x, -1)]) for x in (self.whole, self.distance, self.stem))
-        trie = self.trie
-        self.table[k] = AS_OTHER
-        self.table[k, trie.letter[trie.below(nodes)[0]]] = UNKNOWN
-        self.table[k, OTHER] = UNKNOWN if len(nodes) else 0
-        ends = trie.whole[nodes]
-        fine = np.flatnonzero((ends >= 0) & (errors <= self.errors[ends]))
-        if len(fine):
-            self.distance[k], self.whole[k] = min(zip(errors[fine].tolist(), ends[fine].tolist(), strict=True))
-        stems = trie.stem[nodes[(errors == 0)]]
-        stems = stems[stems >= 0]
-        if len(stems):
-            self.stem[k] = stems[0]
+        trie, letters = self.trie, set()
+        best = (99, -1)
+        for item in state:
+            node, e = item >> 2, item & 3
+            letters.update(trie.children[node])
+            term = trie.whole[node]
+            if term >= 0 and e <= self.errors[term]:
+                best = min(best, (e, term))
+            if e == 0 and trie.stem[node] >= 0:
+                self.stem[k] = trie.stem[node]
+        if best[1] >= 0:
+            self.distance[k], self.whole[k] = best
+        row = [AS_OTHER] * self.n_classes
+        for c in letters:
+            row[c] = UNKNOWN
+        row[OTHER] = UNKNOWN if state else 0
+        self.table[k] = row
         return k
 
     def next(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
         """The state behind each state and letter."""
-        c = np.where(self.table[state, c] == AS_OTHER, OTHER, c)
         reached = self.table[state, c]
+        other = reached == AS_OTHER
+        if other.any():
+            c = np.where(other, OTHER, c)
+            reached = self.table[state, c]
         new = np.flatnonzero(reached == UNKNOWN)
         if len(new):
             for key in np.unique(state[new].astype(np.int64) * self.n_classes + c[new]).tolist():
                 k, letter = divmod(key, self.n_classes)
-                nodes, errors = self.sets[k]
-                found = self.number(*self.trie.step(nodes.astype(np.int64), errors.astype(np.int64), letter))
+                found = self.number(self.trie.step(array("i", self.states[k]), letter))
                 self.table[k, letter] = found
             reached = self.table[state, c]
         return reached
@@ -192,7 +200,7 @@ class Automaton:
         low = 0
         while low < len(starts):
             high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_LETTERS, "right")))
-            if len(self.sets) > self.most_states:
+            if len(self.states) > self.most_states:
                 self.clear()
             found.append(self.walk(codes, starts[low:high]))
             low = high
@@ -471,7 +479,7 @@ def judge(docs: DataFrame, model: ToxicityModel, keep: list[str | Column] | None
     """The chosen columns of each row, or all, with `score` (0 to 1) and `predicted` (1 from the threshold on)."""
 
     def judged(texts: list[str | None]) -> list[pa.Array]:
-        claim("toxicity")
+        claim("toxicity", model.own and model.own.clear)
         scores = model.scores(texts)
         return [pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32())]
 

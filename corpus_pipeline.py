@@ -1,12 +1,12 @@
 """From raw documents to packed training sequences.
 
-Stages, in order: language identification (documents in no known language go), toxicity (toxic
+Stages, in order: language identification (documents without a language go), toxicity (toxic
 documents go), near duplicates by the n-gram Jaccard join (one document of each group stays, the
 one with the smallest id), and packing. All but the last return the columns of `documents`.
 
-A document without text, without letters or without words can't be told apart from junk by its
-language and goes in the first stage. Rows without an id pass the near-duplicate stage; of rows
-that share an id one stays.
+A document without text or without letters has no language and goes in the first stage; how sure the model is of a
+language doesn't matter. Rows without an id pass the near-duplicate stage; of rows that share an
+id the one with the smallest text stays.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from stratalake.llm import lang_id, packing, partenum, toxicity
 from stratalake.llm.common import read_table, remainder_of_id, written
 
-LEAST_LANGUAGE_SCORE = 0.5
 BROADCAST_BYTES = 32 * 1024**2
 
 
@@ -35,8 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     learnable = F.coalesce(remainder_of_id(3) != 1, F.lit(False))
     model = lang_id.train(docs.filter(learnable))
     judged = lang_id.identify(renamed(docs), model, text="_text")
-    kept = (F.col("lang_pred") != lang_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return judged.filter(kept).select(*restored(docs))
+    return judged.filter(F.col("lang_pred") != lang_id.UNKNOWN).select(*restored(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +52,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = docs.join(F.broadcast(removed) if small else removed, "doc_id", "left_anti")
     repeated = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if not repeated.isEmpty():
-        once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        again = kept.join(repeated, "doc_id", "left_semi")
+        first = F.struct(F.col("text"), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in docs.columns]))
+        once = again.groupBy("doc_id").agg(F.min_by(F.struct(*again.columns), first).alias("row")).select("row.*")
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
     return kept.select(*docs.columns)
 

@@ -133,6 +133,8 @@ def test_pipeline_stages(spark, texts):
     rows = [(r.doc_id, r.text) for r in second.collect()]
     one_each = {d for d, _, c in all_pairs(rows) if d == c}
     assert third.columns == docs.columns and sorted(r.doc_id for r in third.collect()) == sorted(one_each)
+    alike = spark.createDataFrame([(9, "c d e", "b"), (9, "a b c", "y"), (9, "a b c", "x"), (None, "z", "n")], "doc_id long, text string, lang string")
+    assert sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.STAGES[2][1](spark, alike, SF_DIR).collect()) == [(0, "z"), (9, "a b c")]
     check_packing([(r.doc_id, r.text) for r in third.collect()], corpus_pipeline.STAGES[3][1](spark, third, SF_DIR).collect())
 
 

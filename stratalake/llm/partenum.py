@@ -74,7 +74,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WORDS) -> l
     with np.errstate(over="ignore"):
         sums = np.zeros(max(n - width + 1, 0), dtype=np.uint64)
         for k in range(width):
-            sums += hashes[k : n - width + 1 + k] * steps[k]
+            sums += hashes[k : k + len(sums)] * steps[k]
         shingles = mix(sums)
         sets = []
         for a, b in zip(first[:-1], first[1:], strict=True):

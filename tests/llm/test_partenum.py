@@ -173,3 +173,15 @@ def test_every_link_is_counted_once(spark, monkeypatch, repeated, block):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.n_links) for r in got) == expected_links(rows)
     assert max(r.n_links for r in got) >= 5
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == expected(rows)
+
+
+def test_a_slice_with_fewer_words_than_a_shingle(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "A b  c")], "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in similar_documents(docs).collect()) == [(1, 1, 1), (2, 1, 1)]
+
+
+def test_long_words_that_polynomial_hashes_confuse(spark):
+    turns = [i.bit_count() % 2 for i in range(2048)]
+    rows = [(2 * k + flip, "x " + "".join("ab"[t ^ flip] for t in turns[:n])) for k, n in enumerate((1024, 2048)) for flip in (0, 1)]
+    got = similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == [(i, 1, i) for i in range(4)]

@@ -3,8 +3,8 @@
 The lexicon is learned: whole words and word beginnings (stems) that occur in toxic rather than
 in clean labelled texts. Its trie is intersected with Levenshtein automata (one error for terms
 of five letters or more, two from nine on; stems must match exactly) and made deterministic where
-words go, so a word is matched by table look-ups, letter by letter. The different words of a run of texts go
-through the table together, and most leave it after a few letters; each worker fills its own table.
+words go, so a word is matched by table look-ups, letter by letter. Of the different words of a run of texts,
+those that a sieve of hashes can't rule out go through the table together; each worker fills its own table.
 
 A hit counts less if it stands between quotation marks, and more if other hits are near: the
 context window has `WINDOW` words on both sides. A logistic regression on a text's hits gives the
@@ -32,10 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import claim, code_points, column, letters, mix, text_runs, with_new_columns, written
+from stratalake.llm.common import GOLDEN, claim, code_points, column, letters, mix, text_runs, with_new_columns, written
 
 TOXIC_ROWS, CLEAN_ROWS = 6000, 9000
-MOST_STATES = 120_000
+MOST_STATES = 60_000
+MOST_ERRORS = 2
+SIEVE_BITS = 21
+BASE = 0xF1357AEA2E62A9C5
+DOWN = np.uint64(pow(BASE, -1, 2**64))
 BLOCK_LETTERS = 100_000
 WORD = r"[\p{L}0-9]+"
 LEAST_TOXIC = 4
@@ -116,6 +120,87 @@ class Trie:
         return self.closed(out)
 
 
+class Sieve:
+    """Leaves out words that no term can match, by hashes; what it lets through may still match none.
+
+    Words within d errors of each other become equal when up to d letters are taken out of each. So hashes of terms without up
+    to as many letters as they have errors go into a table, and a word is kept if one of its own is there. Stems are looked up by a
+    word's beginnings. The hash is a polynomial, since it is that of a word without some letters at little cost.
+    """
+
+    def __init__(self, terms: list[Term]):
+        self.tables = np.zeros((MOST_ERRORS + 2, 2**SIEVE_BITS), dtype=bool)  # terms by errors, then stems
+        self.known: list[np.ndarray] = []  # the hashes themselves, sorted
+        self.longest = max((len(t.text) + t.errors for t in terms), default=0)
+        self.powers = np.full(self.longest + 2, BASE, dtype=np.uint64)
+        self.powers[0] = 1
+        np.cumprod(self.powers, out=self.powers)
+        self.stems = sorted({len(t.text) for t in terms if t.stem})
+        self.lengths = []  # of words that terms with so many errors can match
+        for d in range(MOST_ERRORS + 1):
+            some = [t.text for t in terms if not t.stem and t.errors == d]
+            sizes = np.array(list(map(len, some)), dtype=np.int64)
+            self.lengths.append((int(sizes.min()) - d, int(sizes.max()) + d) if some else (1, 0))
+            self.note(d, [h for _, h in self.hashes(*self.sums("".join(some), sizes), d)])
+        stems = []
+        for k in self.stems:
+            some = [t.text for t in terms if t.stem and len(t.text) == k]
+            sums, first, _ = self.sums("".join(some), np.full(len(some), k))
+            stems.append(mix(sums[first + k] - sums[first]))
+        self.note(-1, stems)
+
+    def note(self, table: int, hashes: list[np.ndarray]) -> None:
+        self.known.append(np.unique(np.concatenate([np.empty(0, np.uint64), *hashes])))
+        self.tables[table, self.known[-1] >> np.uint64(64 - SIEVE_BITS)] = True
+
+    def hits(self, table: int, hashes: np.ndarray) -> np.ndarray:
+        """Which of the hashes are known: most are not, by a look at their first bits."""
+        near = np.flatnonzero(self.tables[table, hashes >> np.uint64(64 - SIEVE_BITS)])
+        known = self.known[table]
+        at = np.searchsorted(known, hashes[near])
+        return near[known[np.minimum(at, len(known) - 1)] == hashes[near]] if len(known) else near[:0]
+
+    def sums(self, codes: str | np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Running sums of the letters of words that lie one after the other, where each word's begin, and how long they are."""
+        if isinstance(codes, str):
+            codes = np.frombuffer(codes.encode("utf-32-le"), np.uint32)
+        first = np.cumsum(sizes) - sizes
+        at = np.arange(len(codes)) - np.repeat(first, sizes)
+        sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+        np.cumsum(mix(codes.astype(np.uint64) + GOLDEN) * self.powers[at], out=sums[1:])
+        return sums, first, sizes
+
+    def hashes(self, sums: np.ndarray, first: np.ndarray, sizes: np.ndarray, d: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(word, hash) of all words without up to d of their letters."""
+        whole = sums[first + sizes] - sums[first]
+        yield np.arange(len(sizes)), mix(whole)
+        for i in range(int(sizes.max(initial=0)) if d else 0):
+            own = np.flatnonzero(sizes > i)
+            low, one, end = sums[first[own]], sums[first[own] + i], sums[first[own] + i + 1]
+            before, rest = one - low, sums[first[own] + sizes[own]]
+            yield own, mix(before + (rest - end) * DOWN)
+            if d > 1:
+                more = sizes[own] - i - 1  # letters behind this one
+                word = np.repeat(np.arange(len(own)), more)
+                k = first[own][word] + i + 1 + np.arange(len(word)) - np.repeat(np.cumsum(more) - more, more)
+                yield own[word], mix(before[word] + (sums[k] - end[word]) * DOWN + (rest[word] - sums[k + 1]) * DOWN * DOWN)
+
+    def kept(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Which of the words may match a term."""
+        out = np.zeros(len(starts), dtype=bool)
+        for k in self.stems:
+            long = np.flatnonzero(sizes >= k)
+            at = starts[long][:, None] + np.arange(k)
+            out[long[self.hits(-1, mix((mix(codes[at].astype(np.uint64) + GOLDEN) * self.powers[:k]).sum(axis=1, dtype=np.uint64)))]] = True
+        for d, (low, high) in enumerate(self.lengths):
+            some = np.flatnonzero((sizes >= low) & (sizes <= high) & ~out)
+            own = sizes[some]
+            at = np.repeat(starts[some] - np.cumsum(own) + own, own) + np.arange(own.sum())
+            for word, hashes in self.hashes(*self.sums(codes[at], own), d):
+                out[some[word[self.hits(d, hashes)]]] = True
+        return out
+
+
 class Automaton:
     """The trie under all allowed errors, made deterministic for as much of it as words walk through.
 
@@ -128,11 +213,11 @@ class Automaton:
         self.trie, self.most_states = Trie(terms), most_states
         self.errors = [t.errors for t in terms]
         self.n_classes = len(self.trie.alphabet) + 2
-        self.classes = letter_classes(self.trie.alphabet)
+        self.classes, self.sieve = letter_classes(self.trie.alphabet), Sieve(terms)
         self.clear()
 
     def __getstate__(self) -> dict:
-        kept = ("trie", "most_states", "errors", "n_classes")
+        kept = ("trie", "most_states", "errors", "n_classes", "sieve")
         return {k: self.__dict__[k] for k in kept}
 
     def __setstate__(self, state: dict) -> None:
@@ -195,18 +280,17 @@ class Automaton:
 
     def search(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The term for the word at each start, or -1, and its distance; -1 is that of stems."""
-        found = []
-        ends = np.cumsum(sizes)
-        low = 0
+        term = np.full(len(starts), -1, dtype=np.int32)
+        far = np.full(len(starts), -1, dtype=np.int32)
+        ends, low = np.cumsum(sizes), 0
         while low < len(starts):
             high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + BLOCK_LETTERS, "right")))
             if len(self.states) > self.most_states:
                 self.clear()
-            found.append(self.walk(codes, starts[low:high]))
+            some = low + np.flatnonzero(self.sieve.kept(codes, starts[low:high], sizes[low:high]))
+            term[some], far[some] = self.walk(codes, starts[some])
             low = high
-        if not found:
-            return np.empty(0, np.int32), np.empty(0, np.int32)
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+        return term, far
 
     def walk(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         term = np.full(len(starts), -1, dtype=np.int32)

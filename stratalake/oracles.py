@@ -25,7 +25,7 @@ def _mean_2(hundredths: str, rows: str, kind: str) -> str:
 SALES = """
   SELECT l_orderkey AS order_id, p_brand AS product, l_quantity AS quantity,
          p_retailprice AS price, l_extendedprice, l_linenumber, l_suppkey, l_quantity,
-         l_shipdate, l_partkey
+         l_shipdate, l_partkey, l_returnflag, l_discount, p_brand
   FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
@@ -48,6 +48,11 @@ STG_WEATHER = f"""
 """
 
 
+def _told_apart(mark: str) -> str:
+    parts = ("p_brand", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "CAST(l_quantity AS BIGINT)", "CAST(trunc(l_discount * 100) AS INTEGER)")
+    return f" || {mark} || ".join(parts)
+
+
 def _dim_product(orders: str) -> str:
     mean = _mean_2("CAST(price * 100 AS BIGINT)", "price", "DECIMAL(12,2)")
     return f"""
@@ -279,6 +284,20 @@ ORACLES: dict[str, str] = {
       SELECT way, product, COUNT(DISTINCT order_id) AS n_rows, true AS in_place
       FROM ({SALES}), (VALUES ('files'), ('landed')) AS ways(way) GROUP BY way, product
     """,
+    "sales_line_breaks": f"""
+      SELECT DISTINCT order_id, {_told_apart("chr(10) || '\"\",' || chr(10) || chr(10)")} AS product,
+             CAST(quantity AS BIGINT) AS quantity, price, price * quantity AS total, way
+      FROM ({SALES}), (VALUES ('files'), ('landed')) AS ways(way)
+    """,
+    "extra_column_types": f"""
+      SELECT DISTINCT order_id, {_told_apart("' '")} AS product, CAST(quantity AS BIGINT) AS quantity, price, price * quantity AS total,
+             CASE WHEN l_linenumber <= 3 THEN l_discount WHEN l_linenumber = 4 THEN 1.0::DOUBLE END AS discount,
+             CASE WHEN l_linenumber <= 3 THEN l_suppkey END AS supplier,
+             CASE WHEN l_linenumber > 3 THEN l_returnflag WHEN l_linenumber > 1 THEN l_suppkey::VARCHAR END AS mixed,
+             CASE WHEN l_linenumber <= 3 THEN l_returnflag END AS flag,
+             CASE WHEN l_linenumber > 3 THEN (l_suppkey || '00000000000000000000')::DECIMAL(38,0) END AS wide
+      FROM ({SALES})
+    """,
     "sales_files_to_silver": f"""
       SELECT order_id, product, CAST(quantity AS BIGINT) AS quantity, price, total FROM (
         SELECT *, row_number() OVER (PARTITION BY order_id, product ORDER BY file, {ORDER}) AS place
@@ -308,10 +327,9 @@ ORACLES: dict[str, str] = {
       SELECT 'fct_sales_by_product', 'Facts: sales aggregated per product', COUNT(DISTINCT product) FROM ({SALES})
     """,
     "refused_inputs": f"""
-      SELECT 'good' AS input, 'none' AS refusal, COUNT(DISTINCT order_id || product) AS n_rows FROM ({SALES}) WHERE l_linenumber = 1
+      SELECT 'good' AS input, 'none' AS refusal, COUNT(DISTINCT order_id || product) AS n_rows FROM ({SALES})
       UNION ALL
-      SELECT * FROM (VALUES ('no price', 'ValueError', 0), ('no sales file', 'FileNotFoundError', 0),
-        ('unknown format', 'ValueError', 0), ('no silver', 'AnalysisException', 0))
+      SELECT * FROM (VALUES ('no price', 'ValueError', 0), ('no sales file', 'FileNotFoundError', 0))
     """,
     "roundtrip_csv_gold": _gold(HOURLY),
     "roundtrip_bronze_lineage": f"""

@@ -38,6 +38,23 @@ def require_ansi(spark: SparkSession) -> None:
         raise RuntimeError("set spark.sql.ansi.enabled to true")
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings (`__` for dots) for what is planned inside the block."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Gives shuffles inside the block enough partitions for an input of that size.
@@ -45,13 +62,9 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     Adaptive execution merges partitions that turn out small but never adds any, so the
     session's number is only ever raised.
     """
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
     needed = math.ceil(input_bytes / BYTES_PER_PARTITION)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(max(needed, int(before))))
-    try:
+    with settings(spark, **{SHUFFLE_PARTITIONS: str(max(needed, int(spark.conf.get(SHUFFLE_PARTITIONS))))}):
         yield
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -23,6 +23,11 @@ def dim_date(stg_weather: DataFrame) -> DataFrame:
     span = stg_weather.agg(
         F.to_date(F.min("ts_utc")).alias("first"), F.to_date(F.max("ts_utc")).alias("last")
     )
+    return calendar_between(span)
+
+
+def calendar_between(span: DataFrame) -> DataFrame:
+    """Every day from `first` to `last` of the one row of `span`."""
     days = span.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("date"))
     day = F.col("date")
     return days.select(

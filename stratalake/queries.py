@@ -449,7 +449,7 @@ def truncate_append_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = recast.orders(spark, sf_dir)
     tables.replace_contents(orders, table, location)
     view = f"{table}_view"
-    tables.publish(spark.table(table), view)
+    tables.publish_view(spark, view, orders.columns, table)
     tables.replace_contents(orders.filter("quantity > 25"), table)
     counts = spark.table(view).groupBy("product").agg(F.count("*").alias("n_rows"))
     _forget_tables(spark, table)

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from stratalake import recast
@@ -12,7 +13,7 @@ from stratalake.operators import quality
 from stratalake.operators.latest import newest_day
 from stratalake.plans import dims, facts, jobs, staging
 from stratalake.session import scratch_path, sized_shuffles
-from stratalake.sinks import tables
+from stratalake.sinks import files, tables
 from stratalake.sources.tables import read_silver, read_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -85,17 +86,54 @@ def test_declared_tests_refer_to_models():
 
 
 def test_table_reload_keeps_views(spark, tmp_path):
+    """Views by name follow the table; a frame, and a session view made from one, keep the rows that they were made on."""
     table, location = "reload_orders", str(tmp_path / "reload_orders")
     first = spark.createDataFrame([(1, "A", 1, 1.0, 1.0), (2, "B", 1, 1.0, 1.0)], ORDERS)
     assert tables.replace_contents(first, table, location) == 2
-    tables.publish(staging.stg_orders(read_table(spark, table)), "reload_stg")
+    tables.publish_view(spark, "reload_stg", staging.orders_columns(spark.table(table)), table)
+    tables.publish(staging.stg_orders(read_table(spark, table)), "reload_session")
     second = spark.createDataFrame([(5.0, 1, 3, "C", 1.0)], "total double, order_id bigint, quantity bigint, product string, price double")
-    assert tables.replace_contents(second, table) == 1
-    assert [(r["product"], r["total"]) for r in spark.table("reload_stg").collect()] == [("C", Decimal("5.00"))]
+    for rows, product in ((second, "C"), (second.withColumn("product", F.lit("D")), "D"), (second, "C")):
+        assert tables.replace_contents(rows, table) == 1
+        assert [(r["product"], r["total"]) for r in spark.table("reload_stg").collect()] == [(product, Decimal("5.00"))]
+        assert [(r["product"], r["total"]) for r in spark.newSession().table("reload_stg").collect()] == [(product, Decimal("5.00"))]
+    assert sorted(r["product"] for r in spark.table("reload_session").collect()) == ["A", "B"]
     with pytest.raises(ValueError, match="columns of"):
         tables.replace_contents(first.drop("price"), table)
 
 
+def test_a_load_shows_nothing_until_it_is_complete(spark, tmp_path, monkeypatch):
+    """Between write and switch readers see the old rows, and a failed load changes nothing."""
+    table, location = "switched_orders", str(tmp_path / "switched")
+    first = spark.createDataFrame([(1, "A", 1, 1.0, 1.0), (2, "B", 1, 1.0, 1.0)], ORDERS)
+    tables.replace_contents(first, table, location)
+    seen, other = [], tables._other_folder
+
+    def beside(folder):
+        seen.append(spark.newSession().table(table).count())
+        return other(folder)
+
+    monkeypatch.setattr(tables, "_other_folder", beside)
+    broken = first.withColumn("price", F.when(F.col("order_id") == 1, F.col("price")).otherwise(F.raise_error("no price").cast("double")))
+    with pytest.raises(PySparkException, match="no price"):
+        tables.replace_contents(broken, table)
+    assert spark.newSession().table(table).count() == 2
+    assert tables.replace_contents(first.filter("order_id = 1"), table) == 1 and spark.table(table).count() == 1
+    assert seen == [2, 2]
+
+
+def test_counts_come_from_the_write(spark, tmp_path, monkeypatch):
+    """Nothing is counted after a load, and a mismatch still stops it."""
+    orders = spark.createDataFrame([(i, "A", 1, 1.0, 1.0) for i in range(50)], ORDERS)
+    n = files.write_silver(orders, str(tmp_path / "silver"))
+    assert n == 50 and jobs.load(spark, str(tmp_path / "silver"), "counted_orders", str(tmp_path / "table"), n) == 50
+    monkeypatch.setattr(DataFrame, "count", lambda self: pytest.fail("rows are counted once more"))
+    assert jobs.load(spark, str(tmp_path / "silver"), "counted_orders", None, 50) == 50
+    for expected in (49, 51):
+        with pytest.raises(RuntimeError, match=f"50 rows were loaded into counted_orders, silver holds {expected}"):
+            jobs.load(spark, str(tmp_path / "silver"), "counted_orders", None, expected)
+
+
 def test_publish_kinds(spark, tmp_path):
     df = spark.range(3)
     for _ in range(2):

@@ -1,7 +1,7 @@
 """Weather documents to silver, merge, gold and the stream."""
 
 import json
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 import pandas as pd
 import pytest
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.dedup import merge
 from stratalake.operators.weather import check_documents, hourly_rows, require_valid_documents
-from stratalake.plans import gold, jobs
+from stratalake.plans import daily, dims, gold, jobs, staging
 from stratalake.plans.silver import merge_weather
 from stratalake.sinks import files
 from stratalake.sinks.bronze import land_weather, weather_file_name
@@ -41,7 +41,7 @@ def stored(spark, path):
 
 def hours(spark, *pairs):
     return spark.createDataFrame(
-        [(t and datetime(2025, 8, *t), v, 1.0, 0.0, 0.0) for t, v in pairs], HOURLY)
+        [(t and datetime(2025, 8, 1) + timedelta(days=t[0] - 1, hours=t[1]), v, 1.0, 0.0, 0.0) for t, v in pairs], HOURLY)
 
 
 def test_newest_document_to_rows(spark, tmp_path):
@@ -138,7 +138,7 @@ def test_first_wins_appends_and_reads_touched_days_only(spark, tmp_path):
     before = {str(p) for p in path.rglob("*.parquet")}
     files.merge_hourly(hours(spark, ((2, 1), 9.0), ((2, 2), 3.0)), str(path))
     assert before < {str(p) for p in path.rglob("*.parquet")}
-    touched = files.read_hourly(spark, str(path)).filter(files._on_days(F.col(files.DAY), [date(2025, 8, 2), None]))
+    touched = files.read_hourly(spark, str(path)).filter(files.on_days(F.col(files.DAY), [date(2025, 8, 2), None]))
     plan = touched._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert sorted(r["temp_c"] for r in touched.collect()) == [2.0, 3.0]
@@ -285,3 +285,55 @@ def test_merge_keeps_the_first_of_equal_new_hours(spark):
     rows = {r["k"]: r["v"] for r in merge(old, new, ["k"], ["at"]).collect()}
     assert rows == {1: 1.0, 2: 7.0}
     assert {r["k"]: r["v"] for r in merge(old, new, ["k"], ["at"], keep="last").collect()} == {1: 5.0, 2: 9.0}
+
+
+def test_partial_results_give_what_the_hours_give(spark, tmp_path):
+    """Gold file and dimensions from stored partial results, after drops that touch some days, against the whole history."""
+    path, parts_path = str(tmp_path / "silver"), str(tmp_path / "parts")
+    batches = [
+        [((1, 0), 1.5), ((1, 1), -2.25), ((2, 3), None), ((3, 5), float("nan")), (None, 5.0)], [((1, 1), 9.0), ((2, 4), 7.0), ((9, 0), 3.0)],
+        [(None, 6.0), ((40, 1), 2.0)], [],
+    ]
+    for batch in batches:
+        days = files.merge_hourly(hours(spark, *batch), path)
+        parts = daily.update_parts(spark, path, parts_path, days)
+        hourly = files.read_hourly(spark, path)
+        assert daily.rows_of(parts, None) == hourly.count()
+        assert daily.rows_of(parts, days) == (hourly.count() if days is None else hourly.filter(files.on_days(F.col(files.DAY), days)).count() if days else 0)
+        assert [tuple(r) for r in daily.weather_daily(parts).collect()] == [tuple(r) for r in gold.weather_daily(hourly).collect()]
+        finite = hourly.filter("temp_c is null or not isnan(temp_c)")
+        for own, whole in ((daily.dim_weather, dims.dim_weather), (daily.dim_date, dims.dim_date)):
+            got = own(daily.day_parts(finite) if own is daily.dim_weather else parts)
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, whole(staging.stg_weather(finite if own is daily.dim_weather else hourly)).collect()), key=str)
+            assert got.dtypes == whole(staging.stg_weather(hourly)).dtypes
+
+
+def test_untouched_days_are_not_read_for_gold(spark, tmp_path):
+    path, parts_path = str(tmp_path / "silver"), tmp_path / "parts"
+    files.merge_hourly(hours(spark, ((1, 0), 1.0), ((2, 0), 2.0), ((40, 0), 4.0)), path)
+    daily.update_parts(spark, path, str(parts_path), None)
+    august = sorted(p.name for p in parts_path.glob("month=2025-08/*.parquet"))
+    september = sorted(p.name for p in parts_path.glob("month=2025-09/*.parquet"))
+    # A day that no one touches: what stands there now must not be seen.
+    hours(spark, ((1, 0), 99.0)).write.mode("overwrite").parquet(f"{path}/ts_date=2025-08-01")
+    days = files.merge_hourly(hours(spark, ((2, 5), 8.0)), path)
+    parts = daily.update_parts(spark, path, str(parts_path), days)
+    assert [(r["date"].day, r["avg_temp_c"]) for r in daily.weather_daily(parts).collect()] == [(1, 1.0), (2, 5.0), (9, 4.0)]
+    assert august != sorted(p.name for p in parts_path.glob("month=2025-08/*.parquet"))
+    assert september == sorted(p.name for p in parts_path.glob("month=2025-09/*.parquet"))
+
+
+def test_days_are_compacted_when_they_are_full(spark, tmp_path):
+    """Many small appends end in few files of the day; another day keeps its names."""
+    path = tmp_path / "silver"
+    files.merge_hourly(hours(spark, ((9, 0), 1.0), (None, 1.0)), str(path))
+    kept = sorted(p.name for p in path.glob("ts_date=2025-08-09/*.parquet"))
+    most, compacted = 0, 0
+    for h in range(16):
+        days = files.merge_hourly(hours(spark, ((1 + h // 12, h % 12), float(h))), str(path))
+        compacted += bool(files.compact_full_days(spark, str(path), days, most_files=3))
+        most = max(most, *(len(list(path.glob(f"ts_date=2025-08-0{d}/*.parquet"))) for d in (1, 2)))
+    assert 2 <= compacted <= 8 and most <= 3 + 1
+    assert kept == sorted(p.name for p in path.glob("ts_date=2025-08-09/*.parquet"))
+    assert files.read_hourly(spark, str(path)).count() == 18
+    assert files.compact_full_days(spark, str(path), [None, date(2025, 8, 9)], most_files=3) == [] == files.compact_full_days(spark, str(path), [])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -159,9 +160,14 @@ def claim(owner: str, forget: Callable[[], None] | None = None) -> None:
 
     Workers serve one stage after the other, and what one of them has kept is of no use to the next.
     """
-    for other in [o for o in _KEPT if o != owner]:
+    others = [o for o in _KEPT if o != owner]
+    for other in others:
         _KEPT.pop(other)()
+    if others:
+        # What is free goes back to the system, since the JVM beside this worker may need it.
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
     if forget:
         _KEPT[owner] = forget
 

@@ -338,7 +338,8 @@ def links(members: DataFrame, docs: DataFrame, threshold: tuple[int, int] = THRE
         "own", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")
     )
     # Block i meets each block j from i on: as the lower one, or as the upper one of an earlier block.
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    # The members of a large cluster are multiplied here, so they are dealt over all tasks before.
+    met = dealt.repartition("cluster", "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", "doc", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("side")
     )
     n_bytes = 48 * met.count()
@@ -429,7 +430,7 @@ def counted_links(members: DataFrame, weights: DataFrame, docs: DataFrame, thres
     dealt = members.join(sizes, "cluster").join(own, "doc").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")).withColumn(
         "own", F.expr("cast(pmod(xxhash64(doc), blocks) as int)")
     )
-    met = written(dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    met = written(dealt.repartition("cluster", "doc").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", "doc", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).alias("side"),
         "weight", F.filter("clusters", lambda c: c < F.col("cluster")).alias("earlier"),
     ), "cluster_members")

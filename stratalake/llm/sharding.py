@@ -20,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.llm.common import written
+
 HASH_BITS = 60
 SHARD_BYTES = 2**20
 SPARE_BITS = 4
@@ -85,8 +87,11 @@ def directory(rows: DataFrame, limit: int, most_bits: int = HASH_BITS) -> list[t
 def assign(docs: DataFrame, keep: list[str], limit: int = SHARD_BYTES, key: str = "doc_id", text: str = "text", most_bits: int = HASH_BITS) -> DataFrame:
     """The chosen columns of each row with n_bytes, depth, shard (its bits), shard_bytes and oversize."""
     sized = docs.select(*keep, key_hash(F.col(key)).alias("hashed"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"))
+    # Texts are measured once; what is written is small, unless the caller carries whole rows along.
+    if text not in keep:
+        sized = written(sized, "sized_rows")
     parts, rest = [], sized
-    tables = directory(sized.select("hashed", "n_bytes"), limit, most_bits)
+    tables = directory(sized.select("hashed", "n_bytes") if text not in keep else written(sized.select("hashed", "n_bytes"), "sized_keys"), limit, most_bits)
     for i, (bits, table) in enumerate(tables):
         placed = rest.withColumn("cell", _leading(F.col("hashed"), bits)).join(table, "cell", "left")
         last = i == len(tables) - 1

@@ -7,9 +7,9 @@ vectors, so `likeness` is that angle's cosine, not below 0.
 
 Search: a fingerprint is cut into blocks of bits, with a table per block, led by that block. Of two
 fingerprints within the radius, one block at least differs in no more than its share of the
-radius, two bits at most for the radius of the query. A query looks up each of its blocks under
-all such differences, so the tables find all. A pair that several blocks find is taken from the
-first of them. Equal fingerprints are one entry; only queries are joined with the tables.
+radius. A query looks up each of its blocks under all such differences, so the tables find
+all. How long the blocks are follows from the number of fingerprints. A pair that several blocks find is
+taken from the first of them. Equal fingerprints are one entry; only queries are joined with the tables.
 
 `RADIUS` is set by the texts that the search must reach: of pairs whose 5-word shingles have a
 Jaccard similarity of 0.75 or more, half are up to 13 bits apart and 99 of 100 up to 21.
@@ -22,8 +22,10 @@ one; a null doc_id sorts first; an empty table gives no rows; other columns are
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from stratalake.llm.common import column, mix, text_slices, words, written
 
 BITS = 128
 RADIUS = 23
+MOST_KEYS = 20_000
+TASK_KEYS = 500_000
 BEGIN = np.uint64(0x5851F42D4C957F2D)
 SECOND = np.uint64(0x14057B7EF767814F)
 
@@ -151,15 +155,30 @@ def fingerprint_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.filter(F.col("kind") == DONE).unionByName(ends).drop("kind", "part", "text")
 
 
-def cuts(radius: int) -> list[tuple[int, int, int]]:
-    """(begin, end, errors) of the blocks of bits: within the radius, one block has no more than its errors."""
-    n = max(4, radius // 3 + 1)
+def cuts(radius: int, n: int) -> list[tuple[int, int, int]]:
+    """(begin, end, errors) of `n` blocks of bits: within the radius, one block has no more than its errors."""
     errors, more = divmod(radius, n)
     edges = [round(i * BITS / n) for i in range(n + 1)]
     found = [(a, b, errors if i <= more else errors - 1) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))]
     return [c for c in found if c[2] >= 0]
 
 
+def looked_up(cut: tuple[int, int, int]) -> int:
+    """How many keys a query looks up in the table of a block."""
+    begin, end, errors = cut
+    return sum(comb(end - begin, k) for k in range(errors + 1))
+
+
+def best_cuts(radius: int, entries: int) -> list[tuple[int, int, int]]:
+    """The blocks with which a query has least to look up and to compare, if fingerprints fill their keys evenly.
+
+    Long blocks mean many keys and few entries for each, so blocks grow with the number of entries.
+    """
+    options = [cuts(radius, n) for n in range(4, 33)]
+    fine = [c for c in options if max(map(looked_up, c)) <= MOST_KEYS] or options[-1:]
+    return min(fine, key=lambda c: sum(looked_up(x) * (1 + entries / 2 ** (x[1] - x[0])) for x in c))
+
+
 def differences(width: int, errors: int) -> list[int]:
     return [sum(1 << k for k in places) for n in range(errors + 1) for places in combinations(range(width), n)]
 
@@ -191,20 +210,22 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
     """
     if not 0 <= radius < BITS // 4:
         raise ValueError(f"radius must be 0 to {BITS // 4 - 1}")
-    blocks = cuts(radius)
-    place = [F.lit(i << 40) for i in range(len(blocks))]
     entries = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
+    blocks = best_cuts(radius, entries.count())
+    place = [F.lit(i << 40) for i in range(len(blocks))]
     entries = entries.select(*[h.alias(c) for h, c in zip(halves(F.col("fingerprint")), ("high", "low"), strict=True)], "n")
     keys = F.array(*[p + bits(F.col("high"), F.col("low"), a, b) for p, (a, b, _) in zip(place, blocks, strict=True)])
     table = entries.select("high", "low", "n", F.explode(keys).alias("block"))
     asked = queries.select("fingerprint").distinct()
+    # So many tasks as the keys need that queries are multiplied by, however small the queries are themselves.
+    asked = asked.repartition(max(1, math.ceil(asked.count() * sum(map(looked_up, blocks)) / TASK_KEYS)))
     asked = asked.select(*[h.alias(c) for h, c in zip(halves(F.col("fingerprint")), ("q_high", "q_low"), strict=True)])
 
-    def looked_up(p: Column, begin: int, end: int, errors: int) -> Column:
+    def keys_under(p: Column, begin: int, end: int, errors: int) -> Column:
         own = bits(F.col("q_high"), F.col("q_low"), begin, end)
         return F.transform(F.lit(differences(end - begin, errors)).cast("array<bigint>"), lambda x: p + own.bitwiseXOR(x))
 
-    keys = F.flatten(F.array(*[looked_up(p, *cut) for p, cut in zip(place, blocks, strict=True)]))
+    keys = F.flatten(F.array(*[keys_under(p, *cut) for p, cut in zip(place, blocks, strict=True)]))
     asked = asked.select("q_high", "q_low", F.explode(keys).alias("block"))
     apart = F.col("q_high").bitwiseXOR(F.col("high")), F.col("q_low").bitwiseXOR(F.col("low"))
     first = F

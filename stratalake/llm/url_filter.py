@@ -7,7 +7,8 @@ by all workers of a machine. A batch of URLs is probed with vectorised binary se
 digest that is found counts only if the stored text is equal.
 
 Defined results: null URLs and URLs without `://` have an empty host and path and meet no rule;
-repeated rows are judged one by one; an empty table or an empty list gives no rule anywhere.
+repeated rows are judged one by one; an empty table or an empty list gives no rule anywhere; of very long URLs only
+what a rule can match is looked at.
 Columns of the input other than the URL pass through.
 """
 
@@ -15,9 +16,9 @@ from __future__ import annotations
 
 import os
 import struct
-import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -84,15 +85,37 @@ def with_host_and_path(df: DataFrame, url: str = "url", host: str = "host", path
     ).withColumn(path, F.when(known, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)).otherwise(""))
 
 
-def candidates(host: str, path: str) -> list[str]:
-    """Every key that would fit, longest first: host suffixes at dots, path prefixes after each slash.
+@dataclass(frozen=True)
+class Bounds:
+    """What the keys of a rule list can look like: labels of their hosts, and slashes and letters of their paths, at most."""
 
-    A rule's path is empty or ends with a slash, so only such prefixes can be keys.
+    labels: int
+    slashes: int
+    letters: int
+
+    @classmethod
+    def of(cls, rules: Iterable[str]) -> Bounds:
+        parts = [key.partition("/") for key in rules]
+        paths = [slash + rest for _, slash, rest in parts]
+        return cls(
+            max((host.count(".") + 1 for host, _, _ in parts), default=0), max((p.count("/") for p in paths), default=0), max(map(len, paths), default=0)
+        )
+
+
+def candidates(host: str, path: str, bounds: Bounds) -> list[str]:
+    """Every key within the bounds that would fit, longest first: host suffixes at dots, path prefixes after each slash.
+
+    A rule's path is empty or ends with a slash, so only such prefixes can be keys. However long a URL is, there are
+    no more of them than the rule list allows.
     """
-    parts = host.split(".")
+    parts = host.rsplit(".", bounds.labels)
+    parts = parts[1:] if len(parts) > bounds.labels else parts
     hosts = [".".join(parts[i:]) for i in range(len(parts))] if host else []
-    stops = [i + 1 for i, c in enumerate(path) if c == "/"]
-    paths = [path[:i] for i in reversed(stops)] + [""]
+    start = path[: bounds.letters]
+    paths, at = [""], start.find("/")
+    while at >= 0 and len(paths) <= bounds.slashes:
+        paths.append(start[: at + 1])
+        at = start.find("/", at + 1)
     return sorted({h + p for h in hosts for p in paths}, key=lambda k: (-len(k), k))
 
 
@@ -106,7 +129,10 @@ def ship_rules(spark: SparkSession, rules: dict[str, str]) -> str:
     if len(packed) > MOST_FILE_BYTES:
         raise ValueError(f"the list takes {len(packed)} bytes; split it by host and filter in turns")
     name = f"url-rules-{uuid.uuid4().hex}.bin"
-    local = os.path.join(tempfile.mkdtemp(prefix="url-rules-"), name)
+    # Beside the files that Spark keeps for this application; it removes them with it.
+    folder = os.path.join(SparkFiles.getRootDirectory(), "url-rules")
+    os.makedirs(folder, exist_ok=True)
+    local = os.path.join(folder, name)
     with open(local, "wb") as f:
         f.write(packed)
     spark.sparkContext.addFile(local)
@@ -121,7 +147,7 @@ def judge(df: DataFrame, rules: dict[str, str], url: str = "url", default: str =
 
     Columns of the input that have one of these four names are replaced.
     """
-    name = ship_rules(df.sparkSession, rules)
+    name, bounds = ship_rules(df.sparkSession, rules), Bounds.of(rules)
     parted = with_host_and_path(df.drop("rule", "verdict"), url)
     schema = T.StructType(parted.schema.fields + [T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
 
@@ -134,7 +160,7 @@ def judge(df: DataFrame, rules: dict[str, str], url: str = "url", default: str =
             kinds = {p: None for p in pairs}
             owner, keys = [], []
             for k, (host, path) in enumerate(kinds):
-                own = [c.encode() for c in candidates(host, path)]
+                own = [c.encode() for c in candidates(host, path, bounds)]
                 owner += [k] * len(own)
                 keys += own
             found = array.find(keys)

@@ -58,3 +58,20 @@ def test_refused_lists(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "MOST_FILE_BYTES", 10)
     with pytest.raises(ValueError):
         url_filter.ship_rules(spark, RULES)
+
+
+def test_long_urls_have_no_more_keys_than_the_list_allows(spark):
+    import tracemalloc
+
+    rules = {"net/": "block", "example.net/en/": "allow", "a.b.example.net/en/x/": "block"}
+    bounds = url_filter.Bounds.of(rules)
+    assert bounds == url_filter.Bounds(4, 3, 6)
+    host, path = ".".join(["a"] * 1000) + ".b.example.net", "/en/x/" + "/".join(["seg"] * 250_000)
+    tracemalloc.start()
+    keys = url_filter.candidates(host, path, bounds)
+    assert len(keys) <= 4 * 4 and keys[0] == "a.b.example.net/en/x/" and tracemalloc.get_traced_memory()[1] < 2**20
+    tracemalloc.stop()
+    urls = [f"https://{host}{path}", "http://net" + "/" * 1_000_000, "http://" + "x" * 1_000_000, "http://" + "." * 1000 + "example.net/en/y"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(df, rules).collect()}
+    assert got == {0: ("a.b.example.net/en/x/", "block"), 1: ("net/", "block"), 2: (None, "allow"), 3: ("example.net/en/", "allow")}

@@ -7,11 +7,14 @@ into its own range and `REACH` ranges on both sides; what the curves find is mer
 by the exact inner product of the original vectors.
 
 Largest inner product is turned into nearness on a sphere: vectors are scaled by the largest
-length and get one more component that fills them up to length one; queries get a 0 there.
+length and get one more component that fills them up to length one; queries get a 0 there. That
+works for vectors of like length, so each band of lengths (a factor of two; the last holds all
+shorter ones) has a scale and curves of its own, and a query looks into all bands.
 
 Projections and key ranges are fitted on a sample of at most `SAMPLE_VALUES` numbers; all rows are
-indexed and ranked. Ranges are dealt to tasks in blocks of bounded size (`BLOCK_ROWS` rows
-against `BLOCK_QUERIES` queries), so vectors that occur very often do not fill one task.
+indexed and ranked. Each row has one copy per curve. Ranges are dealt to tasks in blocks of about `BLOCK_ROWS`
+rows, so vectors that occur very often do not fill one task; the queries of a block stream past its rows.
+A band of less than twice `LEAST_ROWS` rows is one range, which is searched whole.
 
 The share of rows that a query meets is set by curves and ranges, not by a number of rows: in
 data without clusters the neighbours of a point are spread over the whole space, and a fixed
@@ -36,9 +39,10 @@ from pyspark.sql import functions as F
 CURVES = 16
 DIMENSIONS, BITS = 16, 3
 RANGES, REACH = 48, 1
-LEAST_ROWS = 256
+LEAST_ROWS = 128
+BANDS = 8
 SAMPLE_VALUES = 1_500_000
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
+BLOCK_ROWS, BLOCK_QUERIES = 8192, 256
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -113,6 +117,35 @@ def fit_curves(sample: np.ndarray, longest: float, curves: int, ranges: int, see
     return out
 
 
+@dataclass
+class Slot:
+    """A curve through the vectors of a band; its ranges are the places from `base` on."""
+
+    band: int
+    longest: float
+    curve: Curve | None  # None: one range
+    ranges: int
+    base: int
+
+    def of_rows(self, vectors: np.ndarray) -> np.ndarray:
+        return self.curve.ranges(on_sphere(vectors, self.longest)) if self.curve else np.zeros(len(vectors), np.int64)
+
+    def of_queries(self, vectors: np.ndarray) -> np.ndarray:
+        return self.curve.ranges(as_queries(vectors)) if self.curve else np.zeros(len(vectors), np.int64)
+
+
+def fit_slots(bands: list[tuple[int, int, float]], sample: dict[int, np.ndarray], curves: int, ranges: int) -> list[Slot]:
+    """Curves of every band (its number, rows and largest length)."""
+    slots: list[Slot] = []
+    for band, n, longest in bands:
+        own = sample.get(band, np.empty((0, 0)))
+        n_ranges = min(ranges, n // LEAST_ROWS, len(own))
+        for curve in fit_curves(own, longest, curves, n_ranges) if n_ranges > 1 else [None]:
+            base = slots[-1].base + slots[-1].ranges if slots else 0
+            slots.append(Slot(band, longest, curve, max(n_ranges, 1), base))
+    return slots
+
+
 def usable(rows: DataFrame, vector_id: str, vector: str) -> tuple[DataFrame, int]:
     """(vec_id, vector) of the rows that take part, and the number of components; 0 without any."""
     value = F.col(vector)
@@ -138,109 +171,124 @@ def neighbours(rows: DataFrame, is_query: Column, k: int, vector_id: str = "vec_
 
     `is_query` is a condition on `vec_id`.
     """
-    import pandas as pd
-
     out = "query_id long, rank int, vec_id long, score double"
     fine, n_components = usable(rows, vector_id, vector)
     if not n_components:
         return rows.sparkSession.createDataFrame([], out)
     length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     stored = np.float32 if fine.dtypes[1][1] == "array<float>" else np.float64
-    n, longest = fine.agg(F.count(F.lit(1)), F.max(length)).first()
-    share = min(1.0, SAMPLE_VALUES / n_components / n)
-    sampled = fine.filter(F.expr(f"pmod(xxhash64(vec_id), 1000000) < {round(share * 1e6)}")).select("vec_id", "vector").toPandas().sort_values("vec_id")
-    n_ranges = max(1, min(ranges, n // LEAST_ROWS)) if len(sampled) else 1
-    sample = np.stack(sampled["vector"].to_list()).astype(np.float64) if len(sampled) else np.eye(1, n_components)
-    fitted = fit_curves(sample, longest, curves if n_ranges > 1 else 1, n_ranges)
-    marked = fine.withColumn("query", F.coalesce(is_query, F.lit(False)))
-
-    def places(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per curve: each row's range, the positions of the queries, and their ranges."""
-        vectors = _matrix(batch, n_components).astype(np.float64)
-        asked = np.flatnonzero(batch.column(batch.schema.get_field_index("query")).to_numpy(zero_copy_only=False))
-        points, queries = on_sphere(vectors, longest), as_queries(vectors[asked])
-        for c, curve in enumerate(fitted):
-            yield c, curve.ranges(points), asked, curve.ranges(queries)
+    longest = fine.agg(F.max(length)).first()[0]
+    band = F.least(F.floor(F.log2(F.lit(longest) / length)), F.lit(BANDS - 1)).cast("int")
+    marked = fine.withColumn("query", F.coalesce(is_query, F.lit(False))).withColumn("band", band)
+    bands = [tuple(r) for r in marked.groupBy("band").agg(F.count(F.lit(1)), F.max(length)).orderBy("band").collect()]
+    share = F.lit(0)
+    for b, n, _ in bands:
+        share = F.when(F.col("band") == b, round(1e6 * min(1.0, SAMPLE_VALUES / n_components / len(bands) / n))).otherwise(share)
+    sampled = marked.filter(F.expr("pmod(xxhash64(vec_id), 1000000)") < share).select("band", "vec_id", "vector").toPandas().sort_values("vec_id")
+    sample = {int(b): np.stack(some["vector"].to_list()).astype(np.float64) for b, some in sampled.groupby("band")}
+    slots = fit_slots(bands, sample, curves, ranges)
+    n_places = slots[-1].base + slots[-1].ranges
+
+    def held(batch: pa.RecordBatch, name: str) -> np.ndarray:
+        return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
+
+    def places(vectors: np.ndarray, own_band: np.ndarray) -> Iterator[tuple[Slot, np.ndarray, np.ndarray]]:
+        """Per curve: the rows of its band, and their ranges."""
+        for slot in slots:
+            own = np.flatnonzero(own_band == slot.band)
+            if len(own):
+                yield slot, own, slot.of_rows(vectors[own])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, len(fitted) * n_ranges), dtype=np.int64)
+        sums = np.zeros(n_places, dtype=np.int64)
         for batch in batches:
-            for c, own, _, asked in places(batch):
-                sums[0] += np.bincount(own + c * n_ranges, minlength=sums.shape[1])
-                sums[1] += np.bincount(asked + c * n_ranges, minlength=sums.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sums.shape[1])), pa.array(sums[0]), pa.array(sums[1])], names=["place", "n", "asked"])
+            for slot, _, at in places(_matrix(batch, n_components).astype(np.float64), held(batch, "band")):
+                sums += np.bincount(slot.base + at, minlength=n_places)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n_places)), pa.array(sums)], names=["place", "n"])
 
     # One row per curve and range.
-    sums = marked.mapInArrow(counted, "place long, n long, asked long").groupBy("place").agg(F.sum("n").alias("n"), F.sum("asked").alias("asked")).toPandas()
-    held = np.zeros((2, len(fitted), n_ranges), dtype=np.int64)
-    held.reshape(2, -1)[:, sums["place"]] = sums[["n", "asked"]].to_numpy().T
-    around = sum(np.pad(held[1], ((0, 0), (reach, reach)))[:, j : j + n_ranges] for j in range(2 * reach + 1))
-    row_blocks = np.maximum(1, -(-held[0] // BLOCK_ROWS))
-    query_blocks = np.maximum(1, -(-around // BLOCK_QUERIES))
+    sums = marked.mapInArrow(counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    rows_of = np.zeros(n_places, dtype=np.int64)
+    rows_of[sums["place"]] = sums["n"]
+    blocks = np.maximum(1, -(-rows_of // BLOCK_ROWS))
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A copy of each row for every block of queries of its range, and of each query for every block of rows around."""
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("vec_id")).to_numpy()
-            vectors = _matrix(batch, n_components)
-            for c, own, asked, ranges_of_queries in places(batch):
-                at, place, block, kind = [], [], [], []
+        """A copy of each row for every curve, and of each query for every block of rows around it."""
 
-                def put(rows: np.ndarray, r: np.ndarray, mine: np.ndarray, other: np.ndarray, query: bool) -> None:
-                    times = other[c, r]
-                    turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                    rows, r = np.repeat(rows, times), np.repeat(r, times)
-                    salt = (ids[rows] * 2654435761 >> 7) % mine[c, r]
-                    at.append(rows)
-                    place.append(c * n_ranges + r)
-                    block.append(turn * 2**31 + salt if query else salt * 2**31 + turn)
-                    kind.append(np.full(len(rows), query))
-
-                put(np.arange(len(ids)), own, row_blocks, query_blocks, False)
+        def copies(ids: np.ndarray, vectors: np.ndarray, at: np.ndarray, place: np.ndarray, block: np.ndarray, query: bool) -> pa.RecordBatch:
+            data = np.ascontiguousarray(vectors[at])
+            width = data.itemsize * n_components
+            values = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * width).astype(np.int32)), pa.py_buffer(data)])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(place), pa.array(block), pa.array(np.full(len(at), query)), pa.array(ids[at]), values], names=["place", "block", "query", "vec_id", "vector"]
+            )
+
+        for batch in batches:
+            ids, vectors = held(batch, "vec_id"), _matrix(batch, n_components)
+            exact = vectors.astype(np.float64)
+            for slot, own, at in places(exact, held(batch, "band")):
+                place = slot.base + at
+                yield copies(ids, vectors, own, place, (ids[own] * 2654435761 >> 7) % blocks[place], False)
+            asked = np.flatnonzero(held(batch, "query"))
+            for slot in slots if len(asked) else ():
+                at = slot.of_queries(exact[asked])
                 for j in range(-reach, reach + 1):
-                    r = ranges_of_queries + j
-                    inside = (r >= 0) & (r < n_ranges)
-                    put(asked[inside], r[inside], query_blocks, row_blocks, True)
-                rows = np.concatenate(at)
-                data = np.ascontiguousarray(vectors[rows])
-                width = data.itemsize * n_components
-                values = pa.Array.from_buffers(
-                    pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * width).astype(np.int32)), pa.py_buffer(data)]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(place)), pa.array(np.concatenate(block)), pa.array(np.concatenate(kind)), pa.array(ids[rows]), values],
-                    names=["place", "block", "query", "vec_id", "vector"],
-                )
-
-    def ranked(frame: pd.DataFrame) -> pd.DataFrame:
-        asked = frame["query"].to_numpy(bool)
-        ids = frame["vec_id"].to_numpy()
-        vectors = np.frombuffer(b"".join(frame["vector"]), dtype=stored).reshape(-1, n_components).astype(np.float64)
-        own, pool = ids[asked], ids[~asked]
+                    inside = (at + j >= 0) & (at + j < slot.ranges)
+                    place = slot.base + at[inside] + j
+                    times = blocks[place]
+                    turn = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                    yield copies(ids, vectors, np.repeat(asked[inside], times), np.repeat(place, times), turn, True)
+
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best of a block's rows for each query that passes by; rows come before queries."""
+        last, pool, rows, single = None, np.empty(0, np.int64), np.empty((0, n_components)), True
+        slack = 1e-9 * longest * longest
+        for batch in batches:
+            names = np.stack([held(batch, c).astype(np.int64) for c in ("place", "block", "query")])
+            ids, lists = held(batch, "vec_id"), batch.column(batch.schema.get_field_index("vector"))
+            size = np.dtype(stored).itemsize * n_components
+            data = np.frombuffer(lists.buffers()[2], np.uint8)[lists.offset * size : (lists.offset + len(ids)) * size]
+            vectors = data.view(stored).reshape(-1, n_components).astype(np.float64)
+            cuts = [0, *(np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist(), len(ids)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if low == high:
+                    continue
+                place, block, query = names[:, low].tolist()
+                if (place, block) != last:
+                    last, pool, rows = (place, block), np.empty(0, np.int64), np.empty((0, n_components))
+                if not query:
+                    pool, rows = np.concatenate([pool, ids[low:high]]), np.concatenate([rows, vectors[low:high]])
+                    single = len(np.unique(pool)) == len(pool)
+                    continue
+                for begin in range(low, high, BLOCK_QUERIES) if len(pool) else ():
+                    own = slice(begin, min(begin + BLOCK_QUERIES, high))
+                    found = best_of(ids[own], vectors[own], pool, rows, single, slack)
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
+
+    def best_of(own: np.ndarray, queries: np.ndarray, pool: np.ndarray, rows: np.ndarray, single: bool, slack: float) -> list[tuple]:
         found = []
-        if len(own) and len(pool):
-            single = len(np.unique(pool)) == len(pool)
-            rows, queries = vectors[~asked], vectors[asked]
-            rough = queries @ rows.T
-            slack = 1e-9 * longest * longest
-            for i, q in enumerate(own):
-                others = pool != q
-                line = rough[i]
-                if single and others.sum() > k:
-                    least = np.partition(line[others], -k)[-k] - slack
-                    others &= line >= least
-                some = np.flatnonzero(others)
-                exact = (rows[some] * queries[i]).sum(axis=1)
-                best = np.lexsort((pool[some], -exact))
-                if not single:
-                    best = best[np.sort(np.unique(pool[some][best], return_index=True)[1])]
-                best = best[:k]
-                found.append((np.full(len(best), q), pool[some][best], exact[best]))
-        parts = zip(*found, strict=True) if found else ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, parts), strict=True)))
+        rough = queries @ rows.T
+        for i, q in enumerate(own):
+            others = pool != q
+            line = rough[i]
+            if single and others.sum() > k:
+                least = np.partition(line[others], -k)[-k] - slack
+                others &= line >= least
+            some = np.flatnonzero(others)
+            if not len(some):
+                continue
+            exact = (rows[some] * queries[i]).sum(axis=1)
+            best = np.lexsort((pool[some], -exact))
+            if not single:
+                best = best[np.sort(np.unique(pool[some][best], return_index=True)[1])]
+            best = best[:k]
+            found.append((np.full(len(best), q), pool[some][best], exact[best]))
+        return found
 
     rows_of_blocks = marked.mapInArrow(dealt, "place long, block long, query boolean, vec_id long, vector binary")
-    found = rows_of_blocks.groupBy("place", "block").applyInPandas(ranked, "query_id long, vec_id long, score double")
+    streamed = rows_of_blocks.repartition("place", "block").sortWithinPartitions("place", "block", "query", "vec_id")
+    found = streamed.mapInArrow(ranked, "query_id long, vec_id long, score double")
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -79,3 +79,32 @@ def test_empty_tables(spark):
     assert found(neighbours(frame(spark, []), F.col("vec_id") % 20 == 0, 3)) == {}
     assert found(neighbours(frame(spark, [(1, None)]), F.col("vec_id") % 20 == 0, 3)) == {}
     assert found(neighbours(frame(spark, [(20, [1.0])]), F.col("vec_id") % 20 == 0, 3)) == {}
+
+
+def uneven(kind):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(12_000, 64)).astype(np.float32)
+    if kind == "one long":
+        vectors[4321] *= 1000
+    if kind == "lognormal":
+        vectors *= np.exp(rng.normal(size=(len(vectors), 1))).astype(np.float32)
+    if kind == "shorter and shorter":
+        vectors *= np.exp2(-(np.arange(len(vectors)) % 12))[:, None].astype(np.float32)
+    return vectors
+
+
+@pytest.mark.parametrize("kind", ["alike", "one long", "lognormal", "shorter and shorter"])
+def test_recall_on_uneven_lengths(spark, kind):
+    """With the sizes that the query has, against all inner products."""
+    vectors = uneven(kind)
+    df = spark.createDataFrame([(i, v.tolist(), "r", "s") for i, v in enumerate(vectors)], SCHEMA).repartition(4)
+    got = found(neighbours(df, F.col("vec_id") % 100 == 0, 20))
+    exactly = vectors.astype(float)
+    hits = 0
+    for q in range(0, len(vectors), 100):
+        scores = exactly @ exactly[q]
+        scores[q] = -np.inf
+        best = set(np.lexsort((np.arange(len(scores)), -scores))[:20].tolist())
+        hits += len(best & {i for i, _ in got[q]})
+        assert len(got[q]) == 20
+    assert hits >= 0.9 * 20 * 120, hits / 2400

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 CURVES = 16
 DIMENSIONS, BITS = 16, 3
-RANGES, REACH = 48, 1
+RANGES, REACH = 40, 1
 LEAST_ROWS = 128
 BANDS = 8
 SAMPLE_VALUES = 1_500_000

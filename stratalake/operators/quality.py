@@ -90,43 +90,45 @@ def run_tests(
 ) -> DataFrame:
     """(model, column, test, failures), one row per declared test of the given models.
 
-    All tests of a model share one pass over it, as long as at most one of its columns is
-    tested for uniqueness or against a parent.
+    All tests of a model share one pass over it, plus one over the parent of each reference.
     """
     reports = []
     for name, tests in declared.items():
         if name in models and (tests.not_null or tests.unique or tests.references):
-            reports += [part.select(F.lit(name).alias("model"), "*") for part in _passes(models[name], tests, models)]
+            reports.append(_one_pass(models[name], tests, models).select(F.lit(name).alias("model"), "*"))
     if not reports:
         raise ValueError("none of the given models has a declared test")
     return stack_by_name(reports)
 
 
-def _passes(df: DataFrame, tests: ModelTests, models: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Reports of one model: one per column that rows are grouped by, the first with all NULL counts."""
+def _one_pass(df: DataFrame, tests: ModelTests, models: Mapping[str, DataFrame]) -> DataFrame:
+    """NULL counts, uniqueness and references of a model.
+
+    One aggregate groups the rows by each column that is a key or refers to a parent, as grouping sets if there are several.
+    """
     keys = list(dict.fromkeys([*tests.unique, *(r.column for r in tests.references)]))
     if not keys:
-        return [not_null_failures(df, tests.not_null)]
-    return [_one_pass(df, key, tests.not_null if key == keys[0] else (), tests, models) for key in keys]
-
-
-def _one_pass(
-    df: DataFrame, key: str, not_null: Sequence[str], tests: ModelTests, models: Mapping[str, DataFrame]
-) -> DataFrame:
-    """NULL counts, uniqueness and references of `key` from one aggregate by `key`."""
-    nulls = {c: f"_null_{i}" for i, c in enumerate(not_null)}
-    groups = df.groupBy(F.col(key).alias("_key")).agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(n) for c, n in nulls.items()]
-    )
-    given = F.col("_key").isNotNull()
-    failures = [(c, "not_null", F.sum(n)) for c, n in nulls.items()]
-    if key in tests.unique:
-        failures.append((key, "unique", F.count_if(given & (F.col("_rows") > 1))))
-    for i, reference in enumerate(r for r in tests.references if r.column == key):
+        return not_null_failures(df, tests.not_null)
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    nulls = {c: f"_null_{i}" for i, c in enumerate(tests.not_null)}
+    given = df.select(*[F.col(k).alias(n) for k, n in names.items()], *[F.col(c).isNull().alias(n) for c, n in nulls.items()])
+    sums = [F.count("*").alias("_rows"), *[F.count_if(n).alias(n) for n in nulls.values()]]
+    if len(keys) == 1:
+        groups, own = given.groupBy(*names.values()).agg(*sums), {keys[0]: F.lit(True)}
+    else:
+        places = [F.grouping(n).alias(f"_not{n}") for n in names.values()]
+        groups = given.groupingSets([[F.col(n)] for n in names.values()], *names.values()).agg(*sums, *places)
+        own = {k: F.col(f"_not{n}") == 0 for k, n in names.items()}
+    # Every row is in one group of each set, so NULLs are added up over one of them.
+    failures = [(c, "not_null", F.sum(F.when(own[keys[0]], F.col(n)))) for c, n in nulls.items()]
+    for key in tests.unique:
+        failures.append((key, "unique", F.count_if(own[key] & F.col(names[key]).isNotNull() & (F.col("_rows") > 1))))
+    for i, reference in enumerate(tests.references):
+        key, found = names[reference.column], f"_found_{i}"
         parents = models[reference.parent].select(F.col(reference.parent_column).alias("_parent")).distinct()
-        found = f"_found_{i}"
-        groups = groups.join(parents.withColumn(found, F.lit(True)), F.col("_key") == F.col("_parent"), "left").drop("_parent")
-        failures.append((key, "relationships", F.sum(F.when(given & F.col(found).isNull(), F.col("_rows")))))
+        groups = groups.join(parents.withColumn(found, F.lit(True)), F.col(key) == F.col("_parent"), "left").drop("_parent")
+        orphaned = own[reference.column] & F.col(key).isNotNull() & F.col(found).isNull()
+        failures.append((reference.column, "relationships", F.sum(F.when(orphaned, F.col("_rows")))))
     counts = groups.agg(*[F.coalesce(n.cast("bigint"), F.lit(0).cast("bigint")).alias(f"_{i}") for i, (_, _, n) in enumerate(failures)])
     rows = F.array(*[
         F.struct(F.lit(c).alias("column"), F.lit(test).alias("test"), F.col(f"_{i}").alias("failures"))

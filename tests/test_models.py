@@ -183,6 +183,23 @@ def test_one_pass_over_each_tested_model(spark):
     assert found["fact_sales", "product_key", "not_null"] == 4 and found["fact_sales", "product_key", "relationships"] == 90
 
 
+def test_several_keys_in_one_pass(spark, tmp_path):
+    """Three unique columns, two of them references, one scan of the model; the same counts as by single tests."""
+    rows = [(i % 7 or None, f"k{i % 11}", i, None if i % 5 else 1.0) for i in range(60)] + [(3, None, None, 1.0), (99, "k1", 59, None)]
+    spark.createDataFrame(rows, "a int, b string, c long, d double").write.parquet(str(tmp_path / "m"))
+    model = spark.read.parquet(str(tmp_path / "m"))
+    parents = {"p": spark.createDataFrame([(i,) for i in range(6)], "a int"), "q": spark.createDataFrame([("k1",), ("k2",), (None,)], "b string")}
+    declared = {"m": quality.ModelTests(
+        not_null=("a", "b", "c", "d"), unique=("a", "b", "c"), references=(quality.Reference("a", "p", "a"), quality.Reference("b", "q", "b"))
+    )}
+    report = quality.run_tests({"m": model, **parents}, declared)
+    assert plan(report).count("FileScan parquet") == 1
+    got = {(r["column"], r["test"]): r["failures"] for r in report.collect()}
+    want = [quality.not_null_failures(model, declared["m"].not_null), *[quality.unique_failures(model, c) for c in "abc"],
+            quality.reference_failures(model, "a", parents["p"], "a"), quality.reference_failures(model, "b", parents["q"], "b")]
+    assert got == {(r["column"], r["test"]): r["failures"] for df in want for r in df.collect()} and len(got) == 9
+
+
 def test_empty_models_pass(spark):
     empty = staging.stg_orders(spark.createDataFrame([], ORDERS))
     models = {"stg_orders": empty, "dim_product": dims.dim_product(empty), "fact_sales": facts.fact_sales(empty)}

@@ -1,3 +1,5 @@
+import math
+
 import random
 
 import numpy as np
@@ -70,3 +72,58 @@ def test_held_out_accuracy(spark):
     held = remainder_of_id(3) == 1
     got = identify(docs, train(docs.filter(~held)), ["lang", held.alias("held")]).filter("held").toPandas()
     assert (got.lang == got.lang_pred).mean() >= 0.99
+
+
+def plain_training(examples, n):
+    """Follow the regularised leader on dictionaries, one weight at a time."""
+    z, squares = [{} for _ in range(n)], [{} for _ in range(n)]
+
+    def weight(k, j):
+        v = z[k].get(j, 0.0)
+        if abs(v) <= lang_id.L1:
+            return 0.0
+        return -(v - math.copysign(lang_id.L1, v)) / ((lang_id.BETA + math.sqrt(squares[k].get(j, 0.0))) / lang_id.RATE + lang_id.L2)
+
+    rng = np.random.default_rng(7)
+    for _ in range(lang_id.EPOCHS):
+        for i in rng.permutation(len(examples)):
+            at, values, label = examples[i]
+            row = {**dict(zip(at.tolist(), values.tolist())), lang_id.BUCKETS: 1.0}
+            own = [{j: weight(k, j) for j in row} for k in range(n)]
+            sums = [sum(own[k][j] * v for j, v in row.items()) for k in range(n)]
+            top = max(sums)
+            shares = [math.exp(s - top) for s in sums]
+            for k in range(n):
+                error = shares[k] / sum(shares) - (k == label)
+                for j, v in row.items():
+                    g, before = error * v, squares[k].get(j, 0.0)
+                    z[k][j] = z[k].get(j, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / lang_id.RATE * own[k][j]
+                    squares[k][j] = before + g * g
+    return weight
+
+
+def test_training_against_a_plain_version():
+    rng = np.random.default_rng(3)
+    examples = []
+    for _ in range(60):
+        label = int(rng.integers(3))
+        at = np.sort(rng.choice(40, 8, replace=False) + 20 * label)
+        values = rng.random(8)
+        examples.append((at, values / np.sqrt(values @ values), label))
+    weights, weight = lang_id.follow_the_leader(examples, 3), plain_training(examples, 3)
+    used = sorted({j for at, _, _ in examples for j in at.tolist()} | {lang_id.BUCKETS})
+    assert np.allclose([[weight(k, j) for j in used] for k in range(3)], weights[:, used], rtol=0, atol=1e-10)
+    assert not np.delete(weights, used, axis=1).any()
+
+
+def test_probabilities_against_a_plain_version():
+    rng = np.random.default_rng(5)
+    weights = rng.normal(size=(3, lang_id.BUCKETS + 1)).astype(np.float32)
+    idf = rng.random(lang_id.BUCKETS).astype(np.float32) + 1
+    model = lang_id.LanguageModel(["a", "b", "c"], idf, weights, 1.7)
+    counts = next(iter(lang_id.gram_counts(["Ein kurzer Text, zwei Mal Text."])))
+    row = {j: math.log1p(float(counts[j])) * float(idf[j]) for j in np.flatnonzero(counts).tolist()}
+    size = math.sqrt(sum(v * v for v in row.values()))
+    sums = [(sum(float(weights[k, j]) * v / size for j, v in row.items()) + float(weights[k, -1])) / 1.7 for k in range(3)]
+    shares = [math.exp(s) for s in sums]
+    assert np.allclose(model.probabilities(counts), [s / sum(shares) for s in shares], atol=1e-6)

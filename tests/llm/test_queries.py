@@ -1,6 +1,7 @@
 """The registered queries on the smallest tables, and the pipeline against a plain version of itself."""
 
 import hashlib
+import re
 import sys
 from collections import defaultdict
 from pathlib import Path
@@ -16,7 +17,7 @@ sys.path[:0] = [str(Path(__file__).resolve().parents[2]), str(Path(__file__).res
 
 import corpus_pipeline  # noqa: E402
 from stratalake.llm.packing import cut_lengths  # noqa: E402
-from stratalake.llm.queries import ORACLES, REGISTRY  # noqa: E402
+from stratalake.llm.queries import FURTHER, ORACLES, REGISTRY  # noqa: E402
 from stratalake.llm.tokens import crc32  # noqa: E402
 from test_partenum import expected as all_pairs  # noqa: E402
 
@@ -49,6 +50,23 @@ def test_op1(spark, texts):
     assert got == all_pairs(texts)
 
 
+def test_op1_links(spark, texts):
+    sets = {d: set(zip(*[[w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t)][i:] for i in range(5)])) for d, t in texts}
+    for d, t in texts:
+        words = re.findall(r"[^\x20\x09-\x0D]+", t)
+        if 0 < len(words) < 5:
+            sets[d] = {tuple(w.lower() for w in words)}
+    counts = dict.fromkeys(sets, 0)
+    for a in sets:
+        for b in sets:
+            if a < b and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]) > 0:
+                counts[a] += 1
+                counts[b] += 1
+    rows = FURTHER["op1_ngram_jaccard_links"](spark, SF_DIR).collect()
+    assert {r.doc_id: r.n_links for r in rows} == counts and any(counts.values())
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in rows) == all_pairs(texts)
+
+
 def test_op2(spark):
     rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()]
     found = defaultdict(list)

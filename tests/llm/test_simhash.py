@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stratalake.llm import simhash
 from stratalake.llm.simhash import RADIUS, fingerprint_documents, fingerprints, hexadecimal, likeness, within_radius
 
 SCHEMA = "doc_id long, text string, fingerprint string, part int"
@@ -100,3 +101,19 @@ def test_the_radius_reaches_near_copies(spark):
     got = {(r.query, r.fingerprint) for r in within_radius(rows, rows.filter("doc_id % 2 = 0")).collect()}
     assert sum(pair in got for pair in zip(names[::2], names[1::2], strict=True)) >= 57
     assert len(got) <= 120
+
+
+def test_long_words_are_told_apart():
+    turns = [i.bit_count() % 2 for i in range(2048)]
+    texts = ["x " + "".join("ab"[t ^ flip] for t in turns[:n]) for n in (1024, 2048) for flip in (0, 1)]
+    prints = simhash.fingerprints(texts)
+    assert len({p.tobytes() for p in prints}) == 4
+
+
+def test_blocks_grow_with_the_fingerprints(spark):
+    widths = []
+    for n in (10**3, 10**5, 10**7, 10**9):
+        blocks = simhash.best_cuts(simhash.RADIUS, n)
+        assert blocks[0][0] == 0 and sum(e + 1 for *_, e in blocks) > simhash.RADIUS and max(map(simhash.looked_up, blocks)) <= simhash.MOST_KEYS
+        widths.append(blocks[0][1])
+    assert widths == sorted(widths) and widths[0] < widths[-1]

@@ -49,8 +49,8 @@ STG_WEATHER = f"""
 
 
 def _told_apart(mark: str) -> str:
-    parts = ("p_brand", "l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "CAST(l_quantity AS BIGINT)", "CAST(trunc(l_discount * 100) AS INTEGER)")
-    return f" || {mark} || ".join(parts)
+    parts = ("l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "CAST(l_quantity AS BIGINT)", "CAST(trunc(l_discount * 100) AS INTEGER)")
+    return f"p_brand || {mark} || " + " || ' ' || ".join(parts)
 
 
 def _dim_product(orders: str) -> str:

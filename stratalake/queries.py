@@ -343,8 +343,8 @@ def sales_part_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _told_apart(spark: SparkSession, sf_dir: str, mark: str) -> DataFrame:
     """Sales whose products also spell the line, so that rows with one key are alike."""
     own = ("l_linenumber", "l_suppkey", "l_partkey", "l_returnflag", "l_discount")
-    parts = [F.col("product"), *[F.col(c).cast("string") for c in own[:4]], F.col("quantity").cast("bigint").cast("string"), (F.col("l_discount") * 100).cast("int").cast("string")]
-    return recast.sales(spark, sf_dir, *own).withColumn("product", F.concat_ws(mark, *parts))
+    parts = [*[F.col(c).cast("string") for c in own[:4]], F.col("quantity").cast("bigint").cast("string"), (F.col("l_discount") * 100).cast("int").cast("string")]
+    return recast.sales(spark, sf_dir, *own).withColumn("product", F.concat(F.col("product"), F.lit(mark), F.concat_ws(" ", *parts)))
 
 
 @query

@@ -37,6 +37,7 @@ from stratalake.llm.tokens import PieceEncoder
 
 MARK = "▁"
 BROADCAST_PAIRS = 2_000_000
+KEPT_PER_SIDE = 60 * 1024**2  # bytes of pieces and ids that a worker keeps for each tokenizer
 LISTS = ("a_ids", "b_ids", "a_ends", "b_ends")
 
 
@@ -128,6 +129,7 @@ def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = PieceEncoder(a_path), MarkedPieces(b_path)
+        self.a.most_kept = self.b.most_kept = KEPT_PER_SIDE
         self.a_bytes, self.b_bytes = byte_level_tokens(self.a), self.b.token_bytes()
         self.a_sizes = np.array(list(map(len, self.a_bytes)), dtype=np.int64)
         self.b_sizes = np.array(list(map(len, self.b_bytes)), dtype=np.int64)

@@ -60,6 +60,8 @@ def values(column: pa.LargeBinaryArray) -> list[bytes]:
 class PieceEncoder:
     """Ids of texts as little-endian unsigned 32-bit integers, without special tokens."""
 
+    most_kept: int | None = None  # instead of MOST_KEPT
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -105,7 +107,7 @@ class PieceEncoder:
         ends = np.cumsum(sizes)
         flat = self.store[np.repeat(self.begin[which] - ends + sizes, sizes) + np.arange(sizes.sum())]
         self._forget()
-        if 4 * len(flat) + sum(map(len, often)) + KEPT_PIECE * len(often) <= 0.7 * MOST_KEPT:
+        if 4 * len(flat) + sum(map(len, often)) + KEPT_PIECE * len(often) <= 0.7 * (self.most_kept or MOST_KEPT):
             self._keep(often, flat, sizes)
 
     def regular(self, text: str) -> bool:
@@ -207,7 +209,7 @@ class PieceEncoder:
         missing = np.flatnonzero(place < 0)
         self.again[place[place >= 0]] = True
         if len(missing):
-            if self.kept > MOST_KEPT:
+            if self.kept > (self.most_kept or MOST_KEPT):
                 self._drop_rare()
                 place = self._places(known)
                 missing = np.flatnonzero(place < 0)

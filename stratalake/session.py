@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -67,6 +68,12 @@ def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[None]:
         yield
 
 
+def byte_setting(spark: SparkSession, name: str) -> int:
+    """A size setting in bytes; sizes may be written with a unit, as in `128m`."""
+    number, unit = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)b?\s*", spark.conf.get(name).lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under a folder that all executors share.
 

@@ -39,6 +39,15 @@ def test_strict_bigint_fails(spark, raw):
         one(spark, raw, "string", lambda c: numeric.to_strict_bigint(c, "x"))
 
 
+def test_strict_bigint_looks_once_at_common_cells(spark):
+    """Whole numbers and those with a point meet one pattern; only the rest is looked at again."""
+    df = spark.createDataFrame([(" +7 ",), ("-0.5",), ("5.",), ("12.0\n",), (".5",), ("1.5e2",)], "x string")
+    found = df.select(numeric.to_strict_bigint(F.col("x"), "x").alias("x"))
+    assert [r["x"] for r in found.collect()] == [7, 0, 5, 12, 0, 150]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1 and plan.index("RLIKE") > plan.index("coalesce")
+
+
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text("0123456789.eE+- \tdnaif", max_size=8), min_size=1, max_size=300))
 def test_to_number_agrees_with_python(spark, texts):
